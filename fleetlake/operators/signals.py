@@ -15,6 +15,9 @@ _SIGNAL_LINE = (
 )
 _EXTENDED_MUX_LINE = r"^SG_MUL_VAL_ +(\d+) +(\w+) +(\w+) +([\d\-, ]+);"
 
+#: Lines per block when message headers are handed down to their signals.
+_BLOCK_LINES = 5_000
+
 #: Longest raw value in bits that decoding supports.
 MAX_BITS = 62
 
@@ -32,28 +35,55 @@ def read_signal_catalog(spark: SparkSession, path: str | Sequence[str]) -> DataF
     return parse_catalog(lines)
 
 
-def parse_catalog(lines: DataFrame) -> DataFrame:
-    """Signal rows from ``file, line_no, line``.
+def _headers(kept: DataFrame) -> DataFrame:
+    """Every line with the closest message line at or above it in its file.
 
-    Signal lines belong to the closest message line above them. The window runs per file; a
-    catalog file describes one bus and is small by nature.
+    Within a block of lines a window finds it; the last header of earlier blocks is carried
+    over, so that no file has to be walked through by one task.
     """
-
-    def group(pattern: str, n: int) -> Column:
-        return F.regexp_extract("line", pattern, n)
-
-    kept = lines.where(F.col("line").rlike(r"^\s*(BO_|SG_) "))
     header = F.when(
         F.col("line").rlike(_MESSAGE_LINE),
         F.struct(
-            group(_MESSAGE_LINE, 1).cast("long").alias("frame_id"),
-            group(_MESSAGE_LINE, 2).alias("message"),
-            group(_MESSAGE_LINE, 3).cast("int").alias("size"),
+            _group(_MESSAGE_LINE, 1).cast("long").alias("frame_id"),
+            _group(_MESSAGE_LINE, 2).alias("message"),
+            _group(_MESSAGE_LINE, 3).cast("int").alias("size"),
         ),
     )
-    above = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    rows = kept.withColumn("_own", header).withColumn(
+        "_block", F.floor(F.col("line_no") / _BLOCK_LINES).cast("long")
+    )
+    tails = rows.groupBy("file", "_block").agg(
+        F.max_by("_own", F.when(F.col("_own").isNotNull(), F.col("line_no"))).alias("_tail")
+    )
+    earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tails.select(
+        "file", "_block", F.last("_tail", ignorenulls=True).over(earlier).alias("_carried")
+    )
+    above = (
+        Window.partitionBy("file", "_block")
+        .orderBy("line_no")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        rows.withColumn("_here", F.last("_own", ignorenulls=True).over(above))
+        .join(carry, ["file", "_block"], "left")
+        .select("file", "line", F.coalesce("_here", "_carried").alias("_header"))
+    )
+
+
+def _group(pattern: str, n: int) -> Column:
+    return F.regexp_extract("line", pattern, n)
+
+
+def parse_catalog(lines: DataFrame) -> DataFrame:
+    """Signal rows from ``file, line_no, line``.
+
+    Multiplexed signals name their selector (``mux_signal``) and the selector values under
+    which they are present (``mux_ranges``); extended multiplexing is read from its own lines.
+    """
+    kept = lines.where(F.col("line").rlike(r"^\s*(BO_|SG_) "))
     signals = (
-        kept.withColumn("_header", F.last(header, ignorenulls=True).over(above))
+        _headers(kept)
         .where(F.col("line").rlike(_SIGNAL_LINE))
         .select(
             F.regexp_extract("file", r"^((?:can|lin)\d*)", 1).alias("bus"),
@@ -61,20 +91,47 @@ def parse_catalog(lines: DataFrame) -> DataFrame:
             "_header.frame_id",
             "_header.message",
             "_header.size",
-            group(_SIGNAL_LINE, 1).alias("signal"),
-            group(_SIGNAL_LINE, 3).cast("int").alias("start_bit"),
-            group(_SIGNAL_LINE, 4).cast("int").alias("length"),
-            (group(_SIGNAL_LINE, 5) == "1").alias("little_endian"),
-            (group(_SIGNAL_LINE, 6) == "-").alias("signed"),
-            group(_SIGNAL_LINE, 7).cast("double").alias("factor"),
-            group(_SIGNAL_LINE, 8).cast("double").alias("offset"),
-            group(_SIGNAL_LINE, 9).cast("double").alias("min"),
-            group(_SIGNAL_LINE, 10).cast("double").alias("max"),
-            group(_SIGNAL_LINE, 11).alias("unit"),
-            F.nullif(group(_SIGNAL_LINE, 2), F.lit("")).alias("mux"),
+            _group(_SIGNAL_LINE, 1).alias("signal"),
+            _group(_SIGNAL_LINE, 3).cast("int").alias("start_bit"),
+            _group(_SIGNAL_LINE, 4).cast("int").alias("length"),
+            (_group(_SIGNAL_LINE, 5) == "1").alias("little_endian"),
+            (_group(_SIGNAL_LINE, 6) == "-").alias("signed"),
+            _group(_SIGNAL_LINE, 7).cast("double").alias("factor"),
+            _group(_SIGNAL_LINE, 8).cast("double").alias("offset"),
+            _group(_SIGNAL_LINE, 9).cast("double").alias("min"),
+            _group(_SIGNAL_LINE, 10).cast("double").alias("max"),
+            _group(_SIGNAL_LINE, 11).alias("unit"),
+            F.nullif(_group(_SIGNAL_LINE, 2), F.lit("")).alias("mux"),
+        )
+    )
+    plain = signals.where(F.col("mux") == "M").select(
+        "file", "frame_id", F.col("signal").alias("_selector")
+    )
+    ranges = F.transform(
+        F.split(_group(_EXTENDED_MUX_LINE, 4), " *, *"),
+        lambda r: F.struct(
+            F.split(r, "-")[0].cast("long").alias("lo"), F.split(r, "-")[1].cast("long").alias("hi")
+        ),
+    )
+    extended = lines.where(F.col("line").rlike(_EXTENDED_MUX_LINE)).select(
+        "file",
+        _group(_EXTENDED_MUX_LINE, 1).cast("long").alias("frame_id"),
+        _group(_EXTENDED_MUX_LINE, 2).alias("signal"),
+        _group(_EXTENDED_MUX_LINE, 3).alias("_x_selector"),
+        ranges.alias("_x_ranges"),
+    )
+    value = F.nullif(F.regexp_extract("mux", r"^m(\d+)", 1), F.lit("")).cast("long")
+    single = F.when(value.isNotNull(), F.array(F.struct(value.alias("lo"), value.alias("hi"))))
+    return (
+        signals.join(plain, ["file", "frame_id"], "left")
+        .join(extended, ["file", "frame_id", "signal"], "left")
+        .withColumn("mux_ranges", F.coalesce("_x_ranges", single))
+        .withColumn(
+            "mux_signal",
+            F.when(F.col("mux_ranges").isNotNull(), F.coalesce("_x_selector", "_selector")),
         )
+        .select(*signals.columns, "mux_signal", "mux_ranges")
     )
-    return signals
 
 
 def raw_bits(payload: Column, start_bit: Column, length: Column, little_endian: Column) -> Column:
@@ -113,42 +170,66 @@ def raw_bits(payload: Column, start_bit: Column, length: Column, little_endian:
     return F.when(F.octet_length(payload) >= last + 1, shifted.bitwiseAND(mask))
 
 
+def _layout(catalog: DataFrame, tag: str) -> DataFrame:
+    """Catalog rows as selectors, all columns marked with ``tag``."""
+    return catalog.select(
+        F.col("file"),
+        F.col("frame_id"),
+        F.col("signal").alias(f"{tag}_signal"),
+        *(F.col(c).alias(f"{tag}_{c}") for c in ("start_bit", "length", "little_endian")),
+        F.col("mux_signal").alias(f"{tag}_mux_signal"),
+        F.col("mux_ranges").alias(f"{tag}_mux_ranges"),
+    )
+
+
+def _selected(ranges: str, tag: str) -> Column:
+    """The selector's value in this frame lies in one of the ranges."""
+    value = raw_bits(
+        F.col("payload"), *(F.col(f"{tag}_{c}") for c in ("start_bit", "length", "little_endian"))
+    )
+    return F.coalesce(F.exists(ranges, lambda r: value.between(r["lo"], r["hi"])), F.lit(False))
+
+
 def decode_frames(frames: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Long physical values ``..., message, signal, value`` from ``frame_id, payload`` rows.
+    """Long physical values ``..., message, signal, value, unit`` from frames.
 
-    ``payload`` is binary. Catalog rows meet frames by frame id; Spark broadcasts the catalog
-    by its own size check, else it joins by shuffle with AQE splitting hot ids. Signals under
-    a multiplexer appear only in frames that carry their multiplexer value. Fields longer
-    than the payload are left out.
+    Frames have ``frame_id`` and a binary ``payload``, and optionally the ``bus`` they were
+    seen on. Spark broadcasts the catalog by its own size check, else it joins by shuffle with
+    AQE splitting hot ids. A multiplexed signal appears only in frames that carry its selector
+    value; a selector may itself be multiplexed. Fields that reach beyond the payload, or are
+    wider than ``MAX_BITS``, are left out.
     """
-    signals = catalog.where(F.col("length") <= MAX_BITS)
-    selector = signals.where(F.col("mux") == "M").select(
-        "frame_id",
-        F.col("start_bit").alias("_m_start"),
-        F.col("length").alias("_m_length"),
-        F.col("little_endian").alias("_m_little"),
-    )
-    wanted = signals.join(selector, "frame_id", "left").withColumn(
-        "_m_value", F.nullif(F.regexp_extract("mux", r"^m(\d+)", 1), F.lit("")).cast("long")
-    )
-    joined = frames.join(wanted, "frame_id")
-    selected = raw_bits(F.col("payload"), F.col("_m_start"), F.col("_m_length"), F.col("_m_little"))
-    present = F.col("_m_value").isNull() | F.coalesce(F.col("_m_value") == selected, F.lit(False))
+    one = _layout(catalog, "_s")
+    two = _layout(catalog, "_p").drop("_p_mux_signal", "_p_mux_ranges")
+    wanted = (
+        catalog.where(F.col("length") <= MAX_BITS)
+        .withColumn("_s_signal", F.col("mux_signal"))
+        .join(one, ["file", "frame_id", "_s_signal"], "left")
+        .withColumn("_p_signal", F.col("_s_mux_signal"))
+        .join(two, ["file", "frame_id", "_p_signal"], "left")
+    )
+    on = ["bus", "frame_id"] if "bus" in frames.columns else ["frame_id"]
+    if on == ["frame_id"]:
+        wanted = wanted.drop("bus")
+    present = F.col("mux_signal").isNull() | (
+        _selected("mux_ranges", "_s")
+        & (F.col("_s_mux_signal").isNull() | _selected("_s_mux_ranges", "_p"))
+    )
     raw = raw_bits(F.col("payload"), F.col("start_bit"), F.col("length"), F.col("little_endian"))
     half = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("length") - 1)
     signed = F.when(
         F.col("signed") & (F.col("_raw") >= half), F.col("_raw") - half * 2
     ).otherwise(F.col("_raw"))
     return (
-        joined.where(present)
+        frames.join(wanted, on)
+        .where(present)
         .withColumn("_raw", raw)
         .where(F.col("_raw").isNotNull())
         .select(
-            *frames.columns,
+            *(c for c in frames.columns if c != "payload"),
             "message",
             "signal",
             (signed * F.col("factor") + F.col("offset")).alias("value"),
             "unit",
         )
-        .drop("payload")
     )

@@ -61,8 +61,8 @@ signals AS (
          CASE WHEN event_id % 7 <> 0 THEN value END AS Load,
          event_id % 2 AS SpeedValid,
          CAST((hour(ts) * 3600 + minute(ts) * 60 + second(ts)) // 10 AS DOUBLE) AS DistanceTrip,
-         56 + K * 0.002 AS Latitude,
-         10 + (event_id % 100) * 0.002 AS Longitude,
+         CAST(56 AS DOUBLE) + K * CAST(0.002 AS DOUBLE) AS Latitude,
+         CAST(10 AS DOUBLE) + (event_id % 100) * CAST(0.002 AS DOUBLE) AS Longitude,
          K,
          event_id
   FROM (SELECT *, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS K FROM events)

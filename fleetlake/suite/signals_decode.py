@@ -1,2 +1,129 @@
-QUERIES = {}
-ORACLES = {}
+"""Signal catalogs as text, and frames decoded with them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.signals import decode_frames, parse_catalog
+from .base import signals, table, with_signals
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog text made from the parts: a message per part, with three signals each."""
+    p = table(spark, sf_dir, "part")
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    length = (1 + F.col("p_size") % 32).cast("string")
+    texts = F.array(
+        F.concat(F.lit("BO_ "), key, F.lit(" Part"), key, F.lit(": 8 Vector")),
+        F.concat(F.lit(" SG_ Size M : 0|8@1+ (1,0) [0|255] \"\" Vector")),
+        F.concat(F.lit(" SG_ Price m"), size, F.lit(" : 8|"), length, F.lit("@1- (0.01,"), key, F.lit(") [-10|1e3] \"EUR\" Vector")),
+        F.concat(F.lit(" SG_ Brand : 39|8@0+ (0.5,-1) [0|10] \"deg\" Vector")),
+        F.lit("CM_ BO_ 1 \"a comment: SG_ none\";"),
+    )
+    return p.select(
+        F.concat(F.lit("can"), (F.col("p_partkey") % 9 + 1).cast("string"), F.lit("-parts.dbc")).alias("file"),
+        F.posexplode(texts).alias("n", "line"),
+        (F.col("p_partkey") * 10).alias("first"),
+    ).select("file", (F.col("first") + F.col("n")).alias("line_no"), "line")
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_catalog(_lines(spark, sf_dir)).select(
+        "bus", "frame_id", "message", "signal", "start_bit", "length", "little_endian", "signed", "factor", "offset", "min", "max", "unit", "mux", "mux_signal"
+    )
+
+
+# A catalog in the same text format: little- and big-endian, signed and multiplexed fields.
+CATALOG_TEXT = """
+BO_ 107 Drive: 8 Vector
+ SG_ SpeedValid : 0|1@1+ (1,0) [0|1] "" Vector
+ SG_ Speed : 1|20@1+ (0.001,0) [0|1048.575] "m/s" Vector
+ SG_ Turn : 24|12@1- (0.1,5) [-300|300] "deg" Vector
+ SG_ Code : 47|16@0+ (1,0) [0|65535] "" Vector
+ SG_ Flags : 62|3@0+ (1,0) [0|7] "" Vector
+ SG_ Beyond : 60|8@1+ (1,0) [0|7] "" Vector
+
+BO_ 108 State: 4 Vector
+ SG_ Kind M : 0|4@1+ (1,0) [0|15] "" Vector
+ SG_ Even m0 : 15|16@0- (0.5,0) [0|100] "" Vector
+ SG_ Odd m1 : 4|12@1+ (2,1) [0|100] "" Vector
+"""
+
+
+def _big(number, digits: int):
+    """Hex text of a number, highest byte first."""
+    return F.lpad(F.hex(number.cast("long")), digits, "0")
+
+
+def _little(number, digits: int):
+    """The same, lowest byte first."""
+    text = _big(number, digits)
+    return F.concat(*(F.substring(text, i, 2) for i in range(digits - 1, 0, -2)))
+
+
+def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two frames per event row, packed bit by bit as the catalog says."""
+    centred = F.col("K") - 50
+    drive = F.concat(
+        _little(F.col("SpeedValid") + F.round(F.col("Speed") * 1000).cast("long") * 2, 6),
+        _little(F.pmod(centred, F.lit(4096)), 4),
+        _big(F.col("event_id") % 65536, 4),
+        _big(F.col("K") % 8 * 16, 2),
+    )
+    state = F.when(
+        F.col("event_id") % 2 == 1, F.concat(_little(1 + F.col("K") * 16, 4), F.lit("0000"))
+    ).otherwise(F.concat(F.lit("00"), _big(F.pmod(centred, F.lit(65536)), 4), F.lit("00")))
+    frames = [
+        F.struct(F.lit(frame_id).cast("long").alias("frame_id"), F.unhex(text).alias("payload"))
+        for frame_id, text in ((107, drive), (108, state))
+    ]
+    return (
+        signals(spark, sf_dir)
+        .select("device", "t", "event_id", F.explode(F.array(*frames)).alias("f"))
+        .select("device", "t", "event_id", "f.frame_id", "f.payload")
+    )
+
+
+def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frames decoded again."""
+    lines = spark.createDataFrame(
+        [("can9-fleet.dbc", n, line) for n, line in enumerate(CATALOG_TEXT.splitlines())],
+        "file string, line_no int, line string",
+    )
+    return decode_frames(_frames(spark, sf_dir), parse_catalog(lines)).select(
+        "device", "t", "event_id", "frame_id", "message", "signal", F.round("value", 6).alias("value"), "unit"
+    )
+
+
+_DECODED = [
+    (107, "Drive", "SpeedValid", "SpeedValid", "", "true"),
+    (107, "Drive", "Speed", "round(Speed * 1000) * 0.001", "m/s", "true"),
+    (107, "Drive", "Turn", "(K - 50) * 0.1 + 5", "deg", "true"),
+    (107, "Drive", "Code", "event_id % 65536", "", "true"),
+    (107, "Drive", "Flags", "K % 8", "", "true"),
+    (108, "State", "Kind", "event_id % 2", "", "true"),
+    (108, "State", "Even", "(K - 50) * 0.5", "", "event_id % 2 = 0"),
+    (108, "State", "Odd", "K * 2 + 1", "", "event_id % 2 = 1"),
+]
+
+QUERIES = {"signal_catalog": _catalog, "decode_frames": _decoded}
+
+ORACLES = {
+    "signal_catalog": """
+WITH p AS (SELECT *, 'can' || (p_partkey % 9 + 1) AS bus, 'Part' || p_partkey AS message FROM part)
+SELECT bus, p_partkey AS frame_id, message, 'Size' AS signal, 0 AS start_bit, 8 AS length, true AS little_endian,
+  false AS signed, CAST(1 AS DOUBLE) AS factor, CAST(0 AS DOUBLE) AS offset, CAST(0 AS DOUBLE) AS min,
+  CAST(255 AS DOUBLE) AS max, '' AS unit, 'M' AS mux, CAST(NULL AS VARCHAR) AS mux_signal FROM p
+UNION ALL
+SELECT bus, p_partkey, message, 'Price', 8, 1 + p_size % 32, true, true, 0.01, p_partkey, -10, 1000, 'EUR', 'm' || p_size, 'Size' FROM p
+UNION ALL
+SELECT bus, p_partkey, message, 'Brand', 39, 8, false, false, 0.5, -1, 0, 10, 'deg', NULL, NULL FROM p""",
+    "decode_frames": with_signals(
+        "\nUNION ALL\n".join(
+            f"""SELECT device, t, event_id, CAST({frame_id} AS BIGINT) AS frame_id, '{message}' AS message, '{signal}' AS signal,
+round(CAST({value} AS DOUBLE), 6) AS value, '{unit}' AS unit FROM signals WHERE {where}"""
+            for frame_id, message, signal, value, unit, where in _DECODED
+        )
+    ),
+}

@@ -1,2 +1,165 @@
-QUERIES = {}
-ORACLES = {}
+"""The streaming forms, run over the events table until everything is processed."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.geo import with_fence
+from ..operators.custom import CustomContext
+from ..session import use_utc, work_folder
+from ..sources.configs import events_config
+from ..streaming.detector import EdgeDetector
+from ..streaming.incremental import Incremental, run_incremental, stream_files
+from ..streaming.trips import stream_trips
+from .base import as_signals, table, with_signals
+from .events import edge_ctes
+from .grid import FENCES
+from .grid import ORACLES as GRID_ORACLES
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events file as a stream of message rows."""
+    use_utc(spark)
+    schema = table(spark, sf_dir, "events").schema
+    return as_signals(stream_files(spark, sf_dir, schema, glob="events.parquet"))
+
+
+def _appended(stream: DataFrame, label: str) -> DataFrame:
+    """What an append-mode query has written once it is through."""
+    spark = stream.sparkSession
+    folder = work_folder(spark, label)
+    query = (
+        stream.writeStream.format("parquet")
+        .option("path", f"{folder}/rows")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
+def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _stream(spark, sf_dir).select("device", "message", "date", "t", "event_id", "Speed", "Load")
+    return _appended(rows, "ingest")
+
+
+def _geofence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_fence(_stream(spark, sf_dir), FENCES).select("event_id", "GeofenceId")
+    return _appended(rows, "fences")
+
+
+def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    setting = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        return _appended(stream_trips(_stream(spark, sf_dir), "60 min", "1 min"), "trips")
+    finally:
+        spark.conf.set(setting, before)
+
+
+# A derived message, and an event that is triggered by it.
+CUSTOM = [
+    {
+        "custom_message_name": "Fences",
+        "messages_match_type": "equals",
+        "messages_filtered_list": [["view"]],
+        "raster": "",
+        "prefix": False,
+        "function": "custom_geofences",
+    }
+]
+EVENTS = {
+    "general": {"include_gps_data": False},
+    "events": [
+        {
+            "event_name": "AtDepot",
+            "messages_match_type": "equals",
+            "messages_filtered_list": [["Fences"]],
+            "trigger_signals": ["GeofenceId"],
+            "lower_threshold": 0,
+            "upper_threshold": 7,
+            "rising_as_start": True,
+            "exact_match": True,
+            "raster": "",
+        }
+    ],
+}
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark, "incremental")
+    general, events = events_config(EVENTS)
+    job = Incremental(
+        custom=CUSTOM,
+        general=general,
+        events=events,
+        messages_root=f"{folder}/lake",
+        events_root=f"{folder}/events",
+        context=CustomContext(fences=FENCES),
+        width="6 hours",
+    )
+    run_incremental(_stream(spark, sf_dir), job, f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/events").select(
+        "t", "EventName", "DeviceID", "EventId", "Message", "Signal", "EventType", "EventValue", "SignalValue", "date", "file_name"
+    )
+
+
+def _continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of endless series: nothing is cut at midnight or at the end of a file."""
+    folder = work_folder(spark, "detector")
+    rows = _stream(spark, sf_dir).select("device", "message", "t", "event_id", "Load")
+    return EdgeDetector(folder, "Load", 20, 60, width="6 hours").run(rows, f"{folder}/checkpoint")
+
+
+QUERIES = {
+    "stream_ingest": _ingest,
+    "stream_geofence": _geofence,
+    "stream_trips": _trips,
+    "stream_events": _events,
+    "stream_edges": _continuous,
+}
+
+_FENCE_EVENTS = GRID_ORACLES["geofence"].replace(
+    "SELECT s.event_id, CAST(coalesce(h.id, 0) AS BIGINT) AS GeofenceId FROM signals s LEFT JOIN hits h ON s.event_id = h.event_id",
+    """, placed AS (
+  SELECT s.*, coalesce(h.id, 0) AS GeofenceId FROM signals s LEFT JOIN hits h ON s.event_id = h.event_id WHERE message = 'view'
+),"""
+    + edge_ctes("placed", "device, date, file_name", "GeofenceId = 0", "GeofenceId = 7")
+    + """
+SELECT t, 'AtDepot' AS EventName, device AS DeviceID, 'AtDepot_' || device || '_' || strftime(t, '%Y%m%dT%H%M%S') AS EventId,
+       'Fences' AS Message, 'GeofenceId' AS Signal, e AS EventType, CAST(ev AS BIGINT) AS EventValue,
+       CAST(GeofenceId AS DOUBLE) AS SignalValue, date, file_name
+FROM (SELECT *, 'Start' AS e, 1 AS ev FROM rising UNION ALL SELECT *, 'Stop', 0 FROM falling)""",
+)
+
+ORACLES = {
+    "stream_ingest": with_signals("SELECT device, message, date, t, event_id, Speed, Load FROM signals"),
+    "stream_geofence": GRID_ORACLES["geofence"],
+    # Trips across midnight; those the watermark (latest row less one hour) has not closed yet
+    # are still open when the stream ends.
+    "stream_trips": with_signals(
+        """
+marked AS (
+  SELECT *, CASE WHEN lag(t) OVER w IS NULL OR t - lag(t) OVER w > INTERVAL 60 MINUTE THEN 1 ELSE 0 END AS opens
+  FROM signals WINDOW w AS (PARTITION BY device ORDER BY t, event_id)
+),
+numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY device ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS trip_no FROM marked
+)
+SELECT device, min(t) AS trip_start, max(t) AS trip_end FROM numbered GROUP BY device, trip_no
+HAVING max(t) - min(t) >= INTERVAL 1 MINUTE
+   AND max(t) + INTERVAL 60 MINUTE <= date_trunc('millisecond', (SELECT max(t) FROM signals)) - INTERVAL 60 MINUTE"""
+    ),
+    "stream_events": _FENCE_EVENTS,
+    "stream_edges": with_signals(
+        edge_ctes("signals", "device, message", "Load <= 20", "Load >= 60").strip()
+        + """
+SELECT device, message, t, event_id, Load, 'Start' AS EventType, CAST(1 AS BIGINT) AS EventValue FROM rising
+UNION ALL
+SELECT device, message, t, event_id, Load, 'Stop', 0 FROM falling"""
+    ),
+}
