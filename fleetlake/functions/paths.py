@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 # Log file extensions, compared without regard to case (fixed values: MF4 MFC MFE MFM).
 LOG_FILE = r"(?i)\.mf[4cem]$"
 
+# Device and session prefixes; the closing slash is optional (fixed patterns).
 DEVICE_ID = r"^[0-9A-F]{8}$"
-DEVICE_PREFIX = r"^[0-9A-F]{8}/$"
-SESSION_PREFIX = r"^[0-9A-F]{8}/[0-9]{8}/$"
+DEVICE_PREFIX = r"^[0-9A-F]{8}/?$"
+SESSION_PREFIX = r"^[0-9A-F]{8}/[0-9]{8}/?$"
 
 
 def is_log_file(path: Column) -> Column:
@@ -36,11 +37,11 @@ def as_prefix(path: Column) -> Column:
 
 
 def is_device_prefix(path: Column) -> Column:
-    return as_prefix(path).rlike(DEVICE_PREFIX)
+    return path.rlike(DEVICE_PREFIX)
 
 
 def is_session_prefix(path: Column) -> Column:
-    return as_prefix(path).rlike(SESSION_PREFIX)
+    return path.rlike(SESSION_PREFIX)
 
 
 def device_of(path: Column) -> Column:

@@ -134,59 +134,55 @@ def parse_catalog(lines: DataFrame) -> DataFrame:
     )
 
 
-def raw_bits(payload: Column, start_bit: Column, length: Column, little_endian: Column) -> Column:
-    """Unsigned raw value of a bit field in a payload given as bytes.
+def _layout(catalog: DataFrame, tag: str) -> DataFrame:
+    """Where each signal's bits lie, worked out once per catalog row: first byte, number of
+    bytes, shift and mask.
 
     Little-endian fields count bits upwards from the lowest bit of byte 0. Big-endian fields
     name their most significant bit and run to the right, then on to the next byte.
     """
-    byte = F.floor(start_bit / 8).cast("int")
-    # Distance of the field's top bit from the top of its first byte (big-endian only).
-    skipped = F.lit(7) - F.pmod(start_bit, F.lit(8))
-    last = F.when(little_endian, F.floor((start_bit + length - 1) / 8)).otherwise(
-        byte + F.floor((skipped + length - 1) / 8)
-    )
-    shift = F.when(little_endian, F.pmod(start_bit, F.lit(8))).otherwise(
-        F.lit(7) - F.pmod(skipped + length - 1, F.lit(8))
-    )
-    count = last.cast("int") - byte + 1
+    start, length, little = F.col("start_bit"), F.col("length"), F.col("little_endian")
+    byte = F.floor(start / 8)
+    # Bits passed from the top of the first byte to the end of a big-endian field.
+    run = F.lit(7) - start % 8 + length
+    span = F.when(little, start % 8 + length).otherwise(run)
+    return catalog.select(
+        "file",
+        "frame_id",
+        F.col("signal").alias(f"{tag}signal"),
+        little.alias(f"{tag}little"),
+        byte.cast("int").alias(f"{tag}byte"),
+        F.ceil(span / 8).cast("int").alias(f"{tag}bytes"),
+        F.when(little, start % 8).otherwise(F.pmod(-run, F.lit(8))).cast("int").alias(f"{tag}shift"),
+        (F.pow(F.lit(2.0), length).cast("long") - 1).alias(f"{tag}mask"),
+        F.col("mux_signal").alias(f"{tag}mux_signal"),
+        F.col("mux_ranges").alias(f"{tag}mux_ranges"),
+    )
+
+
+def _raw(tag: str) -> Column:
+    """Unsigned raw value of the field laid out by the ``tag`` columns, null if the payload
+    is too short."""
+    payload, byte, count = F.col("payload"), F.col(f"{tag}byte"), F.col(f"{tag}bytes")
     digits = F.hex(F.substring(payload, byte + 1, count))
     # Little-endian: turn the byte pairs round, so that the first byte comes last.
     pairs = F.regexp_extract_all(digits, F.lit("(..)"), F.lit(1))
-    number = F.when(little_endian, F.array_join(F.reverse(pairs), "")).otherwise(digits)
-    # Up to nine bytes are touched: low eight bytes and one byte above them, joined after the
-    # shift so that everything stays within a long.
-    low = F.conv(F.right(number, F.lit(14)), 16, 10).cast("long")
-    high = F.coalesce(
-        F.conv(F.nullif(F.left(number, F.greatest(F.length(number) - 14, F.lit(0))), F.lit("")), 16, 10).cast(
-            "long"
-        ),
-        F.lit(0).cast("long"),
-    )
-    shifted = F.call_function("shiftright", low, shift.cast("int")).bitwiseOR(
-        F.call_function("shiftleft", high, (F.lit(56) - shift).cast("int"))
-    )
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), length.cast("int")) - 1
-    return F.when(F.octet_length(payload) >= last + 1, shifted.bitwiseAND(mask))
-
-
-def _layout(catalog: DataFrame, tag: str) -> DataFrame:
-    """Catalog rows as selectors, all columns marked with ``tag``."""
-    return catalog.select(
-        F.col("file"),
-        F.col("frame_id"),
-        F.col("signal").alias(f"{tag}_signal"),
-        *(F.col(c).alias(f"{tag}_{c}") for c in ("start_bit", "length", "little_endian")),
-        F.col("mux_signal").alias(f"{tag}_mux_signal"),
-        F.col("mux_ranges").alias(f"{tag}_mux_ranges"),
+    number = F.when(F.col(f"{tag}little"), F.array_join(F.reverse(pairs), "")).otherwise(digits)
+    # A field can touch nine bytes. The lower seven and the upper two are converted apart and
+    # put together after the shift, so that everything stays within a long.
+    padded = F.lpad(number, 18, "0")
+    low = F.conv(F.substring(padded, 5, 14), 16, 10).cast("long")
+    high = F.conv(F.substring(padded, 1, 4), 16, 10).cast("long")
+    shift = F.col(f"{tag}shift")
+    bits = F.call_function("shiftright", low, shift).bitwiseOR(
+        F.call_function("shiftleft", high, F.lit(56) - shift)
     )
+    return F.when(F.octet_length(payload) >= byte + count, bits.bitwiseAND(F.col(f"{tag}mask")))
 
 
 def _selected(ranges: str, tag: str) -> Column:
     """The selector's value in this frame lies in one of the ranges."""
-    value = raw_bits(
-        F.col("payload"), *(F.col(f"{tag}_{c}") for c in ("start_bit", "length", "little_endian"))
-    )
+    value = _raw(tag)
     return F.coalesce(F.exists(ranges, lambda r: value.between(r["lo"], r["hi"])), F.lit(False))
 
 
@@ -199,32 +195,33 @@ def decode_frames(frames: DataFrame, catalog: DataFrame) -> DataFrame:
     value; a selector may itself be multiplexed. Fields that reach beyond the payload, or are
     wider than ``MAX_BITS``, are left out.
     """
-    one = _layout(catalog, "_s")
-    two = _layout(catalog, "_p").drop("_p_mux_signal", "_p_mux_ranges")
+    usable = catalog.where(F.col("length") <= MAX_BITS)
+    key = ["file", "frame_id"]
     wanted = (
-        catalog.where(F.col("length") <= MAX_BITS)
-        .withColumn("_s_signal", F.col("mux_signal"))
-        .join(one, ["file", "frame_id", "_s_signal"], "left")
+        usable.select(*key, "bus", "message", "signal", "signed", "factor", "offset", "unit", "length")
+        .join(_layout(usable, "_").withColumnRenamed("_signal", "signal"), [*key, "signal"])
+        .withColumn("_s_signal", F.col("_mux_signal"))
+        .join(_layout(usable, "_s_"), [*key, "_s_signal"], "left")
         .withColumn("_p_signal", F.col("_s_mux_signal"))
-        .join(two, ["file", "frame_id", "_p_signal"], "left")
+        .join(_layout(usable, "_p_").drop("_p_mux_signal", "_p_mux_ranges"), [*key, "_p_signal"], "left")
     )
     on = ["bus", "frame_id"] if "bus" in frames.columns else ["frame_id"]
     if on == ["frame_id"]:
         wanted = wanted.drop("bus")
-    present = F.col("mux_signal").isNull() | (
-        _selected("mux_ranges", "_s")
-        & (F.col("_s_mux_signal").isNull() | _selected("_s_mux_ranges", "_p"))
+    present = F.col("_mux_signal").isNull() | (
+        _selected("_mux_ranges", "_s_")
+        & (F.col("_s_mux_signal").isNull() | _selected("_s_mux_ranges", "_p_"))
     )
-    raw = raw_bits(F.col("payload"), F.col("start_bit"), F.col("length"), F.col("little_endian"))
-    half = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("length") - 1)
+    # Half the value range: raw values from there on are negative if the signal is signed.
+    half = F.pow(F.lit(2.0), F.col("length") - 1).cast("long")
     signed = F.when(
-        F.col("signed") & (F.col("_raw") >= half), F.col("_raw") - half * 2
-    ).otherwise(F.col("_raw"))
+        F.col("signed") & (F.col("_value") >= half), F.col("_value") - half - half
+    ).otherwise(F.col("_value"))
     return (
         frames.join(wanted, on)
         .where(present)
-        .withColumn("_raw", raw)
-        .where(F.col("_raw").isNotNull())
+        .withColumn("_value", _raw("_"))
+        .where(F.col("_value").isNotNull())
         .select(
             *(c for c in frames.columns if c != "payload"),
             "message",

@@ -17,25 +17,26 @@ def manifest(spark: SparkSession, entries: Sequence[str]) -> DataFrame:
 
 
 def classify_backlog(entries: DataFrame) -> DataFrame:
-    """Add ``path`` (normalised), ``kind`` (device, session, file or reject), ``device`` and
-    ``session``.
+    """Add ``path`` (normalised), ``kind`` (device, session, file or reject), and the first
+    two path parts as ``device`` and ``session``.
 
     Entries that no rule accepts - lower-case devices, unknown extensions, files above the
     session level - stay visible as rejects.
     """
     entry = F.col("entry")
-    parts = F.split("path", "/")
+    parts = F.split(entry, "/")
     kind = (
         F.when(is_device_prefix(entry), "device")
         .when(is_session_prefix(entry), "session")
-        .when(is_log_file(F.col("path")) & (F.size(parts) >= 3), "file")
+        .when(is_log_file(entry) & (F.size(parts) >= 3), "file")
         .otherwise("reject")
     )
-    return (
-        entries.withColumn("path", as_prefix(entry))
-        .withColumn("kind", kind)
-        .withColumn("device", F.when(F.col("kind") != "reject", F.get(parts, F.lit(0))))
-        .withColumn("session", F.when(F.col("kind").isin("session", "file"), F.get(parts, F.lit(1))))
+    return entries.select(
+        "*",
+        as_prefix(entry).alias("path"),
+        kind.alias("kind"),
+        F.get(parts, F.lit(0)).alias("device"),
+        F.get(parts, F.lit(1)).alias("session"),
     )
 
 

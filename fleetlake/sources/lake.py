@@ -54,12 +54,14 @@ def read_path_layout(
     devices: Sequence[str] | None = None,
     dates: Sequence[date] | None = None,
     t: str = "t",
+    drift: bool = False,
 ) -> DataFrame:
     """A lake laid out as ``device/message/yyyy/mm/dd/file.parquet``.
 
     The path parts become columns. Wanted devices, messages and days select the folders that
     are listed and read at all, which is partition pruning for a layout without ``k=v`` names.
-    Signals that only some files have are null elsewhere.
+    ``drift`` looks at every file's schema instead of one: signals that only some files have
+    are then null elsewhere.
     """
     days = None if dates is None else [d.strftime("%Y/%m/%d") for d in dates]
     glob = "/".join(
@@ -72,7 +74,7 @@ def read_path_layout(
         ]
     )
     try:
-        rows = spark.read.option("mergeSchema", True).parquet(glob)
+        rows = spark.read.option("mergeSchema", drift).parquet(glob)
     except AnalysisException as error:
         if not _path_not_found(error):
             raise
@@ -82,17 +84,17 @@ def read_path_layout(
 
 
 def read_lake(
-    spark: SparkSession, root: str, message: str | None = None, t: str = "t"
+    spark: SparkSession, root: str, message: str | None = None, t: str = "t", drift: bool = False
 ) -> DataFrame | None:
     """A lake written by ``write_message``: folders by device, message and date.
 
     With ``message``, only that message's folders are listed and the schema is its own; None
     if there are none. Filters on the folder columns prune (``PartitionFilters``), all others
-    reach the files.
+    reach the files. ``drift`` as in ``read_path_layout``.
     """
     root = root.rstrip("/")
     path = root if message is None else f"{root}/device=*/message={message}"
-    options = {"mergeSchema": True, "basePath": root}
+    options = {"mergeSchema": drift, "basePath": root}
     try:
         found = spark.read.options(**options).parquet(path).schema
     except AnalysisException as error:
@@ -127,11 +129,11 @@ class Lake:
         return cls(lambda wanted: df.where(F.col("message").isin(list(wanted))), names)
 
     @classmethod
-    def of_folder(cls, spark: SparkSession, root: str) -> Lake:
+    def of_folder(cls, spark: SparkSession, root: str, drift: bool = False) -> Lake:
         """Message folders written by ``write_message``."""
 
         def rows(wanted: Sequence[str]) -> DataFrame | None:
-            frames = [f for f in (read_lake(spark, root, m) for m in wanted) if f is not None]
+            frames = [f for f in (read_lake(spark, root, m, drift=drift) for m in wanted) if f is not None]
             return (
                 reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
                 if frames

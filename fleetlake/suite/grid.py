@@ -142,7 +142,8 @@ def _combine_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_custom(rows, "combine_dtcs")
 
 
-def _first_fence_sql(lat: str, fences) -> str:
+def fence_hits_sql(lat: str, fences) -> str:
+    """CTEs with the first fence around each position."""
     lines = ", ".join(
         f"({i}, {f['id']}, {f['latitude']!r}, {f['longitude']!r}, {f['radius']!r})" for i, f in enumerate(fences)
     )
@@ -151,8 +152,15 @@ def _first_fence_sql(lat: str, fences) -> str:
 fences(pos, id, latitude, longitude, radius) AS (VALUES {lines}),
 hits AS (
   SELECT event_id, arg_min(f.id, f.pos) AS id FROM signals s JOIN fences f ON {distance} <= f.radius GROUP BY event_id
-)
+)"""
+
+
+def _first_fence_sql(lat: str, fences) -> str:
+    return (
+        fence_hits_sql(lat, fences)
+        + """
 SELECT s.event_id, CAST(coalesce(h.id, 0) AS BIGINT) AS GeofenceId FROM signals s LEFT JOIN hits h ON s.event_id = h.event_id"""
+    )
 
 
 _FILE = "device, date, file_name"

@@ -14,15 +14,19 @@ from ..streaming.incremental import Incremental, run_incremental, stream_files
 from ..streaming.trips import stream_trips
 from .base import as_signals, table, with_signals
 from .events import edge_ctes
-from .grid import FENCES
+from .grid import FENCES, fence_hits_sql
 from .grid import ORACLES as GRID_ORACLES
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Devices where a query writes a lake: few, so that the test tables do not turn into tiny files.
+_FEW = 2
+
+
+def _stream(spark: SparkSession, sf_dir: str, devices: int = 16) -> DataFrame:
     """The events file as a stream of message rows."""
     use_utc(spark)
     schema = table(spark, sf_dir, "events").schema
-    return as_signals(stream_files(spark, sf_dir, schema, glob="events.parquet"))
+    return as_signals(stream_files(spark, sf_dir, schema, glob="events.parquet"), devices)
 
 
 def _appended(stream: DataFrame, label: str) -> DataFrame:
@@ -102,7 +106,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         context=CustomContext(fences=FENCES),
         width="6 hours",
     )
-    run_incremental(_stream(spark, sf_dir), job, f"{folder}/checkpoint")
+    run_incremental(_stream(spark, sf_dir, _FEW), job, f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/events").select(
         "t", "EventName", "DeviceID", "EventId", "Message", "Signal", "EventType", "EventValue", "SignalValue", "date", "file_name"
     )
@@ -123,9 +127,10 @@ QUERIES = {
     "stream_edges": _continuous,
 }
 
-_FENCE_EVENTS = GRID_ORACLES["geofence"].replace(
-    "SELECT s.event_id, CAST(coalesce(h.id, 0) AS BIGINT) AS GeofenceId FROM signals s LEFT JOIN hits h ON s.event_id = h.event_id",
-    """, placed AS (
+_FENCE_EVENTS = with_signals(
+    fence_hits_sql("s.Latitude", FENCES).strip()
+    + """,
+placed AS (
   SELECT s.*, coalesce(h.id, 0) AS GeofenceId FROM signals s LEFT JOIN hits h ON s.event_id = h.event_id WHERE message = 'view'
 ),"""
     + edge_ctes("placed", "device, date, file_name", "GeofenceId = 0", "GeofenceId = 7")
@@ -134,6 +139,7 @@ SELECT t, 'AtDepot' AS EventName, device AS DeviceID, 'AtDepot_' || device || '_
        'Fences' AS Message, 'GeofenceId' AS Signal, e AS EventType, CAST(ev AS BIGINT) AS EventValue,
        CAST(GeofenceId AS DOUBLE) AS SignalValue, date, file_name
 FROM (SELECT *, 'Start' AS e, 1 AS ev FROM rising UNION ALL SELECT *, 'Stop', 0 FROM falling)""",
+    _FEW,
 )
 
 ORACLES = {
