@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Slots per e-fold of magnitude in the first narrowing step.
-_LOG_STEPS = 256.0
+_LOG_STEPS = 16.0
 #: Equal slices of the remaining interval in the second narrowing step.
 _SLICES = 65_536.0
 

@@ -47,16 +47,13 @@ def select_messages(
             (F.size(F.array_except(wanted, F.col("messages"))) == 0) & (F.size("messages") > 0)
         )
     if mode == "all_present" and match_type == "contains":
-        everywhere = (
+        # A group's matches are part of the run's matches: it has all if it has as many. The
+        # count is a single row, which Spark knows and broadcasts.
+        wanted = (
             chosen.select(F.explode("messages").alias("m"))
-            .agg(F.collect_set("m").alias("_wanted"))
+            .agg(F.countDistinct("m").cast("int").alias("_wanted"))
         )
-        # One row, at most as long as the catalog.
-        return (
-            chosen.join(F.broadcast(everywhere))
-            .where(
-                (F.size(F.array_except("_wanted", "messages")) == 0) & (F.size("messages") > 0)
-            )
-            .drop("_wanted")
+        return chosen.where(F.size("messages") > 0).join(
+            wanted, F.size("messages") == F.col("_wanted"), "left_semi"
         )
     return chosen.where(F.size("messages") > 0)

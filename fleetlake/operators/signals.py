@@ -135,36 +135,46 @@ def parse_catalog(lines: DataFrame) -> DataFrame:
 
 
 def _layout(catalog: DataFrame, tag: str) -> DataFrame:
-    """Where each signal's bits lie, worked out once per catalog row: first byte, number of
-    bytes, shift and mask.
+    """Where each signal's bits lie, worked out once per catalog row.
 
     Little-endian fields count bits upwards from the lowest bit of byte 0. Big-endian fields
     name their most significant bit and run to the right, then on to the next byte.
     """
     start, length, little = F.col("start_bit"), F.col("length"), F.col("little_endian")
     byte = F.floor(start / 8)
-    # Bits passed from the top of the first byte to the end of a big-endian field.
+    # Bits from the top of the first byte to the end of a big-endian field.
     run = F.lit(7) - start % 8 + length
     span = F.when(little, start % 8 + length).otherwise(run)
-    return catalog.select(
-        "file",
-        "frame_id",
-        F.col("signal").alias(f"{tag}signal"),
-        little.alias(f"{tag}little"),
-        byte.cast("int").alias(f"{tag}byte"),
-        F.ceil(span / 8).cast("int").alias(f"{tag}bytes"),
-        F.when(little, start % 8).otherwise(F.pmod(-run, F.lit(8))).cast("int").alias(f"{tag}shift"),
-        (F.pow(F.lit(2.0), length).cast("long") - 1).alias(f"{tag}mask"),
-        F.col("mux_signal").alias(f"{tag}mux_signal"),
-        F.col("mux_ranges").alias(f"{tag}mux_ranges"),
-    )
-
-
-def _raw(tag: str) -> Column:
-    """Unsigned raw value of the field laid out by the ``tag`` columns, null if the payload
-    is too short."""
-    payload, byte, count = F.col("payload"), F.col(f"{tag}byte"), F.col(f"{tag}bytes")
-    digits = F.hex(F.substring(payload, byte + 1, count))
+    columns = {
+        "signal": F.col("signal"),
+        "little": little,
+        "byte": byte.cast("int"),
+        "bytes": F.ceil(span / 8).cast("int"),
+        # Shift within the bytes touched, and within the whole first word.
+        "shift": F.when(little, start % 8).otherwise(F.pmod(-run, F.lit(8))).cast("int"),
+        "word_shift": F.when(little, start).otherwise(F.lit(64) - byte * 8 - run).cast("int"),
+        "mask": F.pow(F.lit(2.0), length).cast("long") - 1,
+        "mux_signal": F.col("mux_signal"),
+        "mux_ranges": F.col("mux_ranges"),
+    }
+    return catalog.select("file", "frame_id", *(c.alias(tag + n) for n, c in columns.items()))
+
+
+def _with_words(frames: DataFrame) -> DataFrame:
+    """The first eight bytes as one number, in both byte orders: once per frame."""
+    digits = F.rpad(F.hex(F.substring("payload", 1, 8)), 16, "0")
+    turned = F.concat(*(F.substring(digits, i, 2) for i in range(15, 0, -2)))
+    return frames.select(
+        "*",
+        F.octet_length("payload").alias("_size"),
+        F.conv(digits, 16, -10).cast("long").alias("_be"),
+        F.conv(turned, 16, -10).cast("long").alias("_le"),
+    )
+
+
+def _long_field(tag: str) -> Column:
+    """A field that lies behind the first eight bytes, from the text of the bytes it touches."""
+    digits = F.hex(F.substring(F.col("payload"), F.col(f"{tag}byte") + 1, F.col(f"{tag}bytes")))
     # Little-endian: turn the byte pairs round, so that the first byte comes last.
     pairs = F.regexp_extract_all(digits, F.lit("(..)"), F.lit(1))
     number = F.when(F.col(f"{tag}little"), F.array_join(F.reverse(pairs), "")).otherwise(digits)
@@ -174,10 +184,20 @@ def _raw(tag: str) -> Column:
     low = F.conv(F.substring(padded, 5, 14), 16, 10).cast("long")
     high = F.conv(F.substring(padded, 1, 4), 16, 10).cast("long")
     shift = F.col(f"{tag}shift")
-    bits = F.call_function("shiftright", low, shift).bitwiseOR(
+    return F.call_function("shiftright", low, shift).bitwiseOR(
         F.call_function("shiftleft", high, F.lit(56) - shift)
     )
-    return F.when(F.octet_length(payload) >= byte + count, bits.bitwiseAND(F.col(f"{tag}mask")))
+
+
+def _raw(tag: str) -> Column:
+    """Unsigned raw value of the field laid out by the ``tag`` columns, null if the payload
+    is too short."""
+    end = F.col(f"{tag}byte") + F.col(f"{tag}bytes")
+    word = F.when(F.col(f"{tag}little"), F.col("_le")).otherwise(F.col("_be"))
+    bits = F.when(
+        end <= 8, F.call_function("shiftrightunsigned", word, F.col(f"{tag}word_shift"))
+    ).otherwise(_long_field(tag))
+    return F.when(F.col("_size") >= end, bits.bitwiseAND(F.col(f"{tag}mask")))
 
 
 def _selected(ranges: str, tag: str) -> Column:
@@ -218,7 +238,8 @@ def decode_frames(frames: DataFrame, catalog: DataFrame) -> DataFrame:
         F.col("signed") & (F.col("_value") >= half), F.col("_value") - half - half
     ).otherwise(F.col("_value"))
     return (
-        frames.join(wanted, on)
+        _with_words(frames)
+        .join(wanted, on)
         .where(present)
         .withColumn("_value", _raw("_"))
         .where(F.col("_value").isNotNull())

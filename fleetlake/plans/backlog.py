@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import as_prefix, is_device_prefix, is_log_file, is_session_prefix
-from ..operators.chunks import ordered_index
+from ..operators.chunks import ordered_index, salt_of, salted
+
+_SALTS = 32
 
 
 def manifest(spark: SparkSession, entries: Sequence[str]) -> DataFrame:
@@ -61,26 +63,47 @@ def expand_backlog(entries: DataFrame, listing: DataFrame) -> DataFrame:
     that asks for the session; ``file_pos`` is -1 for files found by a prefix and the entry
     position for files named by themselves only.
     """
-    known = classify_backlog(entries).where(F.col("kind") != "reject")
-    files = _listed(listing)
-    # The manifest is a few thousand lines; Spark broadcasts it by its known size.
-    devices = known.where(F.col("kind") == "device").groupBy("device").agg(F.min("pos").alias("pos"))
+    known = classify_backlog(entries)
+    # The manifest is a few thousand lines; Spark broadcasts these by their size.
+    devices = (
+        known.where(F.col("kind") == "device")
+        .groupBy("device")
+        .agg(F.min("pos").alias("_device_pos"))
+    )
     sessions = (
         known.where(F.col("kind") == "session")
         .groupBy("device", "session")
-        .agg(F.min("pos").alias("pos"))
+        .agg(F.min("pos").alias("_pos"))
     )
-    found = files.join(devices, "device").unionByName(files.join(sessions, ["device", "session"]))
-    named = known.where(F.col("kind") == "file").select("path", "device", "session", "pos")
-    rows = found.withColumn("file_pos", F.lit(-1).cast("long")).unionByName(
-        named.withColumn("file_pos", F.col("pos"))
+    found = (
+        _listed(listing)
+        .join(devices, "device", "left")
+        .join(sessions, ["device", "session"], "left")
+        .select(
+            "device",
+            "session",
+            "path",
+            F.least("_device_pos", "_pos").alias("pos"),
+            F.lit(-1).cast("long").alias("file_pos"),
+        )
+        .where(F.col("pos").isNotNull())
     )
-    unique = rows.groupBy("device", "session", "path").agg(
-        F.min("pos").alias("pos"), F.min("file_pos").alias("file_pos")
+    named = known.where(F.col("kind") == "file").select(
+        "device", "session", "path", "pos", F.col("pos").alias("file_pos")
     )
-    first = unique.groupBy("device", "session").agg(F.min("pos").alias("session_pos"))
-    return unique.join(first, ["device", "session"]).select(
-        "device", "session", "path", "session_pos", "file_pos"
+    unique = (
+        found.unionByName(named)
+        .groupBy("device", "session", "path")
+        .agg(F.min("pos").alias("pos"), F.min("file_pos").alias("file_pos"))
+    )
+    # One small row per session, repeated under each salt for sessions with very many files.
+    first = salted(
+        unique.groupBy("device", "session").agg(F.min("pos").alias("session_pos")), _SALTS
+    )
+    return (
+        unique.withColumn("_salt", salt_of(F.col("path"), _SALTS))
+        .join(first, ["device", "session", "_salt"])
+        .select("device", "session", "path", "session_pos", "file_pos")
     )
 
 
@@ -94,8 +117,9 @@ def plan_batches(
     ``largest``. ``always_split`` regroups in any case.
     """
     # Two rows decide whether there is more than one session.
-    several = len(files.select("device", "session").distinct().take(2)) > 1
-    regroup = always_split or (several and entries < smallest)
+    regroup = always_split or (
+        entries < smallest and len(files.select("device", "session").distinct().take(2)) > 1
+    )
     within = ["file_pos", "path"]
     if not regroup:
         placed = ordered_index(

@@ -12,7 +12,7 @@ from ..functions.timegrid import duration_us
 from ..operators.aggregate import TRIP_KEYS, known_aggregations, numeric_signals, trip_aggregate
 from ..operators.trips import trip_rows, trip_windows
 from ..schema import TRIP_SUMMARY_SCHEMA
-from ..session import work_folder
+from ..session import stored
 from ..sources.configs import Cluster, TripConfig
 from ..sources.lake import Lake
 
@@ -20,17 +20,6 @@ from ..sources.lake import Lake
 TRIP_BUCKET = "10 minutes"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back.
-
-    It is computed once for all its uses, survives lost executors, and Spark plans with its
-    real size: small tables get broadcast, large ones do not.
-    """
-    folder = work_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def _wanted(df: DataFrame, config: TripConfig, cluster: Cluster) -> DataFrame:
     return df.where(
         F.col("date").between(F.lit(config.start), F.lit(config.end))

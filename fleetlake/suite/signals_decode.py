@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.signals import decode_frames, parse_catalog
+from ..session import stored
 from .base import signals, table, with_signals
 
 
@@ -91,7 +92,8 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
         [("can9-fleet.dbc", n, line) for n, line in enumerate(CATALOG_TEXT.splitlines())],
         "file string, line_no int, line string",
     )
-    return decode_frames(_frames(spark, sf_dir), parse_catalog(lines)).select(
+    catalog = stored(parse_catalog(lines), "catalog")
+    return decode_frames(_frames(spark, sf_dir), catalog).select(
         "device", "t", "event_id", "frame_id", "message", "signal", F.round("value", 6).alias("value"), "unit"
     )
 

@@ -56,7 +56,8 @@ def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _inside(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trip_rows(signals(spark, sf_dir), _windows(spark, sf_dir))
+    rows = signals(spark, sf_dir)
+    return trip_rows(rows, trip_windows(rows, GAP, SHORTEST))
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
