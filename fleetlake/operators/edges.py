@@ -12,12 +12,20 @@ from ..schema import SERIES_KEYS
 from .chunks import CHUNK, DEFAULT_CHUNK, chunk_rows, earlier_chunks, with_chunk
 
 
+def thresholds(
+    signal: Column, lower: float, upper: float, exact: bool = False
+) -> tuple[Column, Column]:
+    """``(below, above)`` predicates, null for a missing value."""
+    if exact:
+        return signal == F.lit(lower), signal == F.lit(upper)
+    return signal <= F.lit(lower), signal >= F.lit(upper)
+
+
 def threshold_flags(
     signal: Column, lower: float, upper: float, exact: bool = False
 ) -> tuple[Column, Column]:
-    """``(below, above)`` predicates; a missing value is neither."""
-    below = signal == F.lit(lower) if exact else signal <= F.lit(lower)
-    above = signal == F.lit(upper) if exact else signal >= F.lit(upper)
+    """``(below, above)`` flags; a missing value is neither."""
+    below, above = thresholds(signal, lower, upper, exact)
     return F.coalesce(below, F.lit(False)), F.coalesce(above, F.lit(False))
 
 
@@ -45,8 +53,13 @@ def _flagged(
     df: DataFrame, signal: str, lower: float, upper: float, exact: bool, t: str
 ) -> DataFrame:
     """Rows with their flags; those that cannot matter are left out at the scan."""
-    below, above = threshold_flags(F.col(signal), lower, upper, exact)
-    rows = df.where(below | above) if never_both(lower, upper, exact) else df
+    value = F.col(signal)
+    below, above = threshold_flags(value, lower, upper, exact)
+    rows = df
+    if never_both(lower, upper, exact):
+        # Bare comparisons, which Spark can push to the scan.
+        low, high = thresholds(value, lower, upper, exact)
+        rows = df.where(low | high)
     return rows.select("*", below.alias("_below"), above.alias("_above"), micros(t).alias("_us"))
 
 

@@ -43,22 +43,22 @@ def resample_grid(
     filled = (
         df.where(F.col(t).isNotNull())
         .select(*keys, *signals, micros(t).alias("_us"))
-        .withColumn("_label", F.explode(labels))
-        .groupBy(*keys, "_label")
-        .agg(
-            *(F.max_by(s, us).alias(s) for s in signals),
-            F.max(us).alias("_last"),
-        )
+        .select(*keys, *signals, "_us", F.explode(labels).alias("_label"))
+        # The label becomes the new time before grouping, so that joins on the time find rows
+        # already partitioned by it.
+        .select(*keys, *signals, "_us", F.timestamp_micros("_label").alias(t))
+        .groupBy(*keys, t)
+        .agg(*(F.max_by(s, us).alias(s) for s in signals), F.max(us).alias("_last"))
     )
     # Only the latest label of a series can lie after its last row.
     beyond = (
         filled.groupBy(*keys)
-        .agg(F.max("_label").alias("_label"), F.max("_last").alias("_last"))
-        .where(F.col("_last") < F.col("_label"))
-        .select(*keys, "_label")
+        .agg(F.max(t).alias(t), F.max("_last").alias("_last"))
+        .where(F.col("_last") < micros(t))
+        .select(*keys, t)
     )
-    kept = filled.join(beyond, [*keys, "_label"], "left_anti").na.drop("all", subset=signals)
-    return kept.select(*keys, F.timestamp_micros("_label").alias(t), *signals)
+    kept = filled.join(beyond, [*keys, t], "left_anti").na.drop("all", subset=signals)
+    return kept.select(*keys, t, *signals)
 
 
 def prefixed(df: DataFrame, message: str, signals: Sequence[str]) -> DataFrame:

@@ -26,9 +26,8 @@ def read_signal_catalog(spark: SparkSession, path: str | Sequence[str]) -> DataF
     """Catalog rows of all ``can*`` / ``lin*`` text files below ``path``."""
     # A catalog file is one small text; read whole, it keeps its line order.
     texts = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "{can,lin}*.dbc")
-        .text(path)
+        spark.read.option("pathGlobFilter", "{can,lin}*.dbc")
+        .text(path, wholetext=True)
         .select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
     )
     lines = texts.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))

@@ -34,6 +34,11 @@ def event_messages(lake: Lake, event: Mapping) -> list[str]:
 
 def _triggers(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per trigger signal: all triggers of an event share scan, sort and join."""
+    if len(names) == 1:
+        # A plain column, so that thresholds can reach the scan.
+        others = [c for c in df.columns if c not in names]
+        value = F.col(names[0]).cast("double").alias("SignalValue")
+        return df.select(*others, F.lit(names[0]).alias("Signal"), value)
     pairs = [F.struct(F.lit(n).alias("Signal"), F.col(n).cast("double").alias("v")) for n in names]
     others = [c for c in df.columns if c not in names]
     return df.select(*others, F.explode(F.array(*pairs)).alias("_p")).select(

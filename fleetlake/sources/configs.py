@@ -52,7 +52,7 @@ class ConfigError(ValueError):
 def read_document(spark: SparkSession, path: str):
     """The parsed document, or None if it is missing or not valid JSON."""
     try:
-        row = spark.read.option("wholetext", True).text(path).first()
+        row = spark.read.text(path, wholetext=True).first()
     except Exception as error:  # the reader reports a missing path in several ways
         if "PATH_NOT_FOUND" not in str(error):
             raise

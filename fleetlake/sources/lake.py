@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -203,7 +204,11 @@ def publish(df: DataFrame, root: str, partition: Sequence[str], t: str = "t") ->
     """Write and return the number of rows, counted while writing; none is an error."""
     seen = Observation()
     write_partitioned(df.observe(seen, F.count(F.lit(1)).alias("rows")), root, partition, t)
-    rows = seen.get["rows"]
+    try:
+        rows = seen.get["rows"]
+    except Py4JJavaError:
+        # Rows that Spark knows to be none without looking are not observed at all.
+        rows = 0
     if not rows:
         raise PublishedNothing(f"no rows to publish to {root}")
     return rows

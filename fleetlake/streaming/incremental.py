@@ -103,11 +103,11 @@ class Incremental:
         found = event_table(
             batch.sparkSession, with_derived(lake, derived), self.general or {}, self.events, self.width
         )
-        write_partitioned(
-            found.withColumn(BATCH, F.lit(batch_id)), self.events_root, ["date", BATCH]
-        )
+        found = found.withColumn(BATCH, F.lit(batch_id))
+        write_partitioned(found, self.events_root, ["date", BATCH])
         if self.deliver:
-            stored = batch.sparkSession.read.parquet(self.events_root).where(F.col(BATCH) == batch_id)
+            reader = batch.sparkSession.read.schema(found.schema)
+            stored = reader.parquet(self.events_root).where(F.col(BATCH) == batch_id)
             body = (self.general or {}).get("static_body_content", "")
             # One notice per configured event name.
             self.deliver(first_notifications(stored, body).collect())
