@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_KM = 6371.0
@@ -14,6 +13,9 @@ EARTH_RADIUS_KM = 6371.0
 #: Up to this many fences are folded into one compiled expression.
 FOLD_LIMIT = 64
 
+#: Most fence-cell rows (about 60 bytes each) that are broadcast.
+BROADCAST_CELLS = 200_000
+
 
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Distance in km between two positions in degrees."""
@@ -108,8 +110,8 @@ def with_fence(
 
     Short fence lists become one compiled expression, without a join. Longer lists are cut
     into cells: each cell lists its candidate fences once, so the lookup matches at most one
-    row per position and never multiplies rows. Spark sees the size of the cell table and
-    broadcasts it only below its own threshold.
+    row per position and never multiplies rows. The cells are broadcast while there are at most
+    ``BROADCAST_CELLS`` of them; beyond that Spark joins by shuffle, splitting hot cells.
     """
     fences = list(fences)
     lat_c, lon_c = F.col(lat), F.col(lon)
@@ -130,6 +132,8 @@ def with_fence(
             ).alias("_fences")
         )
     )
+    if len(rows) <= BROADCAST_CELLS:
+        cells = F.broadcast(cells)
     keyed = df.withColumn("_row", F.floor((lat_c + 90) / edge).cast("long")).withColumn(
         "_column", F.floor(F.pmod(lon_c + 180, F.lit(360.0)) / edge).cast("long")
     )

@@ -12,6 +12,9 @@ from ..operators.chunks import ordered_index, salt_of, salted
 
 _SALTS = 32
 
+#: Longest manifest (in entries) that is broadcast.
+BROADCAST_ENTRIES = 500_000
+
 
 def manifest(spark: SparkSession, entries: Sequence[str]) -> DataFrame:
     """``pos, entry`` in manifest order."""
@@ -55,16 +58,20 @@ def _listed(listing: DataFrame) -> DataFrame:
     )
 
 
-def expand_backlog(entries: DataFrame, listing: DataFrame) -> DataFrame:
+def expand_backlog(
+    entries: DataFrame, listing: DataFrame, entry_count: int | None = None
+) -> DataFrame:
     """Distinct log files a manifest asks for: ``device, session, path, session_pos, file_pos``.
 
     Both prefix kinds become equi-joins on keys taken from the path. A file listed twice - by
     itself, by its session, by its device - is one row. ``session_pos`` is the first entry
     that asks for the session; ``file_pos`` is -1 for files found by a prefix and the entry
     position for files named by themselves only.
+
+    A manifest of known length (``entry_count``) up to ``BROADCAST_ENTRIES`` is broadcast; else
+    Spark decides, and splits hot devices where it joins by shuffle.
     """
     known = classify_backlog(entries)
-    # The manifest is a few thousand lines; Spark broadcasts these by their size.
     devices = (
         known.where(F.col("kind") == "device")
         .groupBy("device")
@@ -75,6 +82,8 @@ def expand_backlog(entries: DataFrame, listing: DataFrame) -> DataFrame:
         .groupBy("device", "session")
         .agg(F.min("pos").alias("_pos"))
     )
+    if entry_count is not None and entry_count <= BROADCAST_ENTRIES:
+        devices, sessions = F.broadcast(devices), F.broadcast(sessions)
     found = (
         _listed(listing)
         .join(devices, "device", "left")

@@ -8,17 +8,13 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import lake_parts
-from ..functions.timegrid import bucket, duration_us, micros
 from ..schema import PATH_COLUMNS
-
-#: Rows of one day folder are spread over this much time per write task.
-WRITE_CHUNK = "1 hour"
-
+from .objects import list_objects
 
 def normalise(df: DataFrame, t: str = "t") -> DataFrame:
     """Times as ``TIMESTAMP`` and NaN as null, so that both engines' missing values agree."""
@@ -85,19 +81,26 @@ def read_path_layout(
 
 
 def read_lake(
-    spark: SparkSession, root: str, message: str | None = None, t: str = "t", drift: bool = False
+    spark: SparkSession,
+    root: str,
+    message: str | None = None,
+    t: str = "t",
+    drift: bool = False,
+    schema: T.StructType | None = None,
 ) -> DataFrame | None:
     """A lake written by ``write_message``: folders by device, message and date.
 
     With ``message``, only that message's folders are listed and the schema is its own; None
     if there are none. Filters on the folder columns prune (``PartitionFilters``), all others
-    reach the files. ``drift`` as in ``read_path_layout``.
+    reach the files. ``drift`` as in ``read_path_layout``; a known ``schema`` (with the folder
+    columns) spares looking into any file.
     """
     root = root.rstrip("/")
     path = root if message is None else f"{root}/device=*/message={message}"
-    options = {"mergeSchema": drift, "basePath": root}
     try:
-        found = spark.read.options(**options).parquet(path).schema
+        if schema is not None:
+            return normalise(spark.read.schema(schema).options(basePath=root).parquet(path), t)
+        found = spark.read.options(mergeSchema=drift, basePath=root).parquet(path).schema
     except AnalysisException as error:
         if not _path_not_found(error):
             raise
@@ -142,10 +145,9 @@ class Lake:
             )
 
         def names() -> list[str]:
-            lake = read_lake(spark, root)
-            return [] if lake is None else sorted(
-                r[0] for r in lake.select("message").distinct().collect()
-            )
+            # From the listing alone; as many names as the catalog has messages.
+            name = F.regexp_extract("path", "message=([^/]+)/", 1).alias("name")
+            return sorted(r.name for r in list_objects(spark, root).select(name).distinct().collect() if r.name)
 
         return cls(rows, names)
 
@@ -160,19 +162,15 @@ class Lake:
         return self._rows(names) if names else None
 
 
-def _spread(df: DataFrame, partition: Sequence[str], t: str) -> DataFrame:
-    """Rows of one folder go to several tasks, by hour: a hot folder has no single writer."""
-    chunk: Column = bucket(micros(t), duration_us(WRITE_CHUNK))
-    return df.repartition(*(F.col(c) for c in partition), chunk)
-
-
-def write_partitioned(df: DataFrame, root: str, partition: Sequence[str], t: str = "t") -> None:
+def write_partitioned(df: DataFrame, root: str, partition: Sequence[str]) -> None:
     """Write below ``root``, replacing exactly the partitions that ``df`` has rows for.
 
-    Rerunning a day therefore replaces the day; days without results keep what they had.
+    Rerunning a day therefore replaces the day; days without results keep what they had. Rows
+    are rebalanced by partition: AQE lets one task write many small partitions, and splits a
+    hot one over as many tasks as its size needs.
     """
     (
-        _spread(df, partition, t)
+        df.hint("rebalance", *(F.col(c) for c in partition))
         .write.option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .partitionBy(*partition)
@@ -193,17 +191,17 @@ def write_events(events: DataFrame, root: str) -> None:
 
 def write_trip_summary(summary: DataFrame, root: str) -> None:
     """Store trip rows by (folder) day."""
-    write_partitioned(summary, root, ["date"], t="TripStart")
+    write_partitioned(summary, root, ["date"])
 
 
 class PublishedNothing(RuntimeError):
     """A run that was to publish rows had none."""
 
 
-def publish(df: DataFrame, root: str, partition: Sequence[str], t: str = "t") -> int:
+def publish(df: DataFrame, root: str, partition: Sequence[str]) -> int:
     """Write and return the number of rows, counted while writing; none is an error."""
     seen = Observation()
-    write_partitioned(df.observe(seen, F.count(F.lit(1)).alias("rows")), root, partition, t)
+    write_partitioned(df.observe(seen, F.count(F.lit(1)).alias("rows")), root, partition)
     try:
         rows = seen.get["rows"]
     except Py4JJavaError:

@@ -88,26 +88,43 @@ class Incremental:
     deliver: Deliver | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # Every rule reads the batch again; its size is bounded by the files per batch.
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                self._process(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _store(self, df: DataFrame, root: str, partition: Sequence[str], batch_id: int) -> DataFrame:
+        """Write the rows of this batch and hand back what was written."""
+        rows = df.withColumn(BATCH, F.lit(batch_id))
+        write_partitioned(rows, root, [*partition, BATCH])
+        stored = df.sparkSession.read.schema(rows.schema).parquet(root)
+        return stored.where(F.col(BATCH) == batch_id).drop(BATCH)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         lake = Lake.of_frame(batch)
         derived = custom_messages(lake, self.custom, self.context)
+        if self.final:
+            derived = {name: self.final(df) for name, df in derived.items()}
         if self.messages_root:
             for name, df in derived.items():
-                rows = df.withColumns({"message": F.lit(name), BATCH: F.lit(batch_id)})
-                rows = self.final(rows) if self.final else rows
-                write_partitioned(rows, self.messages_root, ["message", "device", "date", BATCH])
+                stored = self._store(
+                    df.withColumn("message", F.lit(name)),
+                    self.messages_root,
+                    ["message", "device", "date"],
+                    batch_id,
+                )
+                derived[name] = stored.where(F.col("message") == name).drop("message")
         if not self.events_root or not self.events:
             return
         # Events may be triggered by derived messages, which is why these come first.
         found = event_table(
             batch.sparkSession, with_derived(lake, derived), self.general or {}, self.events, self.width
         )
-        found = found.withColumn(BATCH, F.lit(batch_id))
-        write_partitioned(found, self.events_root, ["date", BATCH])
+        stored = self._store(found, self.events_root, ["date"], batch_id)
         if self.deliver:
-            reader = batch.sparkSession.read.schema(found.schema)
-            stored = reader.parquet(self.events_root).where(F.col(BATCH) == batch_id)
             body = (self.general or {}).get("static_body_content", "")
             # One notice per configured event name.
             self.deliver(first_notifications(stored, body).collect())

@@ -7,12 +7,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import device_of, forward_slashes, lake_parts
+from ..functions.paths import device_of, forward_slashes
 from ..operators.select import file_groups, select_messages
 from ..schema import SERIES_KEYS
 from ..session import work_folder
 from ..sources.configs import (
-    AGGREGATIONS_DOC,
     BACKLOG_DOC,
     GEOFENCES_DOC,
     catalog_groups,
@@ -22,7 +21,7 @@ from ..sources.lake import read_lake, write_message, write_trip_summary
 from ..sources.objects import filter_objects, list_objects, with_lake_parts
 from ..sources.triggers import trigger_paths
 from .base import signals, table, with_signals
-from .trips import CONFIG, trip_summary
+from .trips import trip_summary
 
 #: Devices of the written lake: few, so that the test tables do not turn into tiny files.
 _LAKE_DEVICES = 2
@@ -217,22 +216,19 @@ def _config_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("f.name").alias("name"),
         F.round(F.col("f.latitude") + F.col("f.longitude"), 6).alias("number"),
     )
-    manifests = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
-        F.sort_array(F.collect_set("o_orderkey")).alias("o")
-    )
-    documents = manifests.select(
-        "o_custkey",
+    documents = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
         F.to_json(
             F.struct(
                 F.struct(F.struct(F.lit(10).alias("min"), F.lit(256).alias("max")).alias("batch_size")).alias("config"),
-                F.transform("o", lambda k: F.concat(F.lit("D"), k.cast("string"))).alias("files"),
+                F.array(*(F.concat(F.lit(p), F.col(c).cast("string")) for p, c in (("D", "o_orderkey"), ("C", "o_custkey")))).alias("files"),
             )
         ).alias("document"),
     )
-    backlog = parse_documents(documents, BACKLOG_DOC).select("o_custkey", "parsed.config", F.explode("parsed.files").alias("file"))
+    backlog = parse_documents(documents, BACKLOG_DOC).select("o_orderkey", "parsed.config", F.explode("parsed.files").alias("file"))
     from_backlog = backlog.select(
         F.lit("backlog").alias("kind"),
-        F.col("o_custkey").alias("id"),
+        F.col("o_orderkey").alias("id"),
         F.col("file").alias("name"),
         F.col("config.batch_size.max").cast("double").alias("number"),
     )
@@ -265,8 +261,6 @@ QUERIES = {
     "trip_summary_rerun": _summary_rerun,
 }
 
-_LAKE_SQL = "SELECT {columns} FROM signals"
-
 _GROUPS_SQL = """
 groups AS (
   SELECT device, date, file_name, list_sort(list(DISTINCT message)) AS m FROM signals GROUP BY ALL
@@ -336,7 +330,9 @@ FROM devices d LEFT JOIN first_group f ON d.device = f.device""",
 SELECT 'geofence' AS kind, s_suppkey AS id, s_name AS name, round(CAST(2 * s_nationkey AS DOUBLE) + 31.25, 6) AS number
 FROM supplier WHERE s_suppkey % 10 <> 0
 UNION ALL
-SELECT DISTINCT 'backlog', o_custkey, 'D' || o_orderkey, CAST(256 AS DOUBLE) FROM orders""",
+SELECT 'backlog', o_orderkey, 'D' || o_orderkey, CAST(256 AS DOUBLE) FROM orders
+UNION ALL
+SELECT 'backlog', o_orderkey, 'C' || o_custkey, CAST(256 AS DOUBLE) FROM orders""",
     "trip_summary_rerun": None,
 }
 

@@ -47,7 +47,8 @@ def test_named_files_keep_manifest_order(spark):
 
 
 def batches(spark, entries, paths, **limits):
-    rows = plan_batches(expand_backlog(manifest(spark, entries), listing(spark, paths)), len(entries), **limits).collect()
+    files = expand_backlog(manifest(spark, entries), listing(spark, paths), len(entries))
+    rows = plan_batches(files, len(entries), **limits).collect()
     plan = {}
     for r in sorted(rows, key=lambda r: (r.batch, r.place)):
         plan.setdefault(r.batch, []).append(r.path)
