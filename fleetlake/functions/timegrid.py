@@ -58,7 +58,7 @@ def micros(t: Column | str) -> Column:
 
 def bucket(us: Column, width: int) -> Column:
     """Number of the ``width``-wide time bucket that holds ``us``."""
-    return F.floor((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("long")
+    return F.call_function("div", us - F.pmod(us, F.lit(width)), F.lit(width))
 
 
 def ceil_to(us: Column, step: int) -> Column:

@@ -36,19 +36,29 @@ def never_both(lower: float, upper: float, exact: bool = False) -> bool:
 
 # What later rows need to know about earlier ones: the time of the last (first) row with a
 # given flag value. Each is a running maximum (minimum), so prefixes of chunks simply merge.
-_LAST = {
-    "last_below": ("_below", True),
+# Where the flags exclude each other, the last row below and above say everything.
+_BASIC = {"last_below": ("_below", True), "last_above": ("_above", True)}
+_FULL = {
+    **_BASIC,
     "last_not_below": ("_below", False),
-    "last_above": ("_above", True),
     "last_not_above": ("_above", False),
+    "first_below": ("_below", True),
+    "first_above": ("_above", True),
 }
-_FIRST = {"first_below": ("_below", True), "first_above": ("_above", True)}
 
 
-def _when(flag: str, value: bool) -> Column:
+def _running(name: str, column: Column) -> Column:
+    return F.max(column) if name.startswith("last") else F.min(column)
+
+
+def _occurrence(flag: str, value: bool) -> Column:
     return F.when(F.col(flag) if value else ~F.col(flag), F.col("_us"))
 
 
+def _facts(lower: float, upper: float, exact: bool) -> dict[str, tuple[str, bool]]:
+    return _BASIC if never_both(lower, upper, exact) else _FULL
+
+
 def _flagged(
     df: DataFrame, signal: str, lower: float, upper: float, exact: bool, t: str
 ) -> DataFrame:
@@ -63,12 +73,6 @@ def _flagged(
     return rows.select("*", below.alias("_below"), above.alias("_above"), micros(t).alias("_us"))
 
 
-def _occurrences() -> list[Column]:
-    return [F.max(_when(*f)).alias(name) for name, f in _LAST.items()] + [
-        F.min(_when(*f)).alias(name) for name, f in _FIRST.items()
-    ]
-
-
 def edge_memory(
     df: DataFrame,
     signal: str,
@@ -79,13 +83,17 @@ def edge_memory(
     t: str = "t",
 ) -> DataFrame:
     """What each series must remember of its rows to go on later: one row per series."""
-    return _flagged(df, signal, lower, upper, exact, t).groupBy(*keys).agg(*_occurrences())
+    facts = _facts(lower, upper, exact)
+    return (
+        _flagged(df, signal, lower, upper, exact, t)
+        .groupBy(*keys)
+        .agg(*(_running(n, _occurrence(*f)).alias(n) for n, f in facts.items()))
+    )
 
 
 def merge_memory(memories: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
-    return memories.groupBy(*keys).agg(
-        *(F.max(name).alias(name) for name in _LAST), *(F.min(name).alias(name) for name in _FIRST)
-    )
+    facts = [c for c in memories.columns if c not in keys]
+    return memories.groupBy(*keys).agg(*(_running(n, F.col(n)).alias(n) for n in facts))
 
 
 def detect_edges(
@@ -111,38 +119,40 @@ def detect_edges(
     between them cannot influence any edge and are dropped at the scan. ``memory`` (see
     ``edge_memory``) stands for rows of the same series that were processed before.
     """
+    facts = _facts(lower, upper, exact)
     rows = with_chunk(_flagged(df, signal, lower, upper, exact, t), t, width)
-    summary = rows.groupBy(*keys, CHUNK).agg(*_occurrences())
+    summary = rows.groupBy(*keys, CHUNK).agg(
+        *(_running(n, _occurrence(*f)).alias(n) for n, f in facts.items())
+    )
     if memory is not None:
         # Earlier rows of the series count as one more chunk before all others.
         summary = summary.unionByName(memory.withColumn(CHUNK, F.lit(-(2**62)).cast("long")))
     past = earlier_chunks(keys)
     carry = summary.select(
-        *keys,
-        CHUNK,
-        *(F.max(name).over(past).alias("_c_" + name) for name in _LAST),
-        *(F.min(name).over(past).alias("_c_" + name) for name in _FIRST),
+        *keys, CHUNK, *(_running(n, F.col(n)).over(past).alias("_c_" + n) for n in facts)
     )
 
     here = chunk_rows(keys, ["_us"]).rowsBetween(Window.unboundedPreceding, -1)
     local = rows.select(
-        "*",
-        *(F.max(_when(*f)).over(here).alias("_h_" + name) for name, f in _LAST.items()),
-        *(F.min(_when(*f)).over(here).alias("_h_" + name) for name, f in _FIRST.items()),
+        "*", *(_running(n, _occurrence(*f)).over(here).alias("_h_" + n) for n, f in facts.items())
     )
-    known = local.join(carry, [*keys, CHUNK], "left").select(
-        *df.columns,
-        "_below",
-        "_above",
-        *(F.greatest("_c_" + n, "_h_" + n).alias(n) for n in _LAST),
-        *(F.least("_c_" + n, "_h_" + n).alias(n) for n in _FIRST),
+
+    def known(name: str) -> Column:
+        later = F.greatest if name.startswith("last") else F.least
+        return later("_c_" + name, "_h_" + name).alias(name)
+
+    joined = local.join(carry, [*keys, CHUNK], "left").select(
+        *df.columns, "_below", "_above", *map(known, facts)
     )
 
     def edge(hit: str, run: str, armed: str, other: str) -> Column:
-        before_run = F.when(F.col("_" + run), F.col("last_not_" + run)).otherwise(F.col(armed))
-        already = (F.col(other) > F.coalesce(before_run, F.lit(-(2**62)))) & (
-            F.col(other) > F.col("first_" + run)
-        )
+        if facts is _BASIC:
+            already = F.col(other) > F.col(armed)
+        else:
+            before_run = F.when(F.col("_" + run), F.col("last_not_" + run)).otherwise(F.col(armed))
+            already = (F.col(other) > F.coalesce(before_run, F.lit(-(2**62)))) & (
+                F.col(other) > F.col("first_" + run)
+            )
         return F.col("_" + hit) & F.col(armed).isNotNull() & ~F.coalesce(already, F.lit(False))
 
     rising = edge("above", "below", "last_below", "last_above")
@@ -153,7 +163,7 @@ def detect_edges(
         F.when(stop, F.struct(F.lit("Stop").alias("type"), F.lit(0).cast("long").alias("value"))),
     )
     return (
-        known.withColumn("_kind", F.explode(F.array_compact(kinds)))
+        joined.withColumn("_kind", F.explode(F.array_compact(kinds)))
         .withColumn("EventType", F.col("_kind.type"))
         .withColumn("EventValue", F.col("_kind.value"))
         .select(*df.columns, "EventType", "EventValue")
