@@ -37,6 +37,18 @@ def _rows(columns: list[str], rows) -> Counter:
     return Counter(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
+# Spark type -> SQL type of the oracle.
+_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
 def compare(spark: SparkSession, con, name: str, sf_dir: str) -> tuple[int, str]:
     """Number of rows and an empty text, or a description of the difference."""
     df = QUERIES[name](spark, sf_dir)
@@ -48,6 +60,10 @@ def compare(spark: SparkSession, con, name: str, sf_dir: str) -> tuple[int, str]
     expected = _rows(names, result.fetchall())
     if sorted(names) != sorted(df.columns):
         return sum(found.values()), f"columns {sorted(df.columns)} != {sorted(names)}"
+    sql_types = {d[0]: str(d[1]) for d in result.description}
+    wrong = [f"{c} {t} != {sql_types[c]}" for c, t in df.dtypes if _TYPES.get(t) != sql_types[c]]
+    if wrong:
+        return sum(found.values()), f"types: {', '.join(wrong)}"
     if found != expected:
         extra, missing = found - expected, expected - found
         return sum(found.values()), (
