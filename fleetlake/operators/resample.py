@@ -40,22 +40,19 @@ def resample_grid(
     us = F.col("_us")
     up = ceil_to(us, step)
     labels = F.when(up == us, F.array(up, up + step)).otherwise(F.array(up))
+    rows = df.where(F.col(t).isNotNull()).select(*keys, *signals, micros(t).alias("_us"))
     filled = (
-        df.where(F.col(t).isNotNull())
-        .select(*keys, *signals, micros(t).alias("_us"))
-        .select(*keys, *signals, "_us", F.explode(labels).alias("_label"))
+        rows.select("*", F.explode(labels).alias("_label"))
         # The label becomes the new time before grouping, so that joins on the time find rows
         # already partitioned by it.
         .select(*keys, *signals, "_us", F.timestamp_micros("_label").alias(t))
         .groupBy(*keys, t)
-        .agg(*(F.max_by(s, us).alias(s) for s in signals), F.max(us).alias("_last"))
+        .agg(*(F.max_by(s, us).alias(s) for s in signals))
     )
-    # Only the latest label of a series can lie after its last row.
-    beyond = (
-        filled.groupBy(*keys)
-        .agg(F.max(t).alias(t), F.max("_last").alias("_last"))
-        .where(F.col("_last") < micros(t))
-        .select(*keys, t)
+    # The only label that can lie after a series' last row: the one that follows its grid.
+    last = F.max(us)
+    beyond = rows.groupBy(*keys).agg(
+        F.timestamp_micros(last - F.pmod(last, F.lit(step)) + F.lit(step)).alias(t)
     )
     kept = filled.join(beyond, [*keys, t], "left_anti").na.drop("all", subset=signals)
     return kept.select(*keys, t, *signals)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 # Line formats of the public catalog text format (fixed patterns).
 _MESSAGE_LINE = r"^BO_ +(\d+) +(\w+) *: *(\d+)"
 _SIGNAL_LINE = (
@@ -205,18 +207,17 @@ def _selected(ranges: str, tag: str) -> Column:
     return F.coalesce(F.exists(ranges, lambda r: value.between(r["lo"], r["hi"])), F.lit(False))
 
 
-def decode_frames(frames: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Long physical values ``..., message, signal, value, unit`` from frames.
+def field_layouts(catalog: DataFrame) -> DataFrame:
+    """Everything decoding needs to know per signal, stored once.
 
-    Frames have ``frame_id`` and a binary ``payload``, and optionally the ``bus`` they were
-    seen on. Spark broadcasts the catalog by its own size check, else it joins by shuffle with
-    AQE splitting hot ids. A multiplexed signal appears only in frames that carry its selector
-    value; a selector may itself be multiplexed. Fields that reach beyond the payload, or are
-    wider than ``MAX_BITS``, are left out.
+    A selector may itself be multiplexed, so each signal carries the layouts of its selector
+    and of that one's selector. Fields wider than ``MAX_BITS`` are left out. The table is as
+    small as the catalog; stored, Spark knows so and broadcasts it by its own size check,
+    where an estimate over these joins would be far off.
     """
     usable = catalog.where(F.col("length") <= MAX_BITS)
     key = ["file", "frame_id"]
-    wanted = (
+    layouts = (
         usable.select(*key, "bus", "message", "signal", "signed", "factor", "offset", "unit", "length")
         .join(_layout(usable, "_").withColumnRenamed("_signal", "signal"), [*key, "signal"])
         .withColumn("_s_signal", F.col("_mux_signal"))
@@ -224,9 +225,19 @@ def decode_frames(frames: DataFrame, catalog: DataFrame) -> DataFrame:
         .withColumn("_p_signal", F.col("_s_mux_signal"))
         .join(_layout(usable, "_p_").drop("_p_mux_signal", "_p_mux_ranges"), [*key, "_p_signal"], "left")
     )
+    return stored(layouts, "field-layouts")
+
+
+def decode_frames(frames: DataFrame, layouts: DataFrame) -> DataFrame:
+    """Long physical values ``..., message, signal, value, unit`` from frames.
+
+    Frames have ``frame_id`` and a binary ``payload``, and optionally the ``bus`` they were
+    seen on; ``layouts`` come from ``field_layouts``. A multiplexed signal appears only in
+    frames that carry its selector value. Fields that reach beyond the payload are left out.
+    Layouts too large to broadcast are joined by shuffle, with AQE splitting hot frame ids.
+    """
     on = ["bus", "frame_id"] if "bus" in frames.columns else ["frame_id"]
-    if on == ["frame_id"]:
-        wanted = wanted.drop("bus")
+    wanted = layouts if "bus" in on else layouts.drop("bus")
     present = F.col("_mux_signal").isNull() | (
         _selected("_mux_ranges", "_s_")
         & (F.col("_s_mux_signal").isNull() | _selected("_s_mux_ranges", "_p_"))

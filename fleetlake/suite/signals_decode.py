@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.signals import decode_frames, parse_catalog
-from ..session import stored
+from ..operators.signals import decode_frames, field_layouts, parse_catalog
 from .base import signals, table, with_signals
 
 
@@ -92,8 +91,8 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
         [("can9-fleet.dbc", n, line) for n, line in enumerate(CATALOG_TEXT.splitlines())],
         "file string, line_no int, line string",
     )
-    catalog = stored(parse_catalog(lines), "catalog")
-    return decode_frames(_frames(spark, sf_dir), catalog).select(
+    layouts = field_layouts(parse_catalog(lines))
+    return decode_frames(_frames(spark, sf_dir), layouts).select(
         "device", "t", "event_id", "frame_id", "message", "signal", F.round("value", 6).alias("value"), "unit"
     )
 

@@ -52,8 +52,8 @@ def test_grid_join_adds_no_shuffle(spark):
         plan = plan_of(QUERIES["grid_join"](spark, SF))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # Per message: rows to labels, labels to series ends, series ends to labels.
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 2 * 4
+    # Per message: rows to labels, rows to series ends, series ends to labels.
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 2 * 3
 
 
 def test_thresholds_and_columns_reach_the_scan(spark):
@@ -79,3 +79,9 @@ def test_first_notification_needs_no_window(spark):
 
     events = spark.createDataFrame([], EVENT_SCHEMA).withColumn("file_name", F.lit(""))
     assert "Window" not in plan_of(first_notifications(events, ""))
+
+
+def test_catalogs_are_broadcast_and_frames_are_not(spark):
+    plan = plan_of(QUERIES["decode_frames"](spark, SF))
+    assert plan.count("BroadcastHashJoin") == 1 and "BuildRight" in plan
+    assert "Exchange hashpartitioning" not in plan

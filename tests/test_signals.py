@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlake.operators.signals import decode_frames, parse_catalog, read_signal_catalog
+from fleetlake.operators.signals import decode_frames, field_layouts, parse_catalog, read_signal_catalog
 
 TEXT = """VERSION ""
 
@@ -77,7 +77,7 @@ def test_any_field_of_any_frame(spark):
         for n in range(4)
     ]
     df = spark.createDataFrame([(f, n, bytearray(p)) for f, n, p in frames], "frame_id long, n int, payload binary")
-    got = {(r.frame_id, r.n, r.signal): r.value for r in decode_frames(df, catalog(spark, text)).collect()}
+    got = {(r.frame_id, r.n, r.signal): r.value for r in decode_frames(df, field_layouts(catalog(spark, text))).collect()}
     expected = {}
     for frame_id, n, payload in frames:
         for (owner, name), (start, length, little, signed) in fields.items():
@@ -101,8 +101,8 @@ def test_multiplexed_signals_need_their_selectors(spark):
     rows = [(1, frame(98, 257, 10, 5)), (2, frame(98, 205, 10, 250)), (3, frame(97, 257, 10, 5)), (4, frame(98, 300, 10, 5))]
     df = spark.createDataFrame([("can1", n, 2028, p) for n, p in rows], "bus string, n int, frame_id long, payload binary")
     text = TEXT.replace("15|16@0+", "15|16@0+")
-    decoded = decode_frames(df, catalog(spark, text)).collect()
+    decoded = decode_frames(df, field_layouts(catalog(spark, text))).collect()
     got = {(r.n, r.signal): r.value for r in decoded if r.signal in ("Charge", "Display", "R")}
     assert got == {(1, "R"): 257, (1, "Charge"): 8.0, (2, "R"): 205, (2, "Display"): -6.0, (4, "R"): 300}
     other_bus = df.withColumn("bus", F.lit("can2"))
-    assert decode_frames(other_bus, catalog(spark, text)).count() == 0
+    assert decode_frames(other_bus, field_layouts(catalog(spark, text))).count() == 0
