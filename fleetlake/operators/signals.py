@@ -228,13 +228,18 @@ def field_layouts(catalog: DataFrame) -> DataFrame:
     return stored(layouts, "field-layouts")
 
 
-def decode_frames(frames: DataFrame, layouts: DataFrame) -> DataFrame:
+def decode_frames(
+    frames: DataFrame, layouts: DataFrame, groups: DataFrame | None = None
+) -> DataFrame:
     """Long physical values ``..., message, signal, value, unit`` from frames.
 
     Frames have ``frame_id`` and a binary ``payload``, and optionally the ``bus`` they were
     seen on; ``layouts`` come from ``field_layouts``. A multiplexed signal appears only in
     frames that carry its selector value. Fields that reach beyond the payload are left out.
     Layouts too large to broadcast are joined by shuffle, with AQE splitting hot frame ids.
+
+    ``groups`` (see ``sources.configs.catalog_groups``) limits each listed ``device`` to its
+    catalog files; devices in no group use all of them.
     """
     on = ["bus", "frame_id"] if "bus" in frames.columns else ["frame_id"]
     wanted = layouts if "bus" in on else layouts.drop("bus")
@@ -247,10 +252,14 @@ def decode_frames(frames: DataFrame, layouts: DataFrame) -> DataFrame:
     signed = F.when(
         F.col("signed") & (F.col("_value") >= half), F.col("_value") - half - half
     ).otherwise(F.col("_value"))
+    words = _with_words(frames)
+    allowed = F.lit(True)
+    if groups is not None:
+        words = words.join(stored(groups.select("device", F.col("files").alias("_files")), "groups"), "device", "left")
+        allowed = F.col("_files").isNull() | F.array_contains("_files", F.col("file"))
     return (
-        _with_words(frames)
-        .join(wanted, on)
-        .where(present)
+        words.join(wanted, on)
+        .where(allowed & present)
         .withColumn("_value", _raw("_"))
         .where(F.col("_value").isNotNull())
         .select(

@@ -19,7 +19,7 @@ from ..operators.resample import (
 )
 from ..schema import PATH_COLUMNS, SERIES_KEYS
 from ..sources.configs import message_lists
-from ..sources.lake import Lake
+from ..sources.lake import Lake, write_message
 
 ALL = "ALL"
 
@@ -136,3 +136,13 @@ def custom_messages(
     """All derived messages by name. They read the lake as it is, never each other."""
     derived = {c["custom_message_name"]: custom_message(lake, c, context) for c in configs}
     return {name: df for name, df in derived.items() if df is not None}
+
+
+def write_custom_messages(
+    lake: Lake, configs: Sequence[Mapping], root: str, context: CustomContext | None = None
+) -> list[str]:
+    """Store all derived messages in the lake below ``root``; returns their names."""
+    derived = custom_messages(lake, configs, context)
+    for name, df in derived.items():
+        write_message(df, root, name)
+    return list(derived)

@@ -151,6 +151,28 @@ class Lake:
 
         return cls(rows, names)
 
+    @classmethod
+    def of_path_layout(
+        cls,
+        spark: SparkSession,
+        root: str,
+        devices: Sequence[str] | None = None,
+        dates: Sequence[date] | None = None,
+        drift: bool = False,
+    ) -> Lake:
+        """Files under ``device/message/yyyy/mm/dd``, limited to devices and days if given."""
+
+        def names() -> list[str]:
+            name = F.try_element_at(F.split("path", "/"), F.lit(-5)).alias("name")
+            listed = list_objects(spark, root, suffix=".parquet")
+            return sorted(r.name for r in listed.select(name).distinct().collect() if r.name)
+
+        def rows(wanted: Sequence[str]) -> DataFrame | None:
+            found = read_path_layout(spark, root, wanted, devices, dates, drift=drift)
+            return found if set(found.columns) - {"t", *PATH_COLUMNS} else None
+
+        return cls(rows, names)
+
     def names(self) -> list[str]:
         return list(self._names())
 

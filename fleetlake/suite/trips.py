@@ -17,6 +17,9 @@ from .base import DEVICES, signals, with_signals
 
 GAP, SHORTEST = "60 min", "1 min"
 
+# Enough decimals that means of two-decimal values do not end in a tie.
+DIGITS = 8
+
 # Trips of every device, in full.
 _TRIPS_SQL = """
 marked AS (
@@ -72,7 +75,7 @@ _KEYS = ("device", "date", "trip_start", "trip_end", "message")
 def _aggregate(name: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return trip_aggregate(_inside(spark, sf_dir), ["Speed", "Load"], [name], _KEYS).select(
-            "device", "date", "message", "trip_start", "Signal", F.round("SignalValue", 6).alias("SignalValue")
+            "device", "date", "message", "trip_start", "Signal", F.round("SignalValue", DIGITS).alias("SignalValue")
         )
 
     return query
@@ -97,7 +100,7 @@ def _aggregate_sql(expression: str) -> str:
     return with_signals(
         _ROWS_SQL
         + f"""
-SELECT device, date, message, trip_start, Signal, round({expression}, 6) AS SignalValue
+SELECT device, date, message, trip_start, Signal, round({expression}, {DIGITS}) AS SignalValue
 FROM stepped GROUP BY device, date, message, trip_start, Signal"""
     )
 
@@ -146,7 +149,7 @@ def trip_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = trip_config(CONFIG)
     summary = plan.trip_summary(spark, Lake.of_frame(signals(spark, sf_dir)), config)
     return summary.withColumns(
-        {"SignalValue": F.round("SignalValue", 6), "Duration": F.round("Duration", 6)}
+        {"SignalValue": F.round("SignalValue", DIGITS), "Duration": F.round("Duration", 6)}
     )
 
 
@@ -247,8 +250,8 @@ QUERIES = {
 ORACLES = {
     "trip_summary": with_signals(
         _SUMMARY_SQL
-        + """
-SELECT r.device AS DeviceID, message AS Message, Signal, Aggregation, round(v, 6) AS SignalValue,
+        + f"""
+SELECT r.device AS DeviceID, message AS Message, Signal, Aggregation, round(v, {DIGITS}) AS SignalValue,
        n AS SignalCount, round(us / 1000000.0, 6) AS Duration, trip_start AS TripStart, trip_end AS TripEnd,
        r.device || '_' || strftime(trip_start, '%Y%m%dT%H%M%S.%f') AS TripID, Cluster, date
 FROM results r JOIN members m ON r.device = m.device"""

@@ -28,7 +28,7 @@ def _cell(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return None
     if isinstance(value, float):
-        return round(value, 6) + 0.0
+        return round(value, 8) + 0.0
     return value
 
 

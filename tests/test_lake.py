@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from fleetlake.functions.paths import as_prefix, device_of, forward_slashes
 from fleetlake.operators.select import file_groups, select_messages
+from fleetlake.plans.custom_messages import write_custom_messages
 from fleetlake.plans.event_table import event_table, first_notifications
 from fleetlake.plans.trip_summary import days_processed, trip_summary
 from fleetlake.schema import EVENT_SCHEMA, TRIP_SUMMARY_SCHEMA
@@ -285,6 +286,25 @@ def test_event_on_the_position_message_itself(spark):
     assert {(r.SignalValue, r.Latitude, r.Longitude) for r in found} == {(3000.0, 3000.0, 5.0)}
 
 
+def test_lake_of_path_layout_feeds_the_jobs(spark, path_lake):
+    lake = Lake.of_path_layout(spark, str(path_lake), devices=["0000000A"])
+    assert lake.names() == ["Pos", "Speed"]
+    assert lake.message("Absent") is None
+    assert {r.device for r in lake.message("Speed").collect()} == {"0000000A"}
+    root = work_folder(spark, "derived")
+    config = {
+        "custom_message_name": "Grid",
+        "messages_match_type": "equals",
+        "messages_filtered_list": [["Speed", "Pos"]],
+        "raster": "1s",
+        "prefix": True,
+        "function": "resample",
+    }
+    assert write_custom_messages(lake, [config], root) == ["Grid"]
+    (row,) = Lake.of_folder(spark, root).message("Grid").collect()
+    assert (row.device, row.file_name, row.Speed_v, row.Pos_lat) == ("0000000A", "1.parquet", 1.0, 3.0)
+
+
 def test_events_on_nothing(spark):
     lake = Lake(lambda names: None, lambda: [])
     assert event_table(spark, lake, configs.EVENT_DEFAULTS, [speed_event()]).count() == 0

@@ -106,3 +106,13 @@ def test_multiplexed_signals_need_their_selectors(spark):
     assert got == {(1, "R"): 257, (1, "Charge"): 8.0, (2, "R"): 205, (2, "Display"): -6.0, (4, "R"): 300}
     other_bus = df.withColumn("bus", F.lit("can2"))
     assert decode_frames(other_bus, field_layouts(catalog(spark, text))).count() == 0
+
+
+def test_devices_use_the_catalogs_of_their_group(spark):
+    frames = spark.createDataFrame(
+        [(d, 107, bytearray([1, 0, 0, 0, 0])) for d in ("A", "B", "C")], "device string, frame_id long, payload binary"
+    )
+    groups = spark.createDataFrame([("A", ["can1.dbc"]), ("B", ["can2.dbc"])], "device string, files array<string>")
+    layouts = field_layouts(catalog(spark, TEXT))
+    got = {r.device for r in decode_frames(frames, layouts, groups).collect()}
+    assert got == {"A", "C"}
