@@ -18,7 +18,8 @@ log = logging.getLogger(__name__)
 
 TRIP_KEYS = ("device", "date", "trip_start", "trip_end")
 
-_DELTAS = {"delta_sum", "delta_sum_pos", "delta_sum_neg"}
+# Aggregates that depend on the order of rows.
+DELTAS = {"delta_sum", "delta_sum_pos", "delta_sum_neg"}
 
 
 def known_aggregations(names: Sequence[str]) -> list[str]:
@@ -131,7 +132,7 @@ def trip_aggregate(
     if not names or not present:
         return rows.sparkSession.createDataFrame([], _long_schema(rows, keys))
     unique = list(dict.fromkeys(present))
-    deltas = bool(_DELTAS & set(names))
+    deltas = bool(DELTAS & set(names))
     states = _partial_states(
         rows.select(*keys, WINDOW_BUCKET, t, *unique), unique, keys, t, deltas
     )

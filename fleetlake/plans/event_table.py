@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import event_id
-from ..operators.chunks import DEFAULT_CHUNK
+from ..operators.chunks import chunk_width
 from ..operators.edges import detect_edges, never_both
 from ..operators.resample import resample_grid, signal_columns, with_position
 from ..schema import EVENT_SCHEMA, SERIES_KEYS
@@ -47,9 +47,15 @@ def _triggers(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def detect_event(
-    lake: Lake, event: Mapping, general: Mapping = EVENT_DEFAULTS, width: int | str = DEFAULT_CHUNK
+    lake: Lake,
+    event: Mapping,
+    general: Mapping = EVENT_DEFAULTS,
+    width: int | str | None = None,
 ) -> DataFrame | None:
-    """Event rows of one configured event, or None if the lake has nothing to look at."""
+    """Event rows of one configured event, or None if the lake has nothing to look at.
+
+    Without a chunk ``width``, it is fitted to the densest interval of the rows.
+    """
     rows = lake.messages(event_messages(lake, event))
     if rows is None:
         return None
@@ -58,6 +64,8 @@ def detect_event(
         return None
     lower, upper, exact = event["lower_threshold"], event["upper_threshold"], event["exact_match"]
     keys = [*SERIES_KEYS, "message"]
+    if width is None:
+        width = chunk_width(rows, keys)
     raster = event.get("raster", "")
     if raster:
         # Rows without any trigger value matter only where they can end a run.
@@ -113,7 +121,7 @@ def event_table(
     lake: Lake,
     general: Mapping,
     events: Sequence[Mapping],
-    width: int | str = DEFAULT_CHUNK,
+    width: int | str | None = None,
 ) -> DataFrame:
     """All events; ``date`` and ``file_name`` tell which log file an event came from."""
     found = [e for e in (detect_event(lake, event, general, width) for event in events) if e is not None]

@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import trip_id
 from ..functions.timegrid import duration_us
-from ..operators.aggregate import TRIP_KEYS, known_aggregations, numeric_signals, trip_aggregate
+from ..operators.aggregate import (
+    DELTAS,
+    TRIP_KEYS,
+    known_aggregations,
+    numeric_signals,
+    trip_aggregate,
+)
+from ..operators.chunks import chunk_width
 from ..operators.trips import trip_rows, trip_windows
-from ..schema import TRIP_SUMMARY_SCHEMA
+from ..schema import DAY_KEYS, TRIP_SUMMARY_SCHEMA
 from ..session import stored
 from ..sources.configs import Cluster, TripConfig
 from ..sources.lake import Lake
@@ -27,7 +34,7 @@ def _wanted(df: DataFrame, config: TripConfig, cluster: Cluster) -> DataFrame:
     )
 
 
-def _layouts(config: TripConfig) -> list[tuple[Cluster, DataFrame | None]]:
+def _layouts(config: TripConfig) -> list[tuple[Cluster, list[tuple[str, str]]]]:
     """Clusters that share trip message and specs are computed together."""
     merged: dict[tuple, list[Cluster]] = {}
     for cluster in config.clusters:
@@ -53,7 +60,7 @@ def trip_summary(spark: SparkSession, lake: Lake, config: TripConfig) -> DataFra
     """
     parts = []
     windows_of: dict[tuple, DataFrame] = {}
-    width = min(config.gap_us + 1, duration_us(TRIP_BUCKET))
+    widest = min(config.gap_us + 1, duration_us(TRIP_BUCKET))
     for cluster, members in _layouts(config):
         trip_message = lake.message(cluster.trip_message)
         if trip_message is None:
@@ -76,9 +83,13 @@ def trip_summary(spark: SparkSession, lake: Lake, config: TripConfig) -> DataFra
             signals = numeric_signals(rows, spec.signals)
             if not signals:
                 continue
+            width = widest
             pruned = _wanted(rows, config, cluster).select(
                 "device", "date", "t", *dict.fromkeys(signals)
             )
+            if DELTAS & set(spec.aggregations):
+                # Rows are put in order per bucket: no bucket may hold too many of them.
+                width = min(width, chunk_width(pruned, DAY_KEYS))
             inside = trip_rows(pruned, windows_of[key], width / 1e6)
             parts.append(
                 trip_aggregate(inside, signals, spec.aggregations, TRIP_KEYS)
