@@ -58,21 +58,23 @@ def _complete_files(rows: DataFrame, n: int, keys: Sequence[str], salts: int = 3
 
 
 def join_present(
-    frames: Mapping[str, DataFrame], keys: Sequence[str] = SERIES_KEYS, salts: int = 32
+    grids: Mapping[str, DataFrame],
+    messages: Mapping[str, DataFrame],
+    keys: Sequence[str] = SERIES_KEYS,
+    salts: int = 32,
 ) -> DataFrame:
-    """Per file, the inner grid join of whichever messages that file has.
+    """Per file, the inner grid join of whichever ``messages`` that file has.
 
-    One aggregate per (file, label) replaces a chain of joins: a label is complete if as many
-    messages meet there as the file has. Signal names must differ between messages.
+    ``grids`` are the same messages resampled. One aggregate per (file, label) replaces a chain
+    of joins: a label is complete if as many messages meet there as the file has. Signal names
+    must differ between messages.
     """
-    names = [c for df in frames.values() for c in signal_columns(df, keys)]
+    names = [c for df in grids.values() for c in signal_columns(df, keys)]
     if len(names) != len(set(names)):
         raise ValueError("joined messages share signal names; use a prefix")
-    stacked = stack_messages(frames, "_source")
-    per_file = stacked.select(*keys, "_source").distinct().groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_wanted")
-    )
-    merged = stacked.groupBy(*keys, "t").agg(
+    present = stack_messages({n: df.select(*keys) for n, df in messages.items()}, "_source")
+    per_file = present.distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("_wanted"))
+    merged = stack_messages(grids, None).groupBy(*keys, "t").agg(
         *(F.max(c).alias(c) for c in names), F.count(F.lit(1)).alias("_met")
     )
     return (
@@ -112,7 +114,7 @@ def input_rows(lake: Lake, config: Mapping, names: Sequence[str]) -> DataFrame |
     if everything:
         if prefix:
             grids = {n: prefixed(df, n, signal_columns(df)) for n, df in grids.items()}
-        joined = join_present(grids)
+        joined = join_present(grids, frames)
     else:
         joined = grid_join(grids, prefix=prefix)
     return joined.withColumn("Message", F.lit(list(frames)[-1]))

@@ -210,7 +210,7 @@ FROM click c JOIN view v ON c.device = v.device AND c.date = v.date AND c.file_n
         + ",\nmet AS ("
         + " UNION ALL ".join(f"SELECT device, date, file_name, t, '{m}' AS message, Speed FROM {m}" for m in _EVERY)
         + """),
-wanted AS (SELECT device, date, file_name, count(DISTINCT message) AS n FROM met GROUP BY ALL)
+wanted AS (SELECT device, date, file_name, count(DISTINCT message) AS n FROM signals GROUP BY ALL)
 SELECT m.device, m.date, m.file_name, m.t, """
         + ", ".join(f"max(Speed) FILTER (message = '{m}') AS {m}_Speed" for m in _EVERY)
         + """
