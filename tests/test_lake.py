@@ -113,6 +113,14 @@ def test_message_sink_round_trip_and_pruning(spark):
     assert "device" in partition_filters and "date" in partition_filters
 
 
+def test_files_are_written_in_time_order(spark):
+    root = work_folder(spark, "ordered")
+    write_message(signals(spark).orderBy(F.col("t").desc()), root)
+    for path in read_lake(spark, root).inputFiles():
+        times = [r.t for r in spark.read.parquet(path).collect()]
+        assert times == sorted(times) and len(times) > 1
+
+
 def test_rerun_replaces_only_its_days(spark):
     root = work_folder(spark, "tripsummary")
     next_day = DAY + dt.timedelta(1)
