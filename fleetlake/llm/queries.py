@@ -114,15 +114,15 @@ placed AS (
 ),
 divisors AS (
   SELECT list(CAST(c AS BIGINT) ORDER BY i) AS t FROM (
-    SELECT i, list_reduce(list_prepend(i, range(8)), (c, k) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
     FROM (SELECT unnest(range(256)) AS i)
   )
 ),
 coded AS (
   SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size,
          xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
-             list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), x -> CAST('0x' || x AS BIGINT))),
-             (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+             list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
   FROM documents, divisors
 )
 SELECT c.doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
