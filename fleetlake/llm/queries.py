@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, sharding
+from . import line_dedup, mixing, pieces, repeats, sharding, winnowing
 
 SQL_UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
 SQL_SPACES = "(chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
@@ -131,10 +131,31 @@ FROM coded c JOIN placed p ON c.doc_id = p.doc_id
 """
 
 
+def op3_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op4_winnow_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_with_next(_documents(spark, sf_dir))
+
+
+def op10_encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_remove_repeats": op3_remove_repeats,
+    "op4_winnow_documents": op4_winnow_documents,
     "op5_shard_documents": op5_shard_documents,
+    "op10_encode_documents": op10_encode_documents,
 }
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
