@@ -4,23 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm import line_dedup, mixing
+from fleetlake.llm import line_dedup, mixing, pieces, quality, setsketch
 from fleetlake.session import stored
 
 
+def reject_poor_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, trained on the labels, doesn't reject."""
+    return quality.stage(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that many others have too."""
     return line_dedup.stage(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8)."""
+    return setsketch.stage(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
     return mixing.stage(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens."""
+    return pieces.encode_documents(docs)
+
+
 STAGES = [
+    ("quality classifier", reject_poor_text),
     ("line dedup", drop_repeated_lines),
+    ("MinHash near-dedup", drop_near_copies),
     ("mixing", mix),
+    ("SentencePiece encoding", encode),
 ]
 
+#: The classifier and the encoding have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, pieces, repeats, sharding, winnowing
+from . import html, line_dedup, mixing, near_vectors, pieces, quality, repeats, setsketch, sharding, winnowing
 
 SQL_UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
 SQL_SPACES = "(chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
@@ -145,6 +145,23 @@ def op4_winnow_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_with_next(_documents(spark, sf_dir))
 
 
+def op6_link_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op7_score_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return quality.score(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op8_link_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.link_documents(_documents(spark, sf_dir), words=4)
+
+
+def op9_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(_documents(spark, sf_dir))
 
@@ -155,6 +172,10 @@ QUERIES = {
     "op3_remove_repeats": op3_remove_repeats,
     "op4_winnow_documents": op4_winnow_documents,
     "op5_shard_documents": op5_shard_documents,
+    "op6_link_vectors": op6_link_vectors,
+    "op7_score_quality": op7_score_quality,
+    "op8_link_documents": op8_link_documents,
+    "op9_extract_text": op9_extract_text,
     "op10_encode_documents": op10_encode_documents,
 }
 ORACLES = {
