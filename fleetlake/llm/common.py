@@ -16,6 +16,11 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` inside one column ``whole``, so that none clashes with what a stage adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import SPACES, UPPER, identified
+from .common import SPACES, UPPER, carried, identified, whole_text
 
 #: Ranges over which the holders of one line are spread.
 SLICES = 1024
@@ -100,16 +100,13 @@ def stage(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
 
     Missing texts stay missing. A column ``n_chars`` is counted anew.
     """
-    bitmaps = keep_bitmaps(docs, min_chars, min_docs).select(
-        F.col("doc_id").alias("_doc_id"), F.col("row").alias("_row"), F.col("dropped").alias("_dropped")
-    )
-    named = docs.withColumn("_row_of", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    joined = named.join(
-        bitmaps.hint("shuffle_hash"), (named["doc_id"] == F.col("_doc_id")) & (F.col("_row_of") == F.col("_row")), "left"
-    )
-    runs = keep_runs(F.col("_dropped"), F.size(_lines(F.col("text"))))
-    text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(kept_text(F.col("text"), runs))
+    bitmaps = keep_bitmaps(docs, min_chars, min_docs)
+    old = F.col("whole.text")
+    rows = carried(docs).select("whole", F.col("whole.doc_id").alias("doc_id"), F.xxhash64(whole_text("whole.text")).alias("row"))
+    joined = rows.join(bitmaps.hint("shuffle_hash"), ["doc_id", "row"], "left")
+    runs = keep_runs(F.col("dropped"), F.size(_lines(old)))
+    text = F.when(F.col("dropped").isNull(), old).otherwise(kept_text(old, runs))
     new = {"text": text}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length(F.coalesce(text, F.lit(""))).cast(docs.schema["n_chars"].dataType)
-    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return joined.select(*[new.get(c, F.col(f"whole.`{c}`")).alias(c) for c in docs.columns])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .common import id_digest, whole_text, word_count
+from .common import carried, id_digest, whole_text, word_count
 
 #: Hex digits of the digest that name a block: 4096 blocks for each source.
 BLOCK_DIGITS = 3
@@ -156,16 +156,16 @@ def stage(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
 
     Rows of equal id and size share their copies evenly.
     """
-    same = ["_id", "_words"]
+    same = ["id", "words"]
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")
     taken = mix_sources(docs, weights, share, repeats).where("copies > 0")
-    taken = taken.groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("size").alias("_words")).agg(
-        F.sum("copies").alias("_copies")
+    taken = taken.groupBy(key, F.col("size").alias("words")).agg(F.sum("copies").alias("copies"))
+    rows = carried(docs).withColumn("doc_id", F.col("whole.doc_id"))
+    named = rows.select("whole", key, word_count(whole_text("whole.text")).alias("words"))
+    group = Window.partitionBy(*same)
+    numbered = named.join(taken, same).select(
+        "whole", "copies", F.count("*").over(group).alias("many"), F.row_number().over(group.orderBy("id")).alias("nth")
     )
-    named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn("_words", word_count(whole_text()))
-    joined = named.join(taken, same)
-    nth = F.row_number().over(Window.partitionBy(*same).orderBy("doc_id"))
-    many = F.count("*").over(Window.partitionBy(*same))
-    numbered = joined.withColumn("_nth", nth).withColumn("_many", many)
-    part = F.floor((F.col("_copies") + F.col("_many") - F.col("_nth")) / F.col("_many")).cast("int")
-    repeated = numbered.withColumn("_part", part).where("_part > 0")
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_part")))).select(*docs.columns)
+    part = F.floor((F.col("copies") + F.col("many") - F.col("nth")) / F.col("many")).cast("int")
+    repeated = numbered.withColumn("part", part).where("part > 0")
+    return repeated.select("whole", F.explode(F.sequence(F.lit(1), F.col("part")))).select("whole.*")

@@ -18,8 +18,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import id_digest, whole_text
+from .common import carried, id_digest, whole_text
 
 #: Most labelled and most unlabelled rows that the fit sees.
 LABELLED, UNLABELLED = 10_000, 10_000
@@ -167,14 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabell
     return fit(positive, x[kinds == 1], x[kinds == 0], marks[kinds == 0].astype(np.float64))
 
 
-def score(docs: DataFrame, model: Model | None, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``held_out``, ``score`` (0 to 1) and ``predicted``; a map, no shuffle.
-
-    Of the columns of ``docs`` those in ``keep`` stay, doc_id if not given; ``text`` must be given in ``docs``. A missing text is
-    scored as an empty one. Without a model, nothing is known against any text: its score is 1.
-    """
-    keep = ["doc_id"] if keep is None else keep
-    rows = docs.select(whole_text().alias("_text"), (fold() == 2).alias("_held_out"), *keep)
+def _scored(rows: DataFrame, text, model: Model | None) -> DataFrame:
+    """``rows`` with ``score`` and ``predicted``; ``text`` takes the texts from an Arrow batch."""
+    names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -183,19 +179,26 @@ def score(docs: DataFrame, model: Model | None, keep: list[str] | None = None) -
                 if model is None:
                     scores = np.ones(batch.num_rows)
                 else:
-                    scores = model.scores(np.array([features(t) for t in batch.column(0).to_pylist()]))
-                predicted = (scores >= THRESHOLD).astype(np.int32)
-                added = [batch.column(1), pa.array(scores), pa.array(predicted)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[2:], *added], [*keep, "held_out", "score", "predicted"])
+                    scores = model.scores(np.array([features(t or "") for t in text(batch).to_pylist()]))
+                predicted = pa.array((scores >= THRESHOLD).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), predicted], [*names, "score", "predicted"])
+
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return rows.mapInArrow(run, schema)
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
-    return rows.mapInArrow(run, f"{kept}, held_out boolean, score double, predicted int")
+
+def score(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``doc_id``, ``held_out``, ``score`` (0 to 1) and ``predicted`` of every text; a map, no shuffle.
+
+    A missing text is scored as an empty one. Without a model, nothing is known against any text: its
+    score is 1. Equal texts get equal scores; an empty table gives an empty result.
+    """
+    rows = docs.select("doc_id", (fold() == 2).alias("held_out"), whole_text().alias("text"))
+    return _scored(rows, lambda batch: batch.column(2), model).drop("text")
 
 
 def stage(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier doesn't reject, with all their columns."""
-    model = train(docs, labels)
-    names = [f"_{i}" for i in range(len(docs.columns))]
-    renamed = docs.select("*", *[F.col(f"`{c}`").alias(n) for n, c in zip(names, docs.columns, strict=True)])
-    kept = score(renamed, model, names).where("predicted = 1")
-    return kept.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
+    at = docs.columns.index("text")
+    scored = _scored(carried(docs), lambda batch: batch.column(0).field(at), train(docs, labels))
+    return scored.where("predicted = 1").select("whole.*")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import whole_text
+from .common import carried, whole_text
 from .components import components
 
 #: Registers, and rows of a band. At similarity 0.8 a pair shares none of the 40 bands with a
@@ -333,8 +333,8 @@ def stage(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     Rows without doc_id stay.
     """
-    kept = link_documents(docs, words, percent).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
-    known = docs.where(F.col("doc_id").isNotNull())
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    joined = known.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").withColumn("_nth", nth).where("_nth = 1")
-    return joined.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    kept = link_documents(docs, words, percent).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    rows = carried(docs).select("whole", F.col("whole.doc_id").cast("long").alias("doc_id"))
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("whole.text")))
+    first = rows.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn("nth", nth).where("nth = 1")
+    return first.unionByName(rows.where("doc_id IS NULL").withColumn("nth", F.lit(1))).select("whole.*")
