@@ -61,7 +61,9 @@ DROPPED_WORDS = frozenset(
     breadcrumbs sidebar sidebars rail footer foot masthead topbar toolbar pagination pager related recommended recommendations
     trending comment comments commentlist disqus discussion replies reply reviews widget widgets skip hidden paywall""".split()
 )
-_KEPT_TAGS = frozenset(["html", "body", "article", "main"])
+#: Kept whatever their class says; of articles go only those that these words mark.
+_KEPT_TAGS = frozenset(["html", "body", "main"])
+DROPPED_ARTICLES = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies related recommended".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|</?[a-zA-Z][^<>]*>?", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -94,7 +96,7 @@ def _judged(tag: str, source: str) -> Element:
         if tag not in _KEPT_TAGS:
             style = attributes.get("style", "").replace(" ", "").lower()
             dropped = (
-                not words.isdisjoint(DROPPED_WORDS)
+                not words.isdisjoint(DROPPED_ARTICLES if tag == "article" else DROPPED_WORDS)
                 or attributes.get("role", "").lower() in DROPPED_ROLES
                 or "hidden" in attributes
                 or attributes.get("aria-hidden", "").lower() == "true"

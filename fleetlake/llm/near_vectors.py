@@ -32,13 +32,14 @@ LEADING = 6
 SLACK = 1e-9
 
 
-def _vectors(rows: DataFrame) -> DataFrame:
-    """Distinct finite vectors: the 128-bit key of their components, least vec_id, number, components."""
+def _vectors(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Comparable vectors with a 128-bit key of their components, and the vec_ids of all others."""
     values = F.col("embedding").cast("array<double>")
     finite = F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    keyed = rows.select("vec_id", values.alias("v"), (finite & F.exists(values, lambda v: v != 0)).alias("good"))
-    good = keyed.where("good").select("vec_id", "v", F.xxhash64(F.lit(1), "v").alias("k1"), F.xxhash64(F.lit(2), "v").alias("k2"))
-    return good
+    good = F.coalesce(finite & F.exists(values, lambda v: v != 0), F.lit(False))
+    marked = rows.select("vec_id", values.alias("v"), good.alias("good"))
+    keys = [F.xxhash64(F.lit(i), "v").alias(f"k{i}") for i in (1, 2)]
+    return marked.where("good").select("vec_id", "v", *keys), marked.where("NOT good").select("vec_id")
 
 
 def _arrays(batch: pa.RecordBatch, column: int, width: int) -> np.ndarray:
@@ -216,7 +217,7 @@ def link_vectors(rows: DataFrame, cosine: float = 0.95) -> DataFrame:
     """
     epsilon = float(np.sqrt(2 - 2 * cosine))
     spark = rows.sparkSession
-    good = _vectors(rows)
+    good, others = _vectors(rows)
     classes = stored(
         good.groupBy("k1", "k2").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.first("v").alias("v")).withColumn("id", F.xxhash64("k1", "k2")),
         "vectors",
@@ -267,9 +268,7 @@ def link_vectors(rows: DataFrame, cosine: float = 0.95) -> DataFrame:
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(least, "component").join(links, "id", "left")
     result = named.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
-    every = rows.select("vec_id", "embedding").select("vec_id", F.xxhash64(F.lit(1), F.col("embedding").cast("array<double>")).alias("k1"), F.xxhash64(F.lit(2), F.col("embedding").cast("array<double>")).alias("k2"))
-    joined = every.join(stored(result, "linked"), ["k1", "k2"], "left")
-    component = F.coalesce("component_id", "vec_id")
-    return joined.select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept")
-    )
+    named = good.select("vec_id", "k1", "k2").join(stored(result, "linked"), ["k1", "k2"]).select("vec_id", "n_links", "component_id")
+    every = named.unionByName(others.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
+    return every.select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", kept.alias("kept"))

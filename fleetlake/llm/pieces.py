@@ -33,7 +33,7 @@ from .common import whole_text
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Encoded parts that a worker remembers; beyond that it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 #: Longer parts are not remembered.
 LONGEST_REMEMBERED = 40
 
@@ -176,54 +176,48 @@ class Model:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _joins(self, left: str, right: str) -> bool:
-        """Whether the pair of arcs weighs 0; remembered in ``borders``, by left arc."""
-        row = self.borders.setdefault(left, {})
-        if right not in row:
-            row[right] = self.merged(left + right) == ([left, right] if left else [right])
-        return row[right]
-
-    def _arcs(self, text: str, start: int) -> list[str]:
-        """The arcs that leave a position, shortest first: pieces, or the bare character."""
-        node = self.trie.get(text[start])
-        arcs = [text[start]]
-        if node is None:
-            return arcs
-        for char in text[start + 1 : start + self.longest]:
-            node = node.get(char)
-            if node is None:
-                break
-            if "" in node:
-                arcs.append(node[""])
-        return arcs
-
     def _merge_path(self, text: str) -> list[str]:
         """The one path of finite weight, searched depth first, longest arcs first.
 
-        A position can be reached by one path only, so one from which the search came back is
-        dead. The empty arc starts the path, so that pieces their own merges don't yield are out.
+        Arcs are pieces, and the bare character where the lexicon lacks it. A position can be reached
+        by one path only, so one from which the search came back is dead. The empty arc starts the
+        path, so that pieces their own merges don't yield are out.
         """
-        n, borders = len(text), self.borders
-        path, open_arcs, dead, p = [""], [], set(), 0
-        arcs = self._arcs(text, 0)
+        n, trie, borders = len(text), self.trie, self.borders
+        path, left, open_arcs, dead, p = [], "", [], set(), 0
         while p < n:
-            row = borders.get(path[-1]) or {}
-            while arcs:
-                piece = arcs.pop()
-                joins = row.get(piece)
-                if joins is None:
-                    joins = self._joins(path[-1], piece)
-                if joins and p + len(piece) not in dead:
-                    path.append(piece)
-                    open_arcs.append(arcs)
-                    p += len(piece)
-                    arcs = self._arcs(text, p) if p < n else []
+            arcs = [text[p]]
+            node = trie.get(text[p])
+            q = p + 1
+            while node is not None and q < n:
+                node = node.get(text[q])
+                q += 1
+                if node is not None and "" in node:
+                    arcs.append(node[""])
+            while True:
+                row = borders.get(left)
+                if row is None:
+                    row = borders[left] = {}
+                found = False
+                while arcs:
+                    piece = arcs.pop()
+                    joins = row.get(piece)
+                    if joins is None:
+                        joins = row[piece] = self.merged(left + piece) == ([left, piece] if left else [piece])
+                    if joins and p + len(piece) not in dead:
+                        found = True
+                        break
+                if found:
                     break
-            else:
                 dead.add(p)
                 p -= len(path.pop())
+                left = path[-1] if path else ""
                 arcs = open_arcs.pop()
-        return path[1:]
+            path.append(piece)
+            open_arcs.append(arcs)
+            left = piece
+            p += len(piece)
+        return path
 
     def _score_path(self, text: str) -> list[str]:
         """The path of least total weight; of equal ones the one found first from the left."""
@@ -258,22 +252,25 @@ class Model:
 
     def _part(self, part: str) -> tuple[int, ...]:
         """Ids of a part, put together from what lies between the cuts inside it."""
-        pairs, start, ids = self.pairs, 0, []
-        for i in range(1, len(part) + 1):
-            if i == len(part) or part[i - 1 : i + 1] not in pairs:
-                piece = part[start:i]
-                known = self.memory.get(piece) if i - start < len(part) else None
+        pairs, memory, n = self.pairs, self.memory, len(part)
+        cuts = [i for i in range(1, n) if part[i - 1 : i + 1] not in pairs]
+        if cuts:
+            ids: list[int] = []
+            for a, b in zip([0, *cuts], [*cuts, n], strict=True):
+                piece = part[a:b]
+                known = memory.get(piece)
                 if known is None:
                     known = tuple(self._path_ids(piece))
-                    if i - start < min(len(part), LONGEST_REMEMBERED):
-                        self.memory[piece] = known
+                    if b - a < LONGEST_REMEMBERED:
+                        memory[piece] = known
                 ids += known
-                start = i
-        result = tuple(ids)
-        if len(part) < LONGEST_REMEMBERED:
-            if len(self.memory) > REMEMBERED:
-                self.memory.clear()
-            self.memory[part] = result
+            result = tuple(ids)
+        else:
+            result = tuple(self._path_ids(part))
+        if n < LONGEST_REMEMBERED:
+            if len(memory) > REMEMBERED:
+                memory.clear()
+            memory[part] = result
         return result
 
     def encode(self, text: str | None) -> np.ndarray:

@@ -103,7 +103,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, labelled: np.ndarray, labe
     every = np.concatenate([positive, unlabelled]).astype(np.float64)
     mean, scale = every.mean(0), every.std(0) + 1e-3
     p, u = (np.clip((x - mean) / scale, -8, 8).astype(np.float32) for x in (positive, unlabelled))
-    ridge = 1e-3
+    ridge = 1e-2
 
     def gradient(w: np.ndarray) -> np.ndarray:
         w = w.astype(np.float32)
