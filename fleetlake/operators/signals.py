@@ -20,9 +20,6 @@ _EXTENDED_MUX_LINE = r"^SG_MUL_VAL_ +(\d+) +(\w+) +(\w+) +([\d\-, ]+);"
 #: Lines per block when message headers are handed down to their signals.
 _BLOCK_LINES = 5_000
 
-#: Longest raw value in bits that decoding supports.
-MAX_BITS = 62
-
 
 def read_signal_catalog(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Catalog rows of all ``can*`` / ``lin*`` text files below ``path``."""
@@ -135,8 +132,8 @@ def parse_catalog(lines: DataFrame) -> DataFrame:
     )
 
 
-def _layout(catalog: DataFrame, tag: str) -> DataFrame:
-    """Where each signal's bits lie, worked out once per catalog row.
+def _layout() -> Column:
+    """Where a signal's bits lie, worked out once per catalog row.
 
     Little-endian fields count bits upwards from the lowest bit of byte 0. Big-endian fields
     name their most significant bit and run to the right, then on to the next byte.
@@ -146,19 +143,17 @@ def _layout(catalog: DataFrame, tag: str) -> DataFrame:
     # Bits from the top of the first byte to the end of a big-endian field.
     run = F.lit(7) - start % 8 + length
     span = F.when(little, start % 8 + length).otherwise(run)
+    all_bits = F.lit(-1).cast("long")
     columns = {
-        "signal": F.col("signal"),
         "little": little,
         "byte": byte.cast("int"),
         "bytes": F.ceil(span / 8).cast("int"),
         # Shift within the bytes touched, and within the whole first word.
         "shift": F.when(little, start % 8).otherwise(F.pmod(-run, F.lit(8))).cast("int"),
         "word_shift": F.when(little, start).otherwise(F.lit(64) - byte * 8 - run).cast("int"),
-        "mask": F.pow(F.lit(2.0), length).cast("long") - 1,
-        "mux_signal": F.col("mux_signal"),
-        "mux_ranges": F.col("mux_ranges"),
+        "mask": F.call_function("shiftrightunsigned", all_bits, F.lit(64) - length),
     }
-    return catalog.select("file", "frame_id", *(c.alias(tag + n) for n, c in columns.items()))
+    return F.struct(*(c.alias(n) for n, c in columns.items()))
 
 
 def _with_words(frames: DataFrame) -> DataFrame:
@@ -173,59 +168,98 @@ def _with_words(frames: DataFrame) -> DataFrame:
     )
 
 
-def _long_field(tag: str) -> Column:
+def _long_field(field: Column) -> Column:
     """A field that lies behind the first eight bytes, from the text of the bytes it touches."""
-    digits = F.hex(F.substring(F.col("payload"), F.col(f"{tag}byte") + 1, F.col(f"{tag}bytes")))
+    digits = F.hex(F.substring(F.col("payload"), field["byte"] + 1, field["bytes"]))
     # Little-endian: turn the byte pairs round, so that the first byte comes last.
     pairs = F.regexp_extract_all(digits, F.lit("(..)"), F.lit(1))
-    number = F.when(F.col(f"{tag}little"), F.array_join(F.reverse(pairs), "")).otherwise(digits)
+    number = F.when(field["little"], F.array_join(F.reverse(pairs), "")).otherwise(digits)
     # A field can touch nine bytes. The lower seven and the upper two are converted apart and
     # put together after the shift, so that everything stays within a long.
     padded = F.lpad(number, 18, "0")
     low = F.conv(F.substring(padded, 5, 14), 16, 10).cast("long")
     high = F.conv(F.substring(padded, 1, 4), 16, 10).cast("long")
-    shift = F.col(f"{tag}shift")
+    shift = field["shift"]
     return F.call_function("shiftright", low, shift).bitwiseOR(
         F.call_function("shiftleft", high, F.lit(56) - shift)
     )
 
 
-def _raw(tag: str) -> Column:
-    """Unsigned raw value of the field laid out by the ``tag`` columns, null if the payload
-    is too short."""
-    end = F.col(f"{tag}byte") + F.col(f"{tag}bytes")
-    word = F.when(F.col(f"{tag}little"), F.col("_le")).otherwise(F.col("_be"))
+def _raw(field: Column) -> Column:
+    """The 64-bit pattern of a field's raw value, null if the payload is too short."""
+    end = field["byte"] + field["bytes"]
+    word = F.when(field["little"], F.col("_le")).otherwise(F.col("_be"))
     bits = F.when(
-        end <= 8, F.call_function("shiftrightunsigned", word, F.col(f"{tag}word_shift"))
-    ).otherwise(_long_field(tag))
-    return F.when(F.col("_size") >= end, bits.bitwiseAND(F.col(f"{tag}mask")))
+        end <= 8, F.call_function("shiftrightunsigned", word, field["word_shift"])
+    ).otherwise(_long_field(field))
+    return F.when(F.col("_size") >= end, bits.bitwiseAND(field["mask"]))
+
+
+def _number(raw: Column, length: Column, signed: Column) -> Column:
+    """The raw value as a double, rounded once.
+
+    Shifting up and back spreads the sign bit. An unsigned pattern is put together from its
+    upper 53 and lower 11 bits, both exact, since half of the 64-bit ones would be negative.
+    """
+    unused = (F.lit(64) - length).cast("int")
+    spread = F.call_function("shiftright", F.call_function("shiftleft", raw, unused), unused)
+    upper = F.call_function("shiftrightunsigned", raw, F.lit(11)).cast("double")
+    whole = upper * 2048.0 + raw.bitwiseAND(F.lit(2047).cast("long")).cast("double")
+    return F.when(signed, spread.cast("double")).otherwise(whole)
 
 
-def _selected(ranges: str, tag: str) -> Column:
-    """The selector's value in this frame lies in one of the ranges."""
-    value = _raw(tag)
-    return F.coalesce(F.exists(ranges, lambda r: value.between(r["lo"], r["hi"])), F.lit(False))
+def _selected(selectors: Column) -> Column:
+    """Each selector up to the top has a value in this frame that lies in one of its ranges."""
+
+    def fits(selector: Column) -> Column:
+        value = _raw(selector["field"])
+        return F.coalesce(F.exists(selector["ranges"], lambda r: value.between(r["lo"], r["hi"])), F.lit(False))
+
+    return F.forall(selectors, fits)
 
 
 def field_layouts(catalog: DataFrame) -> DataFrame:
     """Everything decoding needs to know per signal, stored once.
 
-    A selector may itself be multiplexed, so each signal carries the layouts of its selector
-    and of that one's selector. Fields wider than ``MAX_BITS`` are left out. The table is as
-    small as the catalog; stored, Spark knows so and broadcasts it by its own size check,
-    where an estimate over these joins would be far off.
+    A selector may itself be multiplexed, to any depth: each signal carries the layouts of all
+    its selectors up to the top, gathered level by level. The table is as small as the catalog;
+    stored, Spark knows so and broadcasts it by its own size check, where an estimate over
+    these joins would be far off.
     """
-    usable = catalog.where(F.col("length") <= MAX_BITS)
+    wide = catalog.where(~F.col("length").between(1, 64)).select("file", "signal", "length").take(1)
+    if wide:
+        raise ValueError(f"signal {wide[0].signal} of {wide[0].file} has {wide[0].length} bits; 1 to 64 can be decoded")
     key = ["file", "frame_id"]
-    layouts = (
-        usable.select(*key, "bus", "message", "signal", "signed", "factor", "offset", "unit", "length")
-        .join(_layout(usable, "_").withColumnRenamed("_signal", "signal"), [*key, "signal"])
-        .withColumn("_s_signal", F.col("_mux_signal"))
-        .join(_layout(usable, "_s_"), [*key, "_s_signal"], "left")
-        .withColumn("_p_signal", F.col("_s_mux_signal"))
-        .join(_layout(usable, "_p_").drop("_p_mux_signal", "_p_mux_ranges"), [*key, "_p_signal"], "left")
+    fields = stored(
+        catalog.select(
+            *key, "bus", "message", "signal", "signed", "factor", "offset", "unit", "length",
+            _layout().alias("_field"), F.col("mux_signal").alias("_above"), F.col("mux_ranges").alias("_ranges"),
+        ),
+        "fields",
+    )
+    above = fields.select(
+        *key,
+        F.col("signal").alias("_above"),
+        F.col("_field").alias("_a_field"),
+        F.col("_above").alias("_a_above"),
+        F.col("_ranges").alias("_a_ranges"),
     )
-    return stored(layouts, "field-layouts")
+    selector = F.struct(F.col("_a_field").alias("field"), F.col("_ranges").alias("ranges"))
+    none = F.filter(F.array(F.struct(F.col("_field").alias("field"), F.col("_ranges").alias("ranges"))), lambda _: F.lit(False))
+    layouts = fields.withColumn("_selectors", none)
+    deepest = fields.select(*key, "_above").where("_above IS NOT NULL").distinct().count()
+    for _ in range(deepest + 1):
+        if layouts.where("_above IS NOT NULL").isEmpty():
+            return layouts.drop("_above", "_ranges")
+        grown = F.when(F.col("_above").isNull(), F.col("_selectors")).otherwise(F.concat("_selectors", F.array(selector)))
+        kept = [c for c in layouts.columns if c not in ("_selectors", "_above", "_ranges")]
+        layouts = stored(
+            layouts.join(above, [*key, "_above"], "left").select(
+                *kept, grown.alias("_selectors"), F.col("_a_above").alias("_above"), F.col("_a_ranges").alias("_ranges")
+            ),
+            "field-layouts",
+        )
+    raise ValueError("selectors of a catalog select each other")
 
 
 def decode_frames(
@@ -243,15 +277,6 @@ def decode_frames(
     """
     on = ["bus", "frame_id"] if "bus" in frames.columns else ["frame_id"]
     wanted = layouts if "bus" in on else layouts.drop("bus")
-    present = F.col("_mux_signal").isNull() | (
-        _selected("_mux_ranges", "_s_")
-        & (F.col("_s_mux_signal").isNull() | _selected("_s_mux_ranges", "_p_"))
-    )
-    # Half the value range: raw values from there on are negative if the signal is signed.
-    half = F.pow(F.lit(2.0), F.col("length") - 1).cast("long")
-    signed = F.when(
-        F.col("signed") & (F.col("_value") >= half), F.col("_value") - half - half
-    ).otherwise(F.col("_value"))
     words = _with_words(frames)
     allowed = F.lit(True)
     if groups is not None:
@@ -259,14 +284,14 @@ def decode_frames(
         allowed = F.col("_files").isNull() | F.array_contains("_files", F.col("file"))
     return (
         words.join(wanted, on)
-        .where(allowed & present)
-        .withColumn("_value", _raw("_"))
+        .where(allowed & _selected(F.col("_selectors")))
+        .withColumn("_value", _raw(F.col("_field")))
         .where(F.col("_value").isNotNull())
         .select(
             *(c for c in frames.columns if c != "payload"),
             "message",
             "signal",
-            (signed * F.col("factor") + F.col("offset")).alias("value"),
+            (_number(F.col("_value"), F.col("length"), F.col("signed")) * F.col("factor") + F.col("offset")).alias("value"),
             "unit",
         )
     )

@@ -34,20 +34,32 @@ def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# A catalog in the same text format: little- and big-endian, signed and multiplexed fields.
+# An invented catalog in the same text format: little- and big-endian, signed and multiplexed
+# fields, 63 and 64 bits, selectors over three levels.
 CATALOG_TEXT = """
-BO_ 107 Drive: 8 Vector
- SG_ SpeedValid : 0|1@1+ (1,0) [0|1] "" Vector
- SG_ Speed : 1|20@1+ (0.001,0) [0|1048.575] "m/s" Vector
- SG_ Turn : 24|12@1- (0.1,5) [-300|300] "deg" Vector
- SG_ Code : 47|16@0+ (1,0) [0|65535] "" Vector
- SG_ Flags : 62|3@0+ (1,0) [0|7] "" Vector
- SG_ Beyond : 60|8@1+ (1,0) [0|7] "" Vector
-
-BO_ 108 State: 4 Vector
- SG_ Kind M : 0|4@1+ (1,0) [0|15] "" Vector
- SG_ Even m0 : 15|16@0- (0.5,0) [0|100] "" Vector
- SG_ Odd m1 : 4|12@1+ (2,1) [0|100] "" Vector
+BO_ 321 Pump: 8 Maker
+ SG_ Running : 3|1@1+ (1,0) [0|1] "" Maker
+ SG_ Flow : 4|21@1+ (0.002,-3) [-3|4000] "l" Maker
+ SG_ Tilt : 28|11@1- (0.25,-7) [-300|300] "grad" Maker
+ SG_ Batch : 55|16@0+ (1,0) [0|65535] "" Maker
+ SG_ Beyond : 61|9@1+ (1,0) [0|7] "" Maker
+
+BO_ 655 State: 4 Maker
+ SG_ Kind M : 0|4@1+ (1,0) [0|15] "" Maker
+ SG_ Even m0 : 15|16@0- (0.5,0) [0|100] "" Maker
+ SG_ Odd m1 : 4|12@1+ (2,1) [0|100] "" Maker
+
+BO_ 654 Deep: 20 Maker
+ SG_ Top M : 2|3@1+ (1,0) [0|0] "" Maker
+ SG_ Middle m1M : 11|4@0+ (1,0) [0|0] "" Maker
+ SG_ Low m2M : 16|6@1+ (1,0) [0|0] "" Maker
+ SG_ Leaf m3 : 24|8@1- (0.5,1) [0|0] "bar" Maker
+ SG_ Wide : 39|64@0+ (1e-12,0) [0|0] "" Maker
+ SG_ Long : 97|63@1- (1e-07,0) [0|0] "" Maker
+
+SG_MUL_VAL_ 654 Middle Top 1-1;
+SG_MUL_VAL_ 654 Low Middle 2-3;
+SG_MUL_VAL_ 654 Leaf Low 3-3;
 """
 
 
@@ -63,20 +75,22 @@ def _little(number, digits: int):
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two frames per event row, packed bit by bit as the catalog says."""
-    centred = F.col("K") - 50
-    drive = F.concat(
-        _little(F.col("SpeedValid") + F.round(F.col("Speed") * 1000).cast("long") * 2, 6),
-        _little(F.pmod(centred, F.lit(4096)), 4),
-        _big(F.col("event_id") % 65536, 4),
-        _big(F.col("K") % 8 * 16, 2),
+    """Three frames per event row, packed bit by bit as the catalog says."""
+    centred, event, k = F.col("K") - 50, F.col("event_id"), F.col("K")
+    flow = F.col("SpeedValid") * 8 + F.round(F.col("Speed") * 1000).cast("long") * 16
+    pump = F.concat(
+        _little(flow + F.pmod(centred, F.lit(2048)) * (1 << 28), 10), F.lit("00"), _big(event % 65536, 4)
     )
     state = F.when(
-        F.col("event_id") % 2 == 1, F.concat(_little(1 + F.col("K") * 16, 4), F.lit("0000"))
+        event % 2 == 1, F.concat(_little(1 + k * 16, 4), F.lit("0000"))
     ).otherwise(F.concat(F.lit("00"), _big(F.pmod(centred, F.lit(65536)), 4), F.lit("00")))
+    deep = F.concat(
+        _big(k % 3 * 4, 2), _big(event % 5, 2), _big(k % 4, 2), _big(F.pmod(centred, F.lit(256)), 2),
+        _big(65535 - event % 65536, 4), _big(k, 12), _little(centred * (1 << 41), 16),
+    )
     frames = [
         F.struct(F.lit(frame_id).cast("long").alias("frame_id"), F.unhex(text).alias("payload"))
-        for frame_id, text in ((107, drive), (108, state))
+        for frame_id, text in ((321, pump), (655, state), (654, deep))
     ]
     return (
         signals(spark, sf_dir)
@@ -98,14 +112,19 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DECODED = [
-    (107, "Drive", "SpeedValid", "SpeedValid", "", "true"),
-    (107, "Drive", "Speed", "round(Speed * 1000) * 0.001", "m/s", "true"),
-    (107, "Drive", "Turn", "(K - 50) * 0.1 + 5", "deg", "true"),
-    (107, "Drive", "Code", "event_id % 65536", "", "true"),
-    (107, "Drive", "Flags", "K % 8", "", "true"),
-    (108, "State", "Kind", "event_id % 2", "", "true"),
-    (108, "State", "Even", "(K - 50) * 0.5", "", "event_id % 2 = 0"),
-    (108, "State", "Odd", "K * 2 + 1", "", "event_id % 2 = 1"),
+    (321, "Pump", "Running", "SpeedValid", "", "true"),
+    (321, "Pump", "Flow", "round(Speed * 1000) * 0.002 - 3", "l", "true"),
+    (321, "Pump", "Tilt", "(K - 50) * 0.25 - 7", "grad", "true"),
+    (321, "Pump", "Batch", "event_id % 65536", "", "true"),
+    (655, "State", "Kind", "event_id % 2", "", "true"),
+    (655, "State", "Even", "(K - 50) * 0.5", "", "event_id % 2 = 0"),
+    (655, "State", "Odd", "K * 2 + 1", "", "event_id % 2 = 1"),
+    (654, "Deep", "Top", "K % 3", "", "true"),
+    (654, "Deep", "Middle", "event_id % 5", "", "K % 3 = 1"),
+    (654, "Deep", "Low", "K % 4", "", "K % 3 = 1 AND event_id % 5 IN (2, 3)"),
+    (654, "Deep", "Leaf", "(K - 50) * 0.5 + 1", "bar", "K % 3 = 1 AND event_id % 5 IN (2, 3) AND K % 4 = 3"),
+    (654, "Deep", "Wide", "(CAST(65535 - event_id % 65536 AS DOUBLE) * 281474976710656 + K) * 1e-12", "", "true"),
+    (654, "Deep", "Long", "CAST((K - 50) * 1099511627776 AS DOUBLE) * 1e-7", "", "true"),
 ]
 
 QUERIES = {"signal_catalog": _catalog, "decode_frames": _decoded}

@@ -12,20 +12,24 @@ TEXT = """VERSION ""
 NS_ :
 	SG_MUL_VAL_
 
-BO_ 2028 Battery: 61 Vector
- SG_ Charge m257 : 63|8@0+ (0.5,3) [0|100] "%" Vector
- SG_ R m98M : 15|16@0+ (1,0) [0|0] "unit" Vector
- SG_ S M : 7|8@0+ (1,0) [0|0] "" Vector
- SG_ Display m261 : 39|8@0- (1,0) [0|0] "degC" Vector
-
-BO_ 107 Speed: 5 Vector
- SG_ Valid : 0|1@1+ (1,0) [0|1] "" Vector
- SG_ Position : 1|28@1+ (1e-06,-90) [-90|90] "deg" Vector
-
-CM_ SG_ 107 Valid "flag";
-SG_MUL_VAL_ 2028 Charge R 257-257;
-SG_MUL_VAL_ 2028 R S 98-98;
-SG_MUL_VAL_ 2028 Display R 200-210, 261-262;
+BO_ 900 Tank: 40 Maker
+ SG_ Level m7 : 87|10@0+ (0.2,1) [0|200] "l" Maker
+ SG_ Page m3M : 23|12@0+ (1,0) [0|0] "no" Maker
+ SG_ Book M : 4|6@1+ (1,0) [0|0] "" Maker
+ SG_ Heat m9 : 48|9@1- (2,0) [0|0] "K" Maker
+ SG_ Part m21M : 104|5@1+ (1,0) [0|0] "" Maker
+ SG_ Drip m4 : 112|64@1+ (1,0) [0|0] "" Maker
+
+BO_ 33 Door: 6 Maker
+ SG_ Open : 6|2@1+ (1,0) [0|3] "" Maker
+ SG_ Angle : 9|17@1+ (0.002,-40) [-40|90] "grad" Maker
+
+CM_ SG_ 33 Open "state";
+SG_MUL_VAL_ 900 Level Page 7-7;
+SG_MUL_VAL_ 900 Page Book 3-3;
+SG_MUL_VAL_ 900 Heat Page 20-29, 40-41;
+SG_MUL_VAL_ 900 Part Page 20-29;
+SG_MUL_VAL_ 900 Drip Part 4-4;
 """
 
 
@@ -34,15 +38,15 @@ def test_catalog_files(spark, tmp_path):
     (tmp_path / "lin2.dbc").write_text(TEXT.replace("\n", "\r\n"))
     (tmp_path / "other.dbc").write_text(TEXT)
     rows = read_signal_catalog(spark, str(tmp_path)).collect()
-    assert len(rows) == 12
+    assert len(rows) == 16
     assert {r.bus for r in rows} == {"can1", "lin2"}
     by_name = {r.signal: r for r in rows if r.bus == "can1"}
-    charge = by_name["Charge"]
-    assert (charge.frame_id, charge.message, charge.start_bit, charge.length, charge.little_endian) == (2028, "Battery", 63, 8, False)
-    assert (charge.factor, charge.offset, charge.unit, charge.mux, charge.mux_signal) == (0.5, 3.0, "%", "m257", "R")
-    assert by_name["R"].mux_signal == "S" and by_name["S"].mux_signal is None
-    assert [tuple(x) for x in by_name["Display"].mux_ranges] == [(200, 210), (261, 262)]
-    assert by_name["Position"].factor == 1e-06 and by_name["Valid"].message == "Speed"
+    level = by_name["Level"]
+    assert (level.frame_id, level.message, level.start_bit, level.length, level.little_endian) == (900, "Tank", 87, 10, False)
+    assert (level.factor, level.offset, level.unit, level.mux, level.mux_signal) == (0.2, 1.0, "l", "m7", "Page")
+    assert by_name["Page"].mux_signal == "Book" and by_name["Book"].mux_signal is None
+    assert [tuple(x) for x in by_name["Heat"].mux_ranges] == [(20, 29), (40, 41)]
+    assert by_name["Angle"].factor == 0.002 and by_name["Open"].message == "Door"
 
 
 def catalog(spark, text):
@@ -66,8 +70,8 @@ def test_any_field_of_any_frame(spark):
     text, fields = "", {}
     for frame_id, size in ((1, 8), (2, 8), (3, 64), (4, 3)):
         text += f"BO_ {frame_id} M{frame_id}: {size} V\n"
-        for n in range(60):
-            little, signed, length = rng.random() < 0.5, rng.random() < 0.5, rng.randint(1, 62)
+        for n in range(90):
+            little, signed, length = rng.random() < 0.5, rng.random() < 0.5, rng.choice([rng.randint(1, 64), 63, 64])
             start = rng.randrange(size * 8)
             text += f" SG_ F{n} : {start}|{length}@{int(little)}{'-' if signed else '+'} (1,0) [0|0] \"\" V\n"
             fields[frame_id, f"F{n}"] = (start, length, little, signed)
@@ -94,23 +98,49 @@ def test_any_field_of_any_frame(spark):
     assert len(expected) > 300
 
 
+def placed(size, *fields):
+    """A payload with (start, length, little, value) fields set bit by bit."""
+    payload = bytearray(size)
+    for start, length, little, value in fields:
+        byte, bit = start // 8, start % 8
+        for i in range(length):
+            if value >> (i if little else length - 1 - i) & 1:
+                payload[byte] |= 1 << bit
+            if little:
+                byte, bit = (byte + 1, 0) if bit == 7 else (byte, bit + 1)
+            else:
+                byte, bit = (byte, bit - 1) if bit else (byte + 1, 7)
+    return payload
+
+
 def test_multiplexed_signals_need_their_selectors(spark):
-    def frame(s, r, charge, display):
-        return bytearray([s, r >> 8, r & 255, 0, display, 0, 0, charge] + [0] * 53)
-
-    rows = [(1, frame(98, 257, 10, 5)), (2, frame(98, 205, 10, 250)), (3, frame(97, 257, 10, 5)), (4, frame(98, 300, 10, 5))]
-    df = spark.createDataFrame([("can1", n, 2028, p) for n, p in rows], "bus string, n int, frame_id long, payload binary")
-    text = TEXT.replace("15|16@0+", "15|16@0+")
-    decoded = decode_frames(df, field_layouts(catalog(spark, text))).collect()
-    got = {(r.n, r.signal): r.value for r in decoded if r.signal in ("Charge", "Display", "R")}
-    assert got == {(1, "R"): 257, (1, "Charge"): 8.0, (2, "R"): 205, (2, "Display"): -6.0, (4, "R"): 300}
+    def frame(book, page, part=0):
+        fields = [(4, 6, True, book), (23, 12, False, page), (87, 10, False, 35), (48, 9, True, 510), (104, 5, True, part)]
+        return placed(40, *fields, (112, 64, True, 2**64 - 2048))
+
+    rows = [(1, frame(3, 7)), (2, frame(3, 25)), (3, frame(2, 7)), (4, frame(3, 300)), (5, frame(3, 40, 4)), (6, frame(3, 20, 4)), (7, frame(2, 20, 4))]
+    df = spark.createDataFrame([("can1", n, 900, p) for n, p in rows], "bus string, n int, frame_id long, payload binary")
+    decoded = decode_frames(df, field_layouts(catalog(spark, TEXT))).collect()
+    got = {(r.n, r.signal): r.value for r in decoded if r.signal != "Book"}
+    assert got == {
+        (1, "Page"): 7, (1, "Level"): 8.0, (2, "Page"): 25, (2, "Heat"): -4.0, (2, "Part"): 0, (4, "Page"): 300,
+        (5, "Page"): 40, (5, "Heat"): -4.0, (6, "Page"): 20, (6, "Heat"): -4.0, (6, "Part"): 4, (6, "Drip"): float(2**64 - 2048),
+    }
     other_bus = df.withColumn("bus", F.lit("can2"))
-    assert decode_frames(other_bus, field_layouts(catalog(spark, text))).count() == 0
+    assert decode_frames(other_bus, field_layouts(catalog(spark, TEXT))).count() == 0
+
+
+def test_impossible_catalogs_are_refused(spark):
+    with pytest.raises(ValueError, match="65 bits"):
+        field_layouts(catalog(spark, 'BO_ 1 A: 9 V\n SG_ B : 0|65@1+ (1,0) [0|0] "" V\n'))
+    text = 'BO_ 1 A: 8 V\n SG_ B m1M : 0|4@1+ (1,0) [0|0] "" V\n SG_ C m1M : 4|4@1+ (1,0) [0|0] "" V\n'
+    with pytest.raises(ValueError, match="each other"):
+        field_layouts(catalog(spark, text + "SG_MUL_VAL_ 1 B C 1-1;\nSG_MUL_VAL_ 1 C B 1-1;\n"))
 
 
 def test_devices_use_the_catalogs_of_their_group(spark):
     frames = spark.createDataFrame(
-        [(d, 107, bytearray([1, 0, 0, 0, 0])) for d in ("A", "B", "C")], "device string, frame_id long, payload binary"
+        [(d, 33, placed(6, (6, 2, True, 1))) for d in ("A", "B", "C")], "device string, frame_id long, payload binary"
     )
     groups = spark.createDataFrame([("A", ["can1.dbc"]), ("B", ["can2.dbc"])], "device string, files array<string>")
     layouts = field_layouts(catalog(spark, TEXT))
