@@ -71,7 +71,9 @@ def combine_codes(df: DataFrame, context: CustomContext) -> DataFrame:
 
 @register_custom("custom_geofences")
 def custom_geofences(df: DataFrame, context: CustomContext) -> DataFrame:
-    """The first fence around each position."""
+    """The first fence around each position; without any fence it can't be told."""
+    if not context.fences:
+        raise ValueError("custom_geofences needs fences")
     return _signals_only(with_fence(df, context.fences), context, ["GeofenceId"])
 
 

@@ -94,7 +94,11 @@ def _inputs(lake: Lake, names: Sequence[str]) -> dict[str, DataFrame] | None:
 def input_rows(lake: Lake, config: Mapping, names: Sequence[str]) -> DataFrame | None:
     """Stacked or grid-joined input rows for one list of messages."""
     everything = list(names) == [ALL]
-    frames = _inputs(lake, lake.names() if everything else names)
+    if everything:
+        found = {n: lake.message(n) for n in lake.names()}
+        frames = {n: f for n, f in found.items() if f is not None}
+    else:
+        frames = _inputs(lake, names)
     if not frames:
         return None
     raster, prefix = config["raster"], config["prefix"]

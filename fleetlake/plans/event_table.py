@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import event_id
 from ..operators.chunks import chunk_width
-from ..operators.edges import detect_edges, never_both
+from ..operators.edges import detect_edges, never_both, thresholds
 from ..operators.resample import resample_grid, signal_columns, with_position
 from ..schema import EVENT_SCHEMA, SERIES_KEYS
 from ..sources.configs import EVENT_DEFAULTS
@@ -46,6 +46,21 @@ def _triggers(df: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
+def _near(signals: Sequence[str], lower: float, upper: float, exact: bool):
+    """Which stored rows can matter to the edges of signals, where both states exclude each other.
+
+    A NaN passes as large; it becomes a missing value, and goes, once it is read.
+    """
+    if not never_both(lower, upper, exact):
+        return None
+
+    def condition(columns: Sequence[str]) -> Column | None:
+        pairs = [thresholds(F.col(f"`{s}`"), lower, upper, exact) for s in signals if s in columns]
+        return reduce(Column.__or__, [c for pair in pairs for c in pair]) if pairs else None
+
+    return condition
+
+
 def detect_event(
     lake: Lake,
     event: Mapping,
@@ -56,17 +71,19 @@ def detect_event(
 
     Without a chunk ``width``, it is fitted to the densest interval of the rows.
     """
-    rows = lake.messages(event_messages(lake, event))
+    general = {**EVENT_DEFAULTS, **general}
+    lower, upper, exact = event["lower_threshold"], event["upper_threshold"], event["exact_match"]
+    raster = event.get("raster", "")
+    near = None if raster else _near(event["trigger_signals"], lower, upper, exact)
+    rows = lake.messages(event_messages(lake, event), near)
     if rows is None:
         return None
     triggers = [s for s in event["trigger_signals"] if s in rows.columns]
     if not triggers:
         return None
-    lower, upper, exact = event["lower_threshold"], event["upper_threshold"], event["exact_match"]
     keys = [*SERIES_KEYS, "message"]
     if width is None:
         width = chunk_width(rows, keys)
-    raster = event.get("raster", "")
     if raster:
         # Rows without any trigger value matter only where they can end a run.
         signals = triggers if never_both(lower, upper, exact) else signal_columns(rows)

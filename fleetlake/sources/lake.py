@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import lake_parts
 from ..schema import PATH_COLUMNS
-from .objects import list_objects
+
 
 def normalise(df: DataFrame, t: str = "t") -> DataFrame:
     """Times as ``TIMESTAMP`` and NaN as null, so that both engines' missing values agree."""
@@ -38,12 +39,27 @@ def _path_not_found(error: Exception) -> bool:
     return "PATH_NOT_FOUND" in str(error)
 
 
+#: A condition on stored columns, given their names; None if all rows are wanted.
+Near = Callable[[Sequence[str]], Column | None]
+
+
+def _only(rows: DataFrame, near: Near | None) -> DataFrame:
+    """The rows that ``near`` lets through. It sees the stored columns, so the scan can use it."""
+    condition = near(rows.columns) if near else None
+    return rows if condition is None else rows.where(condition)
+
+
 _PATH_ONLY = T.StructType(
     [T.StructField("t", T.TimestampType())]
     + [T.StructField(c, T.DateType() if c == "date" else T.StringType()) for c in PATH_COLUMNS]
 )
 
 
+def _path_globs(root: str, messages, devices, dates) -> str:
+    days = None if dates is None else [d.strftime("%Y/%m/%d") for d in dates]
+    return "/".join([root.rstrip("/"), _alternatives(devices), _alternatives(messages), _alternatives(days, "*/*/*")])
+
+
 def read_path_layout(
     spark: SparkSession,
     root: str,
@@ -51,33 +67,25 @@ def read_path_layout(
     devices: Sequence[str] | None = None,
     dates: Sequence[date] | None = None,
     t: str = "t",
-    drift: bool = False,
+    drift: bool = True,
+    near: Near | None = None,
 ) -> DataFrame:
     """A lake laid out as ``device/message/yyyy/mm/dd/file.parquet``.
 
     The path parts become columns. Wanted devices, messages and days select the folders that
     are listed and read at all, which is partition pruning for a layout without ``k=v`` names.
-    ``drift`` looks at every file's schema instead of one: signals that only some files have
-    are then null elsewhere.
+    The schema is that of all files together: signals that only some files have are null
+    elsewhere. Without ``drift`` one file's schema stands for all, which spares looking into the
+    others; that is for lakes whose files are known to be alike.
     """
-    days = None if dates is None else [d.strftime("%Y/%m/%d") for d in dates]
-    glob = "/".join(
-        [
-            root.rstrip("/"),
-            _alternatives(devices),
-            _alternatives(messages),
-            _alternatives(days, "*/*/*"),
-            "*.parquet",
-        ]
-    )
     try:
-        rows = spark.read.option("mergeSchema", drift).parquet(glob)
+        rows = spark.read.option("mergeSchema", drift).parquet(_path_globs(root, messages, devices, dates) + "/*.parquet")
     except AnalysisException as error:
         if not _path_not_found(error):
             raise
         return spark.createDataFrame([], _PATH_ONLY)
     parts = lake_parts(F.col("_metadata.file_path"))
-    return normalise(rows.select("*", *(c.alias(n) for n, c in parts.items())), t)
+    return normalise(_only(rows, near).select("*", *(c.alias(n) for n, c in parts.items())), t)
 
 
 def read_lake(
@@ -85,8 +93,9 @@ def read_lake(
     root: str,
     message: str | None = None,
     t: str = "t",
-    drift: bool = False,
+    drift: bool = True,
     schema: T.StructType | None = None,
+    near: Near | None = None,
 ) -> DataFrame | None:
     """A lake written by ``write_message``: folders by device, message and date.
 
@@ -99,7 +108,7 @@ def read_lake(
     path = root if message is None else f"{root}/device=*/message={message}"
     try:
         if schema is not None:
-            return normalise(spark.read.schema(schema).options(basePath=root).parquet(path), t)
+            return normalise(_only(spark.read.schema(schema).options(basePath=root).parquet(path), near), t)
         found = spark.read.options(mergeSchema=drift, basePath=root).parquet(path).schema
     except AnalysisException as error:
         if not _path_not_found(error):
@@ -108,7 +117,20 @@ def read_lake(
     # Folder values such as 00000001 are text, whatever inference makes of them.
     folder_types = {"device": T.StringType(), "message": T.StringType(), "date": T.DateType()}
     schema = T.StructType([T.StructField(f.name, folder_types.get(f.name, f.dataType)) for f in found])
-    return normalise(spark.read.schema(schema).options(basePath=root).parquet(path), t)
+    return normalise(_only(spark.read.schema(schema).options(basePath=root).parquet(path), near), t)
+
+
+def _folders(spark: SparkSession, glob: str) -> list[str]:
+    """Names of what a glob matches: folders are looked at, never the files below."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or []]
+
+
+def _union(frames: Sequence[DataFrame | None]) -> DataFrame | None:
+    """Rows of all frames; columns that some lack are null there."""
+    known = [f for f in frames if f is not None]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), known) if known else None
 
 
 class Lake:
@@ -116,7 +138,7 @@ class Lake:
 
     def __init__(
         self,
-        rows: Callable[[Sequence[str]], DataFrame | None],
+        rows: Callable[[Sequence[str], Near | None], DataFrame | None],
         names: Callable[[], Sequence[str]],
     ):
         self._rows = rows
@@ -130,24 +152,19 @@ class Lake:
             # As many names as the catalog has messages, not as the lake has rows.
             return sorted(r[0] for r in df.select("message").distinct().collect())
 
-        return cls(lambda wanted: df.where(F.col("message").isin(list(wanted))), names)
+        return cls(lambda wanted, near: _only(df, near).where(F.col("message").isin(list(wanted))), names)
 
     @classmethod
-    def of_folder(cls, spark: SparkSession, root: str, drift: bool = False) -> Lake:
+    def of_folder(cls, spark: SparkSession, root: str, drift: bool = True) -> Lake:
         """Message folders written by ``write_message``."""
 
-        def rows(wanted: Sequence[str]) -> DataFrame | None:
-            frames = [f for f in (read_lake(spark, root, m, drift=drift) for m in wanted) if f is not None]
-            return (
-                reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-                if frames
-                else None
-            )
-
         def names() -> list[str]:
-            # From the listing alone; as many names as the catalog has messages.
-            name = F.regexp_extract("path", "message=([^/]+)/", 1).alias("name")
-            return sorted(r.name for r in list_objects(spark, root).select(name).distinct().collect() if r.name)
+            # As many names as the catalog has messages.
+            found = _folders(spark, f"{root.rstrip('/')}/device=*/message=*")
+            return sorted({f.rsplit("message=", 1)[1] for f in found})
+
+        def rows(wanted: Sequence[str], near: Near | None) -> DataFrame | None:
+            return _union([read_lake(spark, root, m, drift=drift, near=near) for m in wanted])
 
         return cls(rows, names)
 
@@ -158,30 +175,42 @@ class Lake:
         root: str,
         devices: Sequence[str] | None = None,
         dates: Sequence[date] | None = None,
-        drift: bool = False,
+        drift: bool = True,
     ) -> Lake:
-        """Files under ``device/message/yyyy/mm/dd``, limited to devices and days if given."""
+        """Files under ``device/message/yyyy/mm/dd``, limited to devices and days if given.
+
+        Names and rows come from the same folders. Each message is read on its own, with the
+        schema of its own files.
+        """
 
         def names() -> list[str]:
-            name = F.try_element_at(F.split("path", "/"), F.lit(-5)).alias("name")
-            listed = list_objects(spark, root, suffix=".parquet")
-            return sorted(r.name for r in listed.select(name).distinct().collect() if r.name)
+            if dates is None:
+                return sorted({f.rsplit("/", 1)[1] for f in _folders(spark, f"{root.rstrip('/')}/{_alternatives(devices)}/*")})
+            return sorted({f.rsplit("/", 4)[1] for f in _folders(spark, _path_globs(root, None, devices, dates))})
 
-        def rows(wanted: Sequence[str]) -> DataFrame | None:
-            found = read_path_layout(spark, root, wanted, devices, dates, drift=drift)
+        def one(message: str, near: Near | None) -> DataFrame | None:
+            found = read_path_layout(spark, root, [message], devices, dates, drift=drift, near=near)
             return found if set(found.columns) - {"t", *PATH_COLUMNS} else None
 
-        return cls(rows, names)
+        return cls(lambda wanted, near: _union([one(m, near) for m in wanted]), names)
+
+    @classmethod
+    def joined(cls, *lakes: Lake) -> Lake:
+        """Several lakes as one, such as one of decoded and one of derived messages."""
+        return cls(
+            lambda wanted, near: _union([lake.messages(wanted, near) for lake in lakes]),
+            lambda: sorted({n for lake in lakes for n in lake.names()}),
+        )
 
     def names(self) -> list[str]:
         return list(self._names())
 
-    def message(self, name: str) -> DataFrame | None:
-        return self._rows([name])
+    def message(self, name: str, near: Near | None = None) -> DataFrame | None:
+        return self._rows([name], near)
 
-    def messages(self, names: Sequence[str]) -> DataFrame | None:
+    def messages(self, names: Sequence[str], near: Near | None = None) -> DataFrame | None:
         """Rows of several messages; signals are meant to have the same names in all."""
-        return self._rows(names) if names else None
+        return self._rows(names, near) if names else None
 
 
 def write_partitioned(df: DataFrame, root: str, partition: Sequence[str]) -> None:
@@ -209,6 +238,39 @@ def write_message(df: DataFrame, root: str, message: str | None = None) -> None:
     write_partitioned(named, root, ["device", "message", "date"])
 
 
+def write_path_layout(df: DataFrame, root: str, message: str | None = None) -> int:
+    """Store a message as ``device/message/yyyy/mm/dd/file``, one file per log file; returns their number.
+
+    Replaces files of the same name. The rows are written by Spark into a folder of their own
+    below ``root``, with one task per file, and each finished file is moved to its place; files are
+    listed and moved one by one, in time proportional to their number.
+    """
+    spark = df.sparkSession
+    named = df.withColumn("message", F.lit(message)) if message else df
+    keys = ["device", "message", "date", "file_name"]
+    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    ordered = named.repartition(*keys).sortWithinPartitions(*keys, *(c for c in ("t",) if c in df.columns))
+    ordered.write.partitionBy(*keys).parquet(staging)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, moved = fs.listFiles(folder, True), 0
+    while files.hasNext():
+        source = files.next().getPath()
+        parts = dict(p.split("=", 1) for p in source.getParent().toString().split("/")[-4:] if "=" in p)
+        if len(parts) < 4:
+            continue
+        day = parts["date"].replace("-", "/")
+        name = parts["file_name"]
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{parts['device']}/{parts['message']}/{day}/{name}")
+        fs.mkdirs(target.getParent())
+        if fs.exists(target):
+            fs.delete(target, False)
+        fs.rename(source, target)
+        moved += 1
+    fs.delete(folder, True)
+    return moved
+
+
 def write_events(events: DataFrame, root: str) -> None:
     """Store event rows by day; device, message, signal and event name are columns."""
     write_partitioned(events, root, ["date"])

@@ -1,10 +1,11 @@
-"""New files in, derived messages and events out, each file exactly once."""
+"""New files in, derived messages and events out, whatever order and batches files arrive in."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,9 @@ from ..operators.chunks import DEFAULT_CHUNK
 from ..operators.custom import CustomContext
 from ..plans.custom_messages import custom_messages
 from ..plans.event_table import event_table, first_notifications
-from ..sources.lake import Lake, normalise, write_partitioned
+from ..schema import SERIES_KEYS
+from ..sources.configs import EVENT_DEFAULTS
+from ..sources.lake import Lake, Near, normalise, write_partitioned
 
 BATCH = "batch_id"
 
@@ -41,8 +44,9 @@ def stream_lake(
 ) -> DataFrame:
     """The same for a path-layout lake, with the path parts as columns.
 
-    ``schema`` lists ``t`` and the signals; a file lands whole, so no series is ever split
-    between two batches.
+    ``schema`` lists ``t`` and the signals. Every stored file comes whole, but the messages of one
+    log file are stored files of their own and may come in different batches: this suits rules that
+    look at one message. ``run_whole_files`` is for rules over several.
     """
     rows = (
         spark.readStream.schema(schema)
@@ -88,23 +92,30 @@ class Incremental:
     deliver: Deliver | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        """Process a batch of rows on its own: for rules that need no rows of other batches."""
         # Every rule reads the batch again; its size is bounded by the files per batch.
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                self._process(batch, batch_id)
+                self.process(batch.sparkSession, Lake.of_frame(batch), batch_id)
         finally:
             batch.unpersist()
 
     def _store(self, df: DataFrame, root: str, partition: Sequence[str], batch_id: int) -> DataFrame:
-        """Write the rows of this batch and hand back what was written."""
+        """Write the rows of this batch and hand back what was written, without listing other batches."""
         rows = df.withColumn(BATCH, F.lit(batch_id))
         write_partitioned(rows, root, [*partition, BATCH])
-        stored = df.sparkSession.read.schema(rows.schema).parquet(root)
-        return stored.where(F.col(BATCH) == batch_id).drop(BATCH)
-
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
-        lake = Lake.of_frame(batch)
+        own = f"{root.rstrip('/')}/" + "/".join(f"{c}=*" for c in partition) + f"/{BATCH}={batch_id}"
+        try:
+            stored = df.sparkSession.read.schema(rows.schema).options(basePath=root).parquet(own)
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            return df.limit(0)
+        return stored.drop(BATCH)
+
+    def process(self, spark: SparkSession, lake: Lake, batch_id: int) -> None:
+        """Derive and store everything for the rows of ``lake`` under the number of the batch."""
         derived = custom_messages(lake, self.custom, self.context)
         if self.final:
             derived = {name: self.final(df) for name, df in derived.items()}
@@ -113,7 +124,7 @@ class Incremental:
                 stored = self._store(
                     df.withColumn("message", F.lit(name)),
                     self.messages_root,
-                    ["message", "device", "date"],
+                    ["device", "message", "date"],
                     batch_id,
                 )
                 derived[name] = stored.where(F.col("message") == name).drop("message")
@@ -121,7 +132,7 @@ class Incremental:
             return
         # Events may be triggered by derived messages, which is why these come first.
         found = event_table(
-            batch.sparkSession, with_derived(lake, derived), self.general or {}, self.events, self.width
+            spark, with_derived(lake, derived), self.general or EVENT_DEFAULTS, self.events, self.width
         )
         stored = self._store(found, self.events_root, ["date"], batch_id)
         if self.deliver:
@@ -133,12 +144,12 @@ class Incremental:
 def with_derived(lake: Lake, derived: Mapping[str, DataFrame]) -> Lake:
     """The lake as it looks after the derived messages were written to it."""
 
-    def rows(names: Sequence[str]) -> DataFrame | None:
+    def rows(names: Sequence[str], near: Near | None) -> DataFrame | None:
         frames = [
             derived[n].withColumn("message", F.lit(n)) for n in names if n in derived
         ]
         base = [n for n in names if n not in derived]
-        found = lake.messages(base) if base else None
+        found = lake.messages(base, near) if base else None
         frames = ([found] if found is not None else []) + frames
         if not frames:
             return None
@@ -152,3 +163,76 @@ def with_derived(lake: Lake, derived: Mapping[str, DataFrame]) -> Lake:
 
 def run_incremental(stream: DataFrame, job: Incremental, checkpoint: str) -> StreamingQuery:
     return drain(stream, job, checkpoint)
+
+
+#: Which log files a batch has touched; below the root of the results.
+TOUCHED = "_touched"
+
+
+def stream_names(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
+    """The path parts of new files of a path-layout lake; contents are not read."""
+    paths = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(root)
+    )
+    return paths.select(*(c.alias(n) for n, c in lake_parts(F.col("path")).items()))
+
+
+def run_whole_files(
+    spark: SparkSession, root: str, job: Incremental, checkpoint: str, files_per_batch: int = 1000
+) -> StreamingQuery:
+    """Run ``job`` over a path-layout lake, log file by log file.
+
+    The stored files of a log file, one per message, may come in any batches. So a batch only says
+    which log files it touches; each of these is processed again as the lake has it now, with all its
+    messages. Results are kept per batch with a note of the log files it touched, and
+    ``latest`` reads each log file's newest result. What a batch holds is therefore a matter of
+    load alone: after the last one the results are those of one run over the whole lake.
+    """
+    everything = Lake.of_path_layout(spark, root)
+    notes = [r for r in (job.messages_root, job.events_root) if r]
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        # No more rows than files per batch.
+        touched = spark.createDataFrame(batch.select(*SERIES_KEYS).distinct().collect(), "device string, date date, file_name string")
+        rows = touched.collect()
+        if not rows:
+            return
+        near_by = Lake.of_path_layout(spark, root, sorted({r.device for r in rows}), sorted({r.date for r in rows}))
+
+        def of_touched(names: Sequence[str], near: Near | None) -> DataFrame | None:
+            found = near_by.messages(names, near)
+            return None if found is None else found.join(F.broadcast(touched), list(SERIES_KEYS), "left_semi")
+
+        job.process(spark, Lake(of_touched, everything.names), batch_id)
+        for place in notes:
+            note = touched.withColumn(BATCH, F.lit(batch_id))
+            note.coalesce(1).write.mode("overwrite").parquet(f"{place.rstrip('/')}/{TOUCHED}/{batch_id}")
+
+    return drain(stream_names(spark, root, files_per_batch), handle, checkpoint)
+
+
+def latest(spark: SparkSession, root: str, message: str | None = None) -> DataFrame | None:
+    """The newest results of each log file below a root that ``run_whole_files`` wrote to.
+
+    ``message`` picks a derived message; None if there are no rows at all.
+    """
+    newest = spark.read.parquet(f"{root.rstrip('/')}/{TOUCHED}/*").groupBy(*SERIES_KEYS).agg(F.max(BATCH).alias(BATCH))
+    glob = "date=*" if message is None else f"device=*/message={message}/date=*"
+    try:
+        # The newest schema has all columns; folder values that look like numbers are text.
+        found = spark.read.options(basePath=root, mergeSchema=True).parquet(f"{root.rstrip('/')}/{glob}").schema
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return None
+    kinds = {"device": T.StringType(), "message": T.StringType(), "date": T.DateType(), BATCH: T.IntegerType()}
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
+    rows = spark.read.schema(schema).options(basePath=root).parquet(f"{root.rstrip('/')}/{glob}")
+    device = "device" if "device" in rows.columns else "DeviceID"
+    of = newest.withColumnRenamed("device", device)
+    return rows.join(of, [device, "date", "file_name", BATCH], "left_semi").drop(BATCH)

@@ -244,7 +244,7 @@ def test_summary_of_a_stored_lake(spark):
 
 def test_summary_without_data_is_empty(spark):
     config = configs.trip_config(aggregation_document(**PERIOD))
-    lake = Lake(lambda names: None, lambda: [])
+    lake = Lake(lambda names, near: None, lambda: [])
     assert trip_summary(spark, lake, config).count() == 0
 
 
@@ -314,7 +314,7 @@ def test_lake_of_path_layout_feeds_the_jobs(spark, path_lake):
 
 
 def test_events_on_nothing(spark):
-    lake = Lake(lambda names: None, lambda: [])
+    lake = Lake(lambda names, near: None, lambda: [])
     assert event_table(spark, lake, configs.EVENT_DEFAULTS, [speed_event()]).count() == 0
 
 

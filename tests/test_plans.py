@@ -66,6 +66,31 @@ def test_thresholds_and_columns_reach_the_scan(spark):
     assert "props" not in plan.split("ReadSchema")[1].split("\n")[0]
 
 
+def test_thresholds_reach_the_files_of_a_lake(spark, tmp_path):
+    """Through both readers, although missing values are stored as NaN."""
+    from fleetlake.plans.event_table import detect_event
+    from fleetlake.sources.lake import Lake, write_message, write_path_layout
+    from fleetlake.suite.base import signals
+
+    values = F.when(F.col("event_id") % 5 == 0, float("nan")).otherwise(F.col("Speed"))
+    rows = signals(spark, SF, 1).where("message = 'view' AND date < '2024-01-03'").select("device", "date", "file_name", "t", values.alias("Speed"))
+    write_message(rows, str(tmp_path / "a"), "view")
+    write_path_layout(rows, str(tmp_path / "b"), "view")
+    event = {
+        "event_name": "E", "messages_match_type": "equals", "messages_filtered_list": [["view"]], "trigger_signals": ["Speed"],
+        "lower_threshold": 20, "upper_threshold": 60, "rising_as_start": True, "exact_match": False, "raster": "",
+    }
+    columns = ["t", "EventType", "SignalValue"]
+    frame = Lake.of_frame(rows.withColumn("message", F.lit("view")).withColumn("Speed", F.nanvl("Speed", F.lit(None).cast("double"))))
+    expected = sorted(map(repr, detect_event(frame, event, width="6 hours").select(*columns).collect()))
+    assert expected
+    for lake in (Lake.of_folder(spark, str(tmp_path / "a")), Lake.of_path_layout(spark, str(tmp_path / "b"))):
+        df = detect_event(lake, event, width="6 hours").select(*columns)
+        pushed = re.findall(r"PushedFilters: \[(.*?)\]", plan_of(df))
+        assert pushed and all("LessThanOrEqual(Speed,20" in p and "GreaterThanOrEqual(Speed,60" in p for p in pushed)
+        assert sorted(map(repr, df.collect())) == expected
+
+
 def test_series_are_spread_by_time(spark):
     """Rows of one series are never all sent to one task: no row window by series key alone."""
     plan = plan_of(QUERIES["event_edges"](spark, SF))

@@ -10,12 +10,14 @@ from fleetlake.plans.custom_messages import custom_messages
 from fleetlake.plans.event_table import event_table, first_notifications
 from fleetlake.session import work_folder
 from fleetlake.sources.configs import events_config
-from fleetlake.sources.lake import Lake, read_lake
+from fleetlake.sources.lake import Lake, read_lake, write_path_layout
 from fleetlake.streaming.detector import EdgeDetector
 from fleetlake.streaming.incremental import (
     Incremental,
     drain,
+    latest,
     run_incremental,
+    run_whole_files,
     stream_files,
     stream_lake,
     with_derived,
@@ -106,3 +108,85 @@ def test_path_layout_stream(spark, path_lake):  # noqa: F811
         ("0000000A", dt.date(2024, 3, 1), "1.parquet", 1.0),
         ("0000000A", dt.date(2024, 3, 1), "1.parquet", None),
     }
+
+
+WHOLE = [
+    {
+        "custom_message_name": "Joined",
+        "messages_match_type": "equals",
+        "messages_filtered_list": [["click", "view"]],
+        "raster": "6h",
+        "prefix": True,
+        "function": "resample",
+    }
+]
+WHOLE_EVENTS = {
+    "general": {"include_gps_data": True, "signal_latitude": "Lat", "signal_longitude": "Lon", "messages_gps": ["place"]},
+    "events": [
+        {
+            "event_name": "Busy",
+            "messages_match_type": "equals",
+            "messages_filtered_list": [["click"]],
+            "trigger_signals": ["Speed"],
+            "lower_threshold": 30,
+            "upper_threshold": 50,
+            "rising_as_start": True,
+            "exact_match": False,
+            "raster": "6h",
+        }
+    ],
+}
+
+
+@pytest.fixture(scope="module")
+def small_lake(spark):
+    """A path-layout lake of three messages over a few days, written by the library."""
+    root = work_folder(spark, "small-lake")
+    rows = as_signals(spark.read.parquet(f"{SF}/events.parquet"), 2).where(F.col("date") < dt.date(2024, 1, 3))
+    columns = ["device", "date", "file_name", "t", "message"]
+    rows = rows.withColumn("file_name", F.lit("day.parquet"))
+    assert write_path_layout(rows.where("message = 'click'").select(*columns, "Speed"), root) > 1
+    write_path_layout(rows.where("message = 'view'").select(*columns, "K"), root)
+    write_path_layout(rows.select(*columns, F.col("Latitude").alias("Lat"), F.col("Longitude").alias("Lon")).withColumn("message", F.lit("place")), root)
+    return root
+
+
+@pytest.mark.parametrize("per_batch", [1, 3, 1000])
+def test_whole_files_give_the_same_in_any_batches(spark, small_lake, per_batch):
+    out = work_folder(spark, "whole")
+    general, events = events_config(WHOLE_EVENTS)
+    job = Incremental(WHOLE, general, events, f"{out}/lake", f"{out}/events")
+    run_whole_files(spark, small_lake, job, f"{out}/checkpoint", per_batch)
+
+    lake = Lake.of_path_layout(spark, small_lake)
+    derived = custom_messages(lake, WHOLE)
+    columns = ["device", "date", "file_name", "t", "click_Speed", "view_K"]
+    found = latest(spark, f"{out}/lake", "Joined").select(*columns).collect()
+    assert found and sorted(map(repr, found)) == sorted(map(repr, derived["Joined"].select(*columns).collect()))
+    columns = ["t", "EventName", "DeviceID", "EventType", "SignalValue", "Latitude", "Longitude", "file_name"]
+    expected = event_table(spark, lake, general, events).select(*columns).collect()
+    found = latest(spark, f"{out}/events").select(*columns).collect()
+    assert found and sorted(map(repr, found)) == sorted(map(repr, expected))
+
+
+def test_a_late_message_revises_its_log_file(spark, tmp_path):
+    def put(message, day, values):
+        rows = [("A", day, "1.parquet", dt.datetime(2024, 1, int(day[-2:]), h), v) for h, v in values]
+        df = spark.createDataFrame(rows, "device string, date string, file_name string, t timestamp, Speed double")
+        write_path_layout(df.withColumn("date", F.to_date("date")), str(tmp_path / "in"), message)
+
+    events = [{**WHOLE_EVENTS["events"][0], "raster": ""}]
+    custom = [{**WHOLE[0], "raster": "1h"}]
+    general, events = events_config({"general": {"include_gps_data": False}, "events": events})
+    out = str(tmp_path / "out")
+    job = Incremental(custom, general, events, f"{out}/lake", f"{out}/events")
+    put("click", "2024-01-01", [(1, 10.0), (2, 90.0)])
+    run_whole_files(spark, str(tmp_path / "in"), job, f"{out}/checkpoint")
+    assert latest(spark, f"{out}/lake", "Joined") is None
+    assert latest(spark, f"{out}/events").count() == 1
+    put("view", "2024-01-01", [(1, 1.0), (2, 2.0)])
+    put("click", "2024-01-02", [(1, 10.0), (2, 20.0)])
+    run_whole_files(spark, str(tmp_path / "in"), job, f"{out}/checkpoint")
+    joined = latest(spark, f"{out}/lake", "Joined").collect()
+    assert joined and {r.date for r in joined} == {dt.date(2024, 1, 1)}
+    assert latest(spark, f"{out}/events").count() == 1
