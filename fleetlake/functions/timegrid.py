@@ -64,7 +64,3 @@ def bucket(us: Column, width: int) -> Column:
 def ceil_to(us: Column, step: int) -> Column:
     """Smallest multiple of ``step`` that is not before ``us``."""
     return us + F.pmod(-us, F.lit(step))
-
-
-def seconds_between(start: Column, end: Column) -> Column:
-    return (micros(end) - micros(start)) / F.lit(1_000_000.0)

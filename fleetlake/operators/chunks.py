@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timegrid import bucket, duration_us, micros
+from ..functions.timegrid import bucket, duration_us, micros, raster_us
 
 CHUNK = "_chunk"
 DEFAULT_CHUNK = "10 minutes"
@@ -53,6 +53,11 @@ def chunk_width(
     return width
 
 
+def raster_width(raster: str, target_rows: int = 2_000_000, widest: str = "1 day") -> int:
+    """The width (microseconds) of a chunk that holds about ``target_rows`` labels of a raster at most."""
+    return min(raster_us(raster) * target_rows, duration_us(widest))
+
+
 def with_chunk(df: DataFrame, t: str, width: int | str) -> DataFrame:
     return df.withColumn(CHUNK, bucket(micros(t), duration_us(width) if isinstance(width, str) else width))
 

@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import as_prefix, is_device_prefix, is_log_file, is_session_prefix
-from ..operators.chunks import ordered_index, salt_of, salted
-
-_SALTS = 32
+from ..operators.chunks import ordered_index
 
 #: Longest manifest (in entries) that is broadcast.
 BROADCAST_ENTRIES = 500_000
@@ -72,6 +70,9 @@ def expand_backlog(
     Spark decides, and splits hot devices where it joins by shuffle.
     """
     known = classify_backlog(entries)
+    named = known.where(F.col("kind") == "file").select(
+        "device", "session", "path", F.col("pos").alias("file_pos")
+    )
     devices = (
         known.where(F.col("kind") == "device")
         .groupBy("device")
@@ -82,37 +83,35 @@ def expand_backlog(
         .groupBy("device", "session")
         .agg(F.min("pos").alias("_pos"))
     )
+    first_named = named.groupBy("device", "session").agg(F.min("file_pos").alias("_named_pos"))
     if entry_count is not None and entry_count <= BROADCAST_ENTRIES:
-        devices, sessions = F.broadcast(devices), F.broadcast(sessions)
-    found = (
-        _listed(listing)
-        .join(devices, "device", "left")
-        .join(sessions, ["device", "session"], "left")
-        .select(
-            "device",
-            "session",
-            "path",
-            F.least("_device_pos", "_pos").alias("pos"),
-            F.lit(-1).cast("long").alias("file_pos"),
-        )
-        .where(F.col("pos").isNotNull())
-    )
-    named = known.where(F.col("kind") == "file").select(
-        "device", "session", "path", "pos", F.col("pos").alias("file_pos")
-    )
-    unique = (
-        found.unionByName(named)
-        .groupBy("device", "session", "path")
-        .agg(F.min("pos").alias("pos"), F.min("file_pos").alias("file_pos"))
+        devices, sessions, first_named = F.broadcast(devices), F.broadcast(sessions), F.broadcast(first_named)
+    keys = ["device", "session"]
+    listed = _listed(listing)
+
+    def asked(rows: DataFrame) -> DataFrame:
+        """With the positions of the entries that ask for the row's session."""
+        joined = rows.join(devices, "device", "left").join(sessions, keys, "left").join(first_named, keys, "left")
+        return joined.withColumn("_prefix_pos", F.least("_device_pos", "_pos"))
+
+    found = asked(listed).where(F.col("_prefix_pos").isNotNull()).select(
+        *keys,
+        "path",
+        F.least("_prefix_pos", "_named_pos").alias("session_pos"),
+        F.lit(-1).cast("long").alias("file_pos"),
     )
-    # One small row per session, repeated under each salt for sessions with very many files.
-    first = salted(
-        unique.groupBy("device", "session").agg(F.min("pos").alias("session_pos")), _SALTS
+    # Prefixes ask for a session only if the listing has any of its files.
+    there = listed.join(first_named, keys, "left_semi").select(*keys).distinct().withColumn("_there", F.lit(True))
+    by_name = asked(named).join(there, keys, "left").select(
+        *keys,
+        "path",
+        F.least("_named_pos", F.when(F.col("_there"), F.col("_prefix_pos"))).alias("session_pos"),
+        "file_pos",
     )
     return (
-        unique.withColumn("_salt", salt_of(F.col("path"), _SALTS))
-        .join(first, ["device", "session", "_salt"])
-        .select("device", "session", "path", "session_pos", "file_pos")
+        found.unionByName(by_name)
+        .groupBy(*keys, "path")
+        .agg(F.min("session_pos").alias("session_pos"), F.min("file_pos").alias("file_pos"))
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import event_id
-from ..operators.chunks import chunk_width
+from ..operators.chunks import chunk_width, raster_width
 from ..operators.edges import detect_edges, never_both, thresholds
 from ..operators.resample import resample_grid, signal_columns, with_position
 from ..schema import EVENT_SCHEMA, SERIES_KEYS
@@ -83,7 +83,8 @@ def detect_event(
         return None
     keys = [*SERIES_KEYS, "message"]
     if width is None:
-        width = chunk_width(rows, keys)
+        # A raster limits how dense rows can be, so that none have to be counted.
+        width = raster_width(raster) if raster else chunk_width(rows, keys)
     if raster:
         # Rows without any trigger value matter only where they can end a run.
         signals = triggers if never_both(lower, upper, exact) else signal_columns(rows)

@@ -28,10 +28,10 @@ TRIP_BUCKET = "10 minutes"
 
 
 def _wanted(df: DataFrame, config: TripConfig, cluster: Cluster) -> DataFrame:
-    return df.where(
-        F.col("date").between(F.lit(config.start), F.lit(config.end))
-        & F.col("device").isin(list(cluster.devices))
-    )
+    """The period's rows of the cluster's devices, which are a table as small as the document."""
+    devices = df.sparkSession.createDataFrame([(d,) for d in cluster.devices], "device string").distinct()
+    period = df.where(F.col("date").between(F.lit(config.start), F.lit(config.end)))
+    return period.join(F.broadcast(devices), "device", "left_semi")
 
 
 def _layouts(config: TripConfig) -> list[tuple[Cluster, list[tuple[str, str]]]]:

@@ -1,7 +1,7 @@
 """The JSON documents that steer the jobs, as tables and as checked settings.
 
-Documents are a few kilobytes; ``read_document`` brings one to the driver, the ``*_table``
-functions keep everything in DataFrames.
+Documents are a few kilobytes; ``read_document`` brings one to the driver. ``parse_documents``
+with a schema of ``DOCUMENTS`` keeps many of them in DataFrames.
 """
 
 from __future__ import annotations
@@ -45,6 +45,17 @@ BACKLOG_DOC = "config struct<batch_size: struct<min: int, max: int>>, files arra
 GROUPS_DOC = "dbc_groups array<struct<devices: array<string>, dbc_files: array<string>>>"
 
 
+#: The schema of each kind of document, by name.
+DOCUMENTS = {
+    "aggregations": AGGREGATIONS_DOC,
+    "events": EVENTS_DOC,
+    "custom-messages": CUSTOM_DOC,
+    "geofences": GEOFENCES_DOC,
+    "backlog": BACKLOG_DOC,
+    "dbc-groups": GROUPS_DOC,
+}
+
+
 class ConfigError(ValueError):
     """A document that is present but cannot be used."""
 
@@ -100,10 +111,6 @@ class TripConfig:
     min_length_us: int
     clusters: tuple[Cluster, ...]
 
-    @property
-    def days(self) -> list[date]:
-        return [self.start + timedelta(n) for n in range((self.end - self.start).days + 1)]
-
 
 def _day(text: str, name: str) -> date:
     try:

@@ -16,7 +16,7 @@ class EdgeDetector:
     """A ``foreachBatch`` handler that detects edges of endless series.
 
     What a series must remember is one small row (times of the latest and first occurrences of
-    each flag). It is kept as a table, one version per batch, in the shared folder; each batch
+    each flag). It is kept as a table in the shared folder, in its last two versions; each batch
     runs the batch detector on top of the previous version. No series is pinned to one task,
     and a repeated batch reads the same memory and rewrites the same results.
 
@@ -45,6 +45,10 @@ class EdgeDetector:
     def _memory(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         return None if batch_id < 0 else spark.read.parquet(self._memory_path(batch_id))
 
+    def _forget(self, spark: SparkSession, batch_id: int) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(self._memory_path(batch_id))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         memory = self._memory(batch.sparkSession, batch_id - 1)
         edges = detect_edges(
@@ -61,6 +65,8 @@ class EdgeDetector:
         fresh = edge_memory(batch, self.signal, *self.thresholds, keys=self.keys, t=self.t)
         merged = fresh if memory is None else merge_memory(memory.unionByName(fresh), self.keys)
         merged.write.mode("overwrite").parquet(self._memory_path(batch_id))
+        # A repeated batch needs the version before its own; older ones are of no use.
+        self._forget(batch.sparkSession, batch_id - 2)
 
     def edges(self, spark: SparkSession) -> DataFrame:
         """All edges found so far."""

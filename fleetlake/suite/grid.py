@@ -37,6 +37,17 @@ MANY_FENCES = [
     for j in range(20)
 ]
 
+# A few wide fences, one around the globe's half, among thousands of small ones.
+MIXED_FENCES = [
+    {"id": 10 + 50 * i + j, "name": f"spot {i} {j}", "latitude": 56 + i * 0.004, "longitude": 10 + j * 0.004, "radius": 0.2}
+    for i in range(50)
+    for j in range(50)
+] + [
+    {"id": 1, "name": "region", "latitude": 56.4, "longitude": 10.4, "radius": 45.0},
+    {"id": 2, "name": "country", "latitude": 55.0, "longitude": 9.0, "radius": 130.0},
+    {"id": 3, "name": "half", "latitude": -20.0, "longitude": 100.0, "radius": 10007.0},
+]
+
 _DISTANCE = (
     "2 * 6371.0 * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
     " + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))"
@@ -118,6 +129,10 @@ def _many_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_fence(signals(spark, sf_dir), MANY_FENCES).select("event_id", "GeofenceId")
 
 
+def _mixed_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_fence(signals(spark, sf_dir), MIXED_FENCES).select("event_id", "GeofenceId")
+
+
 def _no_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without a latitude get 0, not null."""
     rows = signals(spark, sf_dir).withColumn("Latitude", F.when(F.col("K") % 5 != 0, F.col("Latitude")))
@@ -185,6 +200,7 @@ QUERIES = {
     "delta_distance": _delta_distance,
     "geofence": _geofence,
     "geofence_many": _many_fences,
+    "geofence_mixed": _mixed_fences,
     "geofence_no_position": _no_position,
     "haversine": _haversine,
     "combine_codes": _combine_codes,
@@ -244,6 +260,7 @@ FROM deltas WHERE d IS NOT NULL"""
     ),
     "geofence": with_signals(_first_fence_sql("s.Latitude", FENCES)),
     "geofence_many": with_signals(_first_fence_sql("s.Latitude", MANY_FENCES)),
+    "geofence_mixed": with_signals(_first_fence_sql("s.Latitude", MIXED_FENCES)),
     "geofence_no_position": with_signals(
         _first_fence_sql("(CASE WHEN s.K % 5 <> 0 THEN s.Latitude END)", FENCES)
     ),

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import with_fence
 from ..operators.custom import CustomContext
+from ..plans.custom_messages import write_custom_messages
+from ..plans.event_table import event_table
 from ..session import use_utc, work_folder
 from ..sources.configs import events_config
+from ..sources.lake import Lake, write_path_layout
 from ..streaming.detector import EdgeDetector
-from ..streaming.incremental import Incremental, run_incremental, stream_files
+from ..streaming.incremental import Incremental, latest, run_incremental, run_whole_files, stream_files
 from ..streaming.trips import stream_trips
 from .base import as_signals, table, with_signals
 from .events import edge_ctes
@@ -112,6 +115,40 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_EVENT_COLUMNS = [
+    "t", "EventName", "DeviceID", "EventId", "Message", "Signal", "EventType", "EventValue", "SignalValue", "date", "file_name",
+]
+
+
+def _path_lake(spark: SparkSession, sf_dir: str) -> str:
+    """All rows as a lake of stored files by device, message and day."""
+    root = work_folder(spark, "path-lake")
+    rows = as_signals(table(spark, sf_dir, "events"), _FEW)
+    write_path_layout(rows.select("device", "message", "date", "file_name", "t", "event_id", "Latitude", "Longitude"), root)
+    return root
+
+
+def _derived_then_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived messages are written, and events triggered by what is read back."""
+    root, derived = _path_lake(spark, sf_dir), work_folder(spark, "derived")
+    lake = Lake.of_path_layout(spark, root)
+    write_custom_messages(lake, CUSTOM, derived, CustomContext(fences=FENCES))
+    general, events = events_config(EVENTS)
+    both = Lake.joined(lake, Lake.of_folder(spark, derived))
+    return event_table(spark, both, general, events, "6 hours").select(*_EVENT_COLUMNS)
+
+
+def _whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a stream of stored files; a log file's messages come in different batches."""
+    folder = work_folder(spark, "whole-files")
+    general, events = events_config(EVENTS)
+    job = Incremental(
+        CUSTOM, general, events, f"{folder}/lake", f"{folder}/events", CustomContext(fences=FENCES), "6 hours"
+    )
+    run_whole_files(spark, _path_lake(spark, sf_dir), job, f"{folder}/checkpoint", files_per_batch=500)
+    return latest(spark, f"{folder}/events").select(*_EVENT_COLUMNS)
+
+
 def _continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges of endless series: nothing is cut at midnight or at the end of a file."""
     folder = work_folder(spark, "detector")
@@ -124,6 +161,8 @@ QUERIES = {
     "stream_geofence": _geofence,
     "stream_trips": _trips,
     "stream_events": _events,
+    "stream_whole_files": _whole_files,
+    "derived_then_events": _derived_then_events,
     "stream_edges": _continuous,
 }
 
@@ -161,6 +200,8 @@ HAVING max(t) - min(t) >= INTERVAL 1 MINUTE
    AND max(t) + INTERVAL 60 MINUTE <= date_trunc('millisecond', (SELECT max(t) FROM signals)) - INTERVAL 60 MINUTE"""
     ),
     "stream_events": _FENCE_EVENTS,
+    "stream_whole_files": _FENCE_EVENTS,
+    "derived_then_events": _FENCE_EVENTS,
     "stream_edges": with_signals(
         edge_ctes("signals", "device, message", "Load <= 20", "Load >= 60").strip()
         + """

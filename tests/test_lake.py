@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fleetlake.functions.paths import as_prefix, device_of, forward_slashes
 from fleetlake.operators.select import file_groups, select_messages
-from fleetlake.plans.custom_messages import write_custom_messages
+from fleetlake.plans.custom_messages import custom_message, write_custom_messages
 from fleetlake.plans.event_table import event_table, first_notifications
 from fleetlake.plans.trip_summary import days_processed, trip_summary
 from fleetlake.schema import EVENT_SCHEMA, TRIP_SUMMARY_SCHEMA
@@ -25,6 +25,7 @@ from fleetlake.sources.lake import (
     read_path_layout,
     write_events,
     write_message,
+    write_path_layout,
     write_trip_summary,
 )
 from fleetlake.sources.objects import list_objects, log_files, with_lake_parts
@@ -191,7 +192,7 @@ def test_trip_parameters_are_required():
 
 def test_date_modes_and_clusters(spark):
     config = configs.trip_config(aggregation_document(**PERIOD))
-    assert config.days == [DAY, DAY + dt.timedelta(1)]
+    assert (config.start, config.end) == (DAY, DAY + dt.timedelta(1))
     assert [c.name for c in config.clusters] == ["one", "two"]
     assert configs.date_range({"mode": "previous_day"}, today=DAY) == (dt.date(2024, 2, 29),) * 2
     plan = {tuple(r) for r in configs.cluster_plan(spark, config).select("cluster", "device", "signal", "aggregation").collect()}
@@ -364,3 +365,66 @@ def test_message_selection(spark):
     assert set(chosen("all_messages")) == {1, 2, 3}
     with pytest.raises(ValueError):
         chosen("starts")
+
+
+@pytest.mark.parametrize("match", [("equals", [["Speed", "Load"]]), ("contains", "d"), ("all_messages", None)])
+def test_derived_messages_of_one_day(spark, tmp_path, match):
+    """Messages of other days, absent on the chosen one, change nothing; files may differ in columns."""
+
+    def put(message, day, n, **signals):
+        rows = [("A", dt.date(2024, 3, day), f"{n}.parquet", dt.datetime(2024, 3, day, h), *signals.values()) for h in (1, 2)]
+        names = "".join(f", {s} double" for s in signals)
+        write_path_layout(spark.createDataFrame(rows, f"device string, date date, file_name string, t timestamp{names}"), str(tmp_path), message)
+
+    put("Speed", 1, 1, v=1.0)
+    put("Speed", 1, 2, v=2.0, extra=3.0)
+    put("Load", 1, 1, w=4.0)
+    put("Load", 1, 2, w=5.0)
+    put("Other", 2, 1, o=1.0)
+    lake = Lake.of_path_layout(spark, str(tmp_path), dates=[dt.date(2024, 3, 1)])
+    assert lake.names() == ["Load", "Speed"]
+    assert Lake.of_path_layout(spark, str(tmp_path)).names() == ["Load", "Other", "Speed"]
+    config = {
+        "custom_message_name": "D", "messages_match_type": match[0], "messages_filtered_list": match[1],
+        "raster": "", "prefix": False, "function": "resample",
+    }
+    rows = custom_message(lake, config).collect()
+    assert sorted((r.file_name, r.t.hour, r.v, r.extra, r.w) for r in rows if r.v) == [
+        ("1.parquet", 1, 1.0, None, None), ("1.parquet", 2, 1.0, None, None), ("2.parquet", 1, 2.0, 3.0, None), ("2.parquet", 2, 2.0, 3.0, None),
+    ]
+    assert sorted(r.w for r in rows if r.w) == [4.0, 4.0, 5.0, 5.0]
+
+
+def test_events_see_every_signal_of_every_file(spark, tmp_path):
+    """Messages with different signals, and a signal that only the second file has."""
+
+    def put(message, n, **signals):
+        rows = [("A", DAY, f"{n}.parquet", dt.datetime(2024, 3, 1, h), *(s[h] for s in signals.values())) for h in (0, 1)]
+        names = "".join(f", {s} double" for s in signals)
+        write_path_layout(spark.createDataFrame(rows, f"device string, date date, file_name string, t timestamp{names}"), str(tmp_path), message)
+
+    put("One", 1, Speed=(0.0, 9.0))
+    put("Two", 1, Other=(0.0, 9.0))
+    put("Two", 2, Load=(0.0, 9.0), Other=(1.0, 1.0))
+    event = {
+        "event_name": "E", "messages_match_type": "all_messages", "trigger_signals": ["Speed", "Load"], "lower_threshold": 1,
+        "upper_threshold": 5, "rising_as_start": True, "exact_match": False, "raster": "",
+    }
+    found = event_table(spark, Lake.of_path_layout(spark, str(tmp_path)), {}, [event]).collect()
+    assert sorted((r.Message, r.Signal, r.file_name) for r in found) == [("One", "Speed", "1.parquet"), ("Two", "Load", "2.parquet")]
+
+
+def test_fences_are_required_and_ids_may_be_text(spark):
+    from fleetlake.functions.geo import with_fence
+    from fleetlake.operators.custom import apply_custom
+
+    df = spark.createDataFrame([("A", DAY, "f", dt.datetime(2024, 3, 1), 56.0, 10.0)], "device string, date date, file_name string, t timestamp, Latitude double, Longitude double")
+    with pytest.raises(ValueError):
+        apply_custom(df, "custom_geofences")
+    fence = {"id": "north", "name": "", "latitude": 56.0, "longitude": 10.0, "radius": 1.0}
+    far = [{**fence, "id": f"far{i}", "latitude": -50.0 + i / 10} for i in range(100)]
+    for fences in ([fence], [*far, fence], [*far, {**fence, "radius": 3000.0}]):
+        assert with_fence(df, fences).first().GeofenceId == "north"
+    assert with_fence(df, far).first().GeofenceId == "0"
+    with pytest.raises(ValueError):
+        with_fence(df, [{**fence, "latitude": 91.0}])
