@@ -5,16 +5,19 @@ truncated minima on an exponential scale: mergeable (register-wise maximum), and
 with a probability near the similarity of their sets. Bands of registers are bucketed; what shares a bucket is estimated by
 maximum likelihood over all registers jointly with the known set sizes, and confirmed on the full sets.
 
-Pairs within a bucket are not all looked at. Documents with equal sets are one. In the first round
-each is compared with the least id of its buckets; then, round by round, with more members of its
-buckets, always only where the two are not yet in one component; the last round compares all that is left.
-So a group of near copies costs about one comparison per document, and no link between components is missed.
+Pairs within a bucket are not all looked at. Documents with equal sets are one. Each is first compared
+with the least id of its buckets; then, turn by turn, those outside the main component of a bucket
+with changing pivots of it, as long as that links a good share of them. The last step compares all that
+share a bucket, are not in one component yet, and have enough shingles that others have too: what a
+set has alone is in no intersection. So a group of near copies costs a few comparisons
+per document, and no link between components is missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,8 @@ REGISTERS, ROWS = 160, 4
 BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 2
 #: A pair is not confirmed on its sets only if the likelihood speaks against the threshold by this log ratio.
 AGAINST = 30.0
+#: Members that a document is compared with in a turn, and the share of links that makes another turn worthwhile.
+PIVOTS, WORTHWHILE = 4, 0.1
 #: Ids up to this many are broadcast to pick texts; beyond that Spark joins by id.
 BROADCAST_IDS = 1_000_000
 #: Bytes of text that are hashed at a time, and texts at most.
@@ -251,7 +256,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _labelled(members: DataFrame, edges: DataFrame) -> DataFrame:
     """Bucket members with their component so far."""
     known = components(edges)
-    return members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    return stored(members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
 
 
 def _sizes_fit(percent: int) -> Column:
@@ -273,7 +278,7 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     # A set's least document stands for it; its band keys come from its own row.
     named = linkable.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "k1", "k2", "bands")
     standing = stored(named.join(classes, ["k1", "k2", "id"], "left_semi").dropDuplicates(["id", "k1", "k2"]), "standing")
-    banded = standing.select("id", "n", F.explode("bands").alias("key"))
+    banded = standing.select("id", "n", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1")
     members = stored(banded.join(shared.select("key", "leader"), "key"), "buckets")
 
@@ -286,13 +291,22 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     tested = stored(first.select("a", F.col("id").alias("b")), "pairs")
     edges = stored(_confirmed(tested, sets, percent), "links")
 
-    for further in (_rival_pairs, _cross_pairs):
-        pairs = further(_labelled(members, edges), percent).join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        edges = edges.unionByName(stored(_confirmed(pairs, sets, percent), "links"))
-        tested = tested.unionByName(pairs)
+    def compared(pairs: DataFrame) -> tuple[int, int]:
+        """Look at the pairs that are new; how many, and how many of them are links."""
+        nonlocal edges, tested
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        looked_at = pairs.count()
+        if not looked_at:
+            return 0, 0
+        found = stored(_confirmed(pairs, sets, percent), "links")
+        edges, tested = edges.unionByName(found), tested.unionByName(pairs)
+        return looked_at, found.count()
+
+    for turn in count():
+        looked_at, linked = compared(_pivot_pairs(_labelled(members, edges), percent, turn))
+        if linked <= WORTHWHILE * looked_at:
+            break
+    compared(_cross_pairs(_labelled(members, edges), sets, standing, percent))
 
     joint = components(edges)
     linked = classes.join(joint, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("component_id"))
@@ -302,26 +316,63 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _rival_pairs(labelled: DataFrame, percent: int) -> DataFrame:
-    """Each member with the least member of the least other component in its bucket."""
-    least = labelled.groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("two")).where("one <> two")
-    heads = labelled.groupBy("key", "component").agg(F.min(F.struct("id", "n")).alias("head"))
-    one = least.join(heads.withColumnRenamed("component", "one"), ["key", "one"]).select("key", "one", F.col("head.id").alias("head1"), F.col("head.n").alias("n1"))
-    two = least.join(heads.withColumnRenamed("component", "two"), ["key", "two"]).select("key", "two", F.col("head.id").alias("head2"), F.col("head.n").alias("n3"))
-    met = labelled.join(one.join(two, "key"), "key")
-    other = F.when(F.col("component") == F.col("one"), F.struct(F.col("head2").alias("id2"), F.col("n3").alias("n2"))).otherwise(
-        F.struct(F.col("head1").alias("id2"), F.col("n1").alias("n2"))
+def _pivot_pairs(labelled: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Members outside their bucket's main component with a pivot of it, another one in each bucket and turn.
+
+    A member is in many buckets; ``PIVOTS`` pivots of theirs are drawn for it.
+    """
+    counted = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
+    main = counted.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
+    open_ = labelled.join(main.where("parts > 1").select("key", "main"), "key")
+    order = F.xxhash64("id", "key", F.lit(turn))
+    pivots = open_.where("component = main").groupBy("key").agg(F.min_by(F.struct("id", "n"), order).alias("pivot"))
+    met = open_.where("component <> main").join(pivots, "key").select("id", "n", F.col("pivot.id").alias("id2"), F.col("pivot.n").alias("n2"))
+    met = met.where(_sizes_fit(percent)).select("id", F.struct(F.xxhash64("id2", F.lit(turn)).alias("order"), "id2").alias("p"))
+    drawn = met.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("p")), 1, PIVOTS).alias("drawn"))
+    return _as_pairs(drawn.select("id", F.explode("drawn").alias("p")).select("id", "p.id2"))
+
+
+def _common_sizes(sets: DataFrame, percent: int) -> DataFrame:
+    """``id`` and ``common``: how many shingles a set has in common with any of the others.
+
+    The intersection with another set can't be larger; sets that lie below the threshold for it
+    even against their own common part are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH_TEXTS):
+                batch = whole.slice(start, BATCH_TEXTS)
+                hashes = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
+                ids = np.repeat(batch.column(0).to_numpy(), [len(h) for h in hashes])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(ids)], ["hash", "id"])
+
+    each = sets.select("id", "hashes").mapInArrow(run, "hash long, id long")
+    own = each.groupBy("hash").agg(F.count("*").alias("holders"), F.min("id").alias("id")).where("holders = 1")
+    own = own.groupBy("id").agg(F.count("*").alias("own"))
+    sizes = sets.groupBy("id").agg(F.max("n").alias("n")).join(own, "id", "left")
+    return sizes.select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")).where(
+        F.lit(100) * F.col("common") >= F.lit(percent) * F.col("n")
     )
-    return _as_pairs(met.select("id", "n", other.alias("o")).select("id", "n", "o.*").where(_sizes_fit(percent)))
 
 
-def _cross_pairs(labelled: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket whose components differ."""
+def _cross_pairs(labelled: DataFrame, sets: DataFrame, standing: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket whose components differ and whose common parts are large enough.
+
+    A pair that shares several buckets comes from the first of them.
+    """
     least = labelled.groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("two")).where("one <> two")
     open_ = labelled.join(least.select("key"), "key", "left_semi")
-    other = open_.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    met = open_.join(other, "key").where((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & _sizes_fit(percent))
-    return _as_pairs(met)
+    concerned = sets.join(open_.select("id").distinct(), "id", "left_semi")
+    common = stored(_common_sizes(concerned, percent), "common").select("id", "common")
+    open_ = stored(open_.join(common, "id").join(standing.select("id", "bands"), "id"), "open")
+    other = open_.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "component", "common", "bands")])
+    most = F.least("common", "common2")
+    likely = F.lit(100) * most >= F.lit(percent) * (F.col("n") + F.col("n2") - most)
+    same = F.zip_with("bands", "bands2", lambda x, y: x == y)
+    first = F.array_position(same, True) == F.col("band") + 1
+    new = (F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & likely & first
+    return _as_pairs(open_.join(other, "key").where(new))
 
 
 def _as_pairs(met: DataFrame) -> DataFrame:

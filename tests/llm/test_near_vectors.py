@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from fleetlake.llm import components as component_steps
 from fleetlake.llm import near_vectors
 from fleetlake.llm.components import components
 
@@ -85,7 +86,9 @@ def test_missing_ids_and_repeated_rows(spark):
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=repr) == [(3, 2, 3), (3, 2, 3), (None, 0, None), (None, 2, 3)]
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_components_of_chains_stars_and_loops(spark, monkeypatch, few):
+    monkeypatch.setattr(component_steps, "FEW_EDGES", few)
     rnd = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (300, 300)]
     edges += [(rnd.randint(1000, 1400), rnd.randint(1000, 1400)) for _ in range(250)]
