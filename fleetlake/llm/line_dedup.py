@@ -53,7 +53,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     place = Window.partitionBy("hash", "slice", "doc_id").orderBy("pos")
     firsts = ranged.withColumn("nth", F.row_number().over(place)).where("nth = 1")
     holders = firsts.groupBy("hash").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
-    repeated = holders.where(F.col("n_docs") >= min_docs).select("hash", "last_doc")
+    # Stored, so that Spark knows its size, and can split the lines of a hot hash in the join.
+    repeated = stored(holders.where(F.col("n_docs") >= min_docs).select("hash", "last_doc"), "repeated")
     lost = lines.join(repeated, "hash").where(F.col("doc_id") != F.col("last_doc"))
     return lost.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
 
