@@ -9,7 +9,7 @@ Pairs within a bucket are not all looked at. Documents with equal sets are one.
 with the least id of its buckets; then, turn by turn, those outside the main component of a bucket
 with changing pivots of it, as long as that links a good share of them. The last step compares all that
 share a bucket, are not in one component yet, and have enough shingles that others have too: what a
-set has alone is in no intersection. So a group of near copies costs a few comparisons
+set has alone is in no intersection. Large components are compared block by block. So a group of near copies costs a few comparisons
 per document, and no link between components is missed.
 """
 
@@ -38,6 +38,8 @@ BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 2
 AGAINST = 30.0
 #: Members that a document is compared with in a turn, and the share of links that makes another turn worthwhile.
 PIVOTS, WORTHWHILE = 4, 0.1
+#: Components with more open members are compared in blocks of so many.
+BLOCK = 256
 #: Ids up to this many are broadcast to pick texts; beyond that Spark joins by id.
 BROADCAST_IDS = 1_000_000
 #: Bytes of text that are hashed at a time, and texts at most.
@@ -306,7 +308,9 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
         looked_at, linked = compared(_pivot_pairs(_labelled(members, edges), percent, turn))
         if linked <= WORTHWHILE * looked_at:
             break
-    compared(_cross_pairs(_labelled(members, edges), sets, standing, percent))
+    open_ = _open_members(_labelled(members, edges), sets, standing, percent)
+    edges = edges.unionByName(stored(_block_links(open_, sets, percent), "links"))
+    compared(_cross_pairs(open_, percent))
 
     joint = components(edges)
     linked = classes.join(joint, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("component_id"))
@@ -356,23 +360,74 @@ def _common_sizes(sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _cross_pairs(labelled: DataFrame, sets: DataFrame, standing: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket whose components differ and whose common parts are large enough.
-
-    A pair that shares several buckets comes from the first of them.
-    """
+def _open_members(labelled: DataFrame, sets: DataFrame, standing: DataFrame, percent: int) -> DataFrame:
+    """Members of buckets with several components, with common parts large enough for a link, and the
+    ``size`` of their component among these."""
     least = labelled.groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("two")).where("one <> two")
     open_ = labelled.join(least.select("key"), "key", "left_semi")
     concerned = sets.join(open_.select("id").distinct(), "id", "left_semi")
     common = stored(_common_sizes(concerned, percent), "common").select("id", "common")
-    open_ = stored(open_.join(common, "id").join(standing.select("id", "bands"), "id"), "open")
-    other = open_.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "component", "common", "bands")])
+    open_ = open_.join(common, "id").join(standing.select("id", "bands"), "id")
+    sizes = open_.select("id", "component").distinct().groupBy("component").agg(F.count("*").alias("size"))
+    return stored(open_.join(sizes, "component"), "open")
+
+
+def _block_links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of outsiders with large components that they share a bucket with.
+
+    The component's members lie in blocks; an outsider is compared with a block as a whole and brings
+    back one link at most, so no pairs are listed. Both sides of a group are of bounded size.
+    """
+    large = open_.where(F.col("size") > BLOCK)
+    there = large.select("key", F.col("component").alias("large"), F.col("size").alias("large_size")).distinct()
+    smaller = F.struct("size", "component") < F.struct(F.col("large_size").alias("size"), F.col("large").alias("component"))
+    meets = open_.join(there, "key").where(smaller).select("id", "common", "large", "large_size").distinct()
+    blocks = F.ceil(F.col("large_size") / BLOCK).cast("int")
+    outsiders = meets.groupBy("large").agg(F.count("*").alias("outsiders"))
+    slices = F.ceil(F.col("outsiders") / BLOCK).cast("int")
+    left = meets.join(outsiders, "large").withColumn("slice", F.pmod(F.xxhash64("id"), slices).cast("int"))
+    left = left.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    left = left.select("large", "block", "slice", "id", "common").join(sets.select("id", "hashes"), "id")
+    members = large.select("id", "common", F.col("component").alias("large"), F.col("size").alias("large_size")).distinct()
+    right = members.join(outsiders, "large").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    right = right.withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+    right = right.select("large", "block", "slice", "id", "common").join(sets.select("id", "hashes"), "id")
+    right = right.select(*[F.col(c).alias(f"{c}2") for c in ("large", "block", "slice", "id", "common", "hashes")])
+
+    def taken(table: pa.Table, tag: str) -> list[tuple]:
+        columns = (table.column(f"{c}{tag}").to_pylist() for c in ("id", "common", "hashes"))
+        return [(i, c, np.frombuffer(h, np.uint64)) for i, c, h in zip(*columns, strict=True)]
+
+    def compare(outside: pa.Table, inside: pa.Table) -> pa.Table:
+        a, b = taken(outside, ""), taken(inside, "2")
+        n, common = np.array([len(h) for _, _, h in b], np.int64), np.array([c for _, c, _ in b], np.int64)
+        links = []
+        for i, own, hashes in a:
+            most = np.minimum(own, common)
+            for k in np.flatnonzero(100 * most >= percent * (len(hashes) + n - most)):
+                both = len(np.intersect1d(hashes, b[k][2], assume_unique=True))
+                if 100 * both >= percent * (len(hashes) + int(n[k]) - both):
+                    links.append((i, b[k][0]))
+                    break
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    groups = left.groupBy("large", "block", "slice").cogroup(right.groupBy("large2", "block2", "slice2"))
+    return groups.applyInArrow(compare, "a long, b long")
+
+
+def _cross_pairs(open_: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket between different components that are not large.
+
+    A pair that shares several buckets comes from the first of them.
+    """
+    small = open_.where(F.col("size") <= BLOCK)
+    other = small.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "component", "common", "bands")])
     most = F.least("common", "common2")
     likely = F.lit(100) * most >= F.lit(percent) * (F.col("n") + F.col("n2") - most)
     same = F.zip_with("bands", "bands2", lambda x, y: x == y)
     first = F.array_position(same, True) == F.col("band") + 1
     new = (F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & likely & first
-    return _as_pairs(open_.join(other, "key").where(new))
+    return _as_pairs(small.join(other, "key").where(new))
 
 
 def _as_pairs(met: DataFrame) -> DataFrame:

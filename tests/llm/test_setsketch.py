@@ -42,8 +42,10 @@ def test_awkward_rows(unique_docs, unique_rows, words):
     assert found(unique_docs, words=words) == brute(unique_rows, words)
 
 
-def test_groups_of_near_copies(spark):
+@pytest.mark.parametrize("block", [256, 4])
+def test_groups_of_near_copies(spark, monkeypatch, block):
     """Chains of edits, a star of edited copies, and texts that share a passage only."""
+    monkeypatch.setattr(setsketch, "BLOCK", block)
     rnd = random.Random(11)
     rows, base = [], prose(rnd, 150).split()
     for i in range(60):
