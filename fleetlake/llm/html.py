@@ -2,6 +2,8 @@
 
 Pages are parsed once to hash their element subtrees; Spark counts, per host, in how many different
 articles' pages each subtree occurs. Subtrees that recur across many of them are the site's template.
+Near copies of an article count as about one: an article weighs 1 / the number of articles that have its
+less common word sequences. Within an article or main element a subtree must be on most of the host's articles.
 In a second parse they are deleted, along with elements that by tag, role, class or id are never
 main text, and what is left of the article is joined block by block.
 """
@@ -21,6 +23,12 @@ from ..session import stored
 
 #: A subtree is template if it is on the pages of so many articles of the host, at least, and on this share.
 MANY, SHARE = 5, 0.3
+#: Within an article or main element it must be on more than this share: less may be a passage that articles quote.
+INSIDE = 0.5
+#: Sequences of so many words are compared, the smallest hashes of each article; this share of them is its own if it is no near copy.
+WORDS, SAMPLE, OWN = 3, 48, 0.25
+#: Weights are summed as whole numbers, so that the order of rows doesn't matter.
+_ONE = 10**9
 #: Rows of templates that are broadcast at most; beyond that Spark joins by host.
 BROADCAST_HOSTS = 20_000
 
@@ -68,6 +76,8 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _WORDS = re.compile(r"[a-z]+|\d+")
+#: Words between spaces, and single characters of scripts without spaces.
+_SPACED = re.compile("[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff]|[^\\s\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -224,6 +234,13 @@ def main_text(root: Element, hashes: dict[int, int], template: frozenset[int]) -
     return " ".join(html.unescape("".join(parts)).split())
 
 
+def word_sequences(text: str) -> list[int]:
+    """The smallest hashes of the text's sequences of ``WORDS`` words: equal sequences are sampled alike."""
+    words = text.split() if text.isascii() else _SPACED.findall(text)
+    sequences = {" ".join(words[i : i + WORDS]) for i in range(max(1, len(words) - WORDS + 1))} if words else ()
+    return [h - (1 << 63) for h in sorted(map(xxhash.xxh64_intdigest, sequences))[:SAMPLE]]
+
+
 def host_key(url: Column) -> Column:
     """A hash of the URL's host, without user, port and letter case; URLs without host share one."""
     host = F.regexp_extract(url, r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)", 1)
@@ -238,49 +255,69 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _batches(batches):
-        articles, hashes = [], []
+        articles, sequences, hashes = [], [], []
         for page in batch.column(1).to_pylist():
             root = parse(page or "")
-            found = subtree_hashes(root)
-            articles.append(found.get(id(main_element(root)), 0))
-            hashes.append(sorted(set(found.values())))
-        columns = [batch.column(0), pa.array(articles, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "article", "subtrees"])
+            text = main_text(root, {}, frozenset())
+            articles.append(xxhash.xxh64_intdigest(text) - (1 << 63))
+            sequences.append(word_sequences(text))
+            hashes.append(sorted(set(subtree_hashes(root).values())))
+        lists = [pa.array(lists, pa.list_(pa.int64())) for lists in (sequences, hashes)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(articles, pa.int64()), *lists], ["host", "article", "sequences", "subtrees"])
+
+
+def _weights(articles: DataFrame) -> DataFrame:
+    """``host``, ``article`` and its ``weight``, of ``_ONE`` for one that is no near copy of others.
+
+    A share ``OWN`` of an article's word sequences is in so many of the host's articles, at most, as it
+    stands for. The near copies of one article thus weigh about as much as one, however many they are.
+    """
+    each = articles.select("host", "article", F.explode_outer("sequences").alias("sequence"))
+    shared = each.groupBy("host", "sequence").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    met = each.join(shared, ["host", "sequence"], "left").groupBy("host", "article")
+    sizes = met.agg(F.sort_array(F.collect_list(F.coalesce("n", F.lit(1)))).alias("sizes"))
+    size = F.element_at("sizes", F.ceil(F.size("sizes") * OWN).cast("int"))
+    return sizes.select("host", "article", F.floor(F.lit(_ONE) / size).alias("weight"))
 
 
-def site_templates(pages: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
-    """``host`` (hashed) and its ``template``: the subtrees that recur on its pages.
+def site_templates(pages: DataFrame, many: int = MANY, share: float = SHARE, inside: float = INSIDE) -> DataFrame:
+    """``host`` (hashed), its ``template``, the subtrees that recur on its pages, and those on ``most`` of them.
 
-    Pages with equal main elements count once, so copies of an article don't make it a template. A host's
-    list is bounded: at most 1 / ``share`` times the subtrees of its mean page can recur that often.
+    Pages with equal main texts count once and near copies by their weight, so copies of an article don't
+    make it a template. A host's list is bounded: those that weigh ``share`` of all, at least.
     """
-    found = pages.select(host_key(F.col("url")).alias("host"), "html").mapInArrow(_subtrees, "host long, article long, subtrees array<long>")
+    found = pages.select(host_key(F.col("url")).alias("host"), "html").mapInArrow(
+        _subtrees, "host long, article long, sequences array<long>, subtrees array<long>"
+    )
     found = stored(found, "subtrees")
-    articles = found.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("articles"))
-    each = found.select("host", "article", F.explode("subtrees").alias("subtree"))
-    counted = each.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= many)
+    weights = stored(_weights(found.select("host", "article", "sequences").distinct()), "weights")
+    articles = weights.groupBy("host").agg(F.sum("weight").alias("articles"))
+    each = found.select("host", "article", F.explode("subtrees").alias("subtree")).distinct().join(weights, ["host", "article"])
+    counted = each.groupBy("host", "subtree").agg(F.sum("weight").alias("n")).where(F.round(F.col("n") / _ONE, 3) >= many)
     recurring = counted.join(articles, "host").where(F.col("n") >= share * F.col("articles"))
-    return recurring.groupBy("host").agg(F.collect_list("subtree").alias("template"))
+    most = F.when(F.col("n") > inside * F.col("articles"), F.col("subtree"))
+    return recurring.groupBy("host").agg(F.collect_list("subtree").alias("template"), F.collect_list(most).alias("most"))
 
 
-def extract_text(pages: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
+def extract_text(pages: DataFrame, many: int = MANY, share: float = SHARE, inside: float = INSIDE) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page.
 
     A missing or empty page, or one without main text, has the empty text. Pages without a URL are
     one host. Repeated rows get equal results; an empty table gives an empty one. The texts of
     attributes, comments, scripts and styles are never taken for text.
     """
-    templates = stored(site_templates(pages, many, share), "templates")
+    templates = stored(site_templates(pages, many, share, inside), "templates")
     few = templates.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
     rows = pages.select("page_id", "url", "html", host_key(F.col("url")).alias("host"))
-    joined = rows.join(F.broadcast(templates) if few else templates, "host", "left").select("page_id", "url", "html", "template")
+    joined = rows.join(F.broadcast(templates) if few else templates, "host", "left").select("page_id", "url", "html", "template", "most")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(batches):
             texts = []
-            for page, template in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for page, template, most in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                 root = parse(page or "")
-                texts.append(main_text(root, subtree_hashes(root) if template else {}, frozenset(template or ())))
+                deleted = template if main_element(root) is root else most
+                texts.append(main_text(root, subtree_hashes(root) if deleted else {}, frozenset(deleted or ())))
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 

@@ -1,4 +1,5 @@
 import html as lib
+import random
 import re
 
 import pytest
@@ -65,6 +66,38 @@ def test_template_is_what_recurs_on_many_articles(spark):
     assert html.extract_text(df.limit(0)).collect() == []
 
 
+def test_near_copies_and_quoted_passages_are_no_template(spark):
+    rnd = random.Random(5)
+
+    def paragraphs(n):
+        return [" ".join(f"w{rnd.randrange(3000)}" for _ in range(20)) for _ in range(n)]
+
+    def changed(text):
+        words = text.split()
+        words[rnd.randrange(len(words))] = f"new{rnd.randrange(10**6)}"
+        return " ".join(words)
+
+    quoted, box = paragraphs(1)[0], "Read more of our fine site every day"
+    expected = {}
+    for host, copies, others, inner in (("a", 5, 10, "article"), ("b", 5, 1, "article"), ("c", 12, 12, "article"), ("d", 6, 12, "div"), ("e", 20, 0, "main")):
+        first = paragraphs(6)
+        for i in range(copies):
+            # A word changed in one of the paragraphs.
+            k = rnd.randrange(6)
+            expected[host, inner, i] = [changed(p) if j == k else p for j, p in enumerate(first)]
+        for i in range(copies, copies + others):
+            # A third of the others quote one passage.
+            expected[host, inner, i] = paragraphs(4) + ([quoted] if inner == "article" and i % 3 == 0 else [])
+    rows = []
+    for n, ((host, inner, _), texts) in enumerate(expected.items()):
+        body = "".join(f"<p>{p}</p>" for p in texts) + (f"<div>{box}</div>" if host in "cd" else "")
+        rows.append((n, f"http://{host}.example.com/{n}", page(f"<{inner}>{body}</{inner}>")))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html.extract_text(df).collect()}
+    for n, texts in enumerate(expected.values()):
+        assert got[n] == " ".join(texts)
+
+
 def test_joined_by_host_beyond_the_broadcast_bound(spark, monkeypatch):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     small = sorted(map(tuple, html.extract_text(df).collect()))
