@@ -61,7 +61,7 @@ DROPPED_TAGS = frozenset(
     "script style noscript template svg math canvas object embed iframe audio video map nav footer aside form button select option input textarea dialog menu head title meta link fieldset datalist noframes noembed xmp".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-#: Words of class and id that mark what isn't main text.
+#: Whole names in class and id that mark what isn't main text.
 DROPPED_WORDS = frozenset(
     """ad ads adv advert adverts advertisement advertising adslot adsense sponsor sponsored sponsors promo promos promotion
     banner banners cookie cookies consent gdpr notice notices notification notifications alert popup popups modal overlay
@@ -69,6 +69,24 @@ DROPPED_WORDS = frozenset(
     breadcrumbs sidebar sidebars rail footer foot masthead topbar toolbar pagination pager related recommended recommendations
     trending comment comments commentlist disqus discussion replies reply reviews widget widgets skip hidden paywall""".split()
 )
+#: Those that mark it as the first or last word of a longer name too (``ad-slot``, ``site-footer``), unless a word of state is in the name.
+DROPPED_PARTS = frozenset(
+    """ad ads advert adverts advertisement advertising adslot adsense sponsor sponsored sponsors promo promos banner banners cookie cookies
+    gdpr popup popups modal newsletter menu nav navbar navigation breadcrumb breadcrumbs sidebar sidebars footer masthead topbar toolbar
+    pagination pager comments commentlist disqus widget widgets""".split()
+)
+STATES = frozenset(
+    "has have no not non with without is in on off show shown hide can use free open opened close closed active enabled disabled collapsed expanded visible".split()
+)
+#: Longer names of words that are common in headings.
+DROPPED_NAMES = frozenset(
+    """related-posts related-articles related-stories related-links related-content related-news recommended-articles recommended-posts
+    comment-list comment-form comment-section comments-area social-share social-links social-media social-icons share-buttons share-bar
+    share-links sharing-buttons skip-link skip-links skip-nav skip-to-content login-form signup-form subscribe-form cookie-consent""".split()
+)
+#: An element so named is no wrapper of the article, however much of the page it holds.
+_AFTER_TEXT = frozenset("comment comments commentlist disqus discussion reply replies review reviews related recommended recommendations trending".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Kept whatever their class says; of articles go only those that these words mark.
 _KEPT_TAGS = frozenset(["html", "body", "main"])
 DROPPED_ARTICLES = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies related recommended".split())
@@ -82,44 +100,115 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Element:
-    """A tag, what is inside (texts and elements, in order) and whether it can't be main text."""
+    """A tag, what is inside (texts and elements, in order) and whether it can't be main text.
+
+    ``marked`` is "main" or "article" if attributes say so. ``maybe`` elements are dropped for their
+    names, or as forms, and kept after all if they turn out to be wrapped round the main text.
+    """
 
-    __slots__ = ("tag", "inside", "dropped", "marked")
+    __slots__ = ("tag", "inside", "dropped", "marked", "maybe")
 
-    def __init__(self, tag: str, dropped: bool = False, marked: bool = False):
-        self.tag, self.dropped, self.marked = tag, dropped, marked
+    def __init__(self, tag: str, dropped: bool = False, marked: str = "", maybe: str = ""):
+        self.tag, self.dropped, self.marked, self.maybe = tag, dropped, marked, maybe
         self.inside: list = []
 
 
-def _judged(tag: str, source: str) -> Element:
-    """The element of a start tag."""
+def _named(names: str, tag: str) -> str:
+    """The first of the names that says an element of the tag isn't main text, or nothing."""
+    for name in names.split():
+        words = _WORDS.findall(_CAMEL.sub(" ", name).lower())
+        whole = "".join(words)
+        if whole in (DROPPED_ARTICLES if tag == "article" else DROPPED_WORDS):
+            return whole
+        words = [w for w in words if not w.isdigit()]
+        if tag == "article" or not words or not STATES.isdisjoint(words):
+            continue
+        if words[0] in DROPPED_PARTS or words[-1] in DROPPED_PARTS or "-".join(words) in DROPPED_NAMES:
+            return words[0]
+        if len(words) == 1 and words[0] in DROPPED_WORDS:
+            return words[0]
+    return ""
+
+
+def _judged(tag: str, source: str, stack: list[Element]) -> Element:
+    """The element of a start tag, inside those on the stack."""
     attributes = {}
     if " " in source or "\n" in source or "\t" in source:
         for name, a, b, c in _ATTRIBUTE.findall(source, len(tag) + 1):
             attributes.setdefault(name.lower(), a or b or c)
     dropped = tag in DROPPED_TAGS
-    marked = False
-    if attributes and not dropped:
-        named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-        words = set(_WORDS.findall(_CAMEL.sub(" ", html.unescape(named)).lower())) if named != " " else set()
-        marked = attributes.get("role", "").lower() in ("main", "article") or attributes.get("itemprop", "") == "articleBody"
+    maybe = tag if tag == "form" else ""
+    marked = ""
+    if attributes and (maybe or not dropped):
+        role = attributes.get("role", "").lower()
+        marked = "main" if role == "main" or attributes.get("itemprop", "") == "articleBody" else "article" if role == "article" else ""
         if tag not in _KEPT_TAGS:
             style = attributes.get("style", "").replace(" ", "").lower()
-            dropped = (
-                not words.isdisjoint(DROPPED_ARTICLES if tag == "article" else DROPPED_WORDS)
-                or attributes.get("role", "").lower() in DROPPED_ROLES
+            names = attributes.get("class", "")
+            # The ids of headings, and of an article's sections, are made from what they say.
+            if "id" in attributes and tag not in _HEADINGS and not (tag == "section" and any(e.tag == "article" or e.marked for e in stack)):
+                names += f" {attributes['id']}"
+            named = _named(html.unescape(names), tag) if names else ""
+            surely = (
+                (role in DROPPED_ROLES and role != "form")
                 or "hidden" in attributes
                 or attributes.get("aria-hidden", "").lower() == "true"
                 or "display:none" in style
                 or "visibility:hidden" in style
             )
-    return Element(tag, dropped, marked)
+            maybe = "" if surely or tag == "article" else named or maybe or (role if role == "form" else "")
+            dropped = bool(dropped or surely or named or maybe)
+    return Element(tag, dropped, marked, maybe)
+
+
+def _keep_wrappers(root: Element, maybe: list[Element]) -> None:
+    """Keep those elements that are wrapped round the main text.
+
+    They hold a ``main`` element or an article with an ``h1``, or else more than half of the page's text
+    and are a form, hold an ``h1``, or the only articles.
+    """
+    sizes: dict[int, int] = {}
+    holds: dict[int, set[str]] = {}
+    order, todo = [], [root]
+    while todo:
+        element = todo.pop()
+        order.append(element)
+        todo.extend(e for e in element.inside if isinstance(e, Element) and (not e.dropped or e.maybe))
+    for element in reversed(order):
+        size, kinds = 0, set()
+        for e in element.inside:
+            if isinstance(e, str):
+                size += len(e) - e.count(" ")
+            elif id(e) in sizes:
+                size += sizes[id(e)]
+                kinds |= holds[id(e)]
+        if element.tag == "main" or element.marked == "main":
+            kinds.add("main")
+        elif element.tag == "article" or element.marked == "article":
+            kinds.update(["article", "headed"] if "h1" in kinds else ["article"])
+        elif element.tag == "h1":
+            kinds.add("h1")
+        sizes[id(element)], holds[id(element)] = size, kinds
+    outside, todo = False, [root]
+    while todo and not outside:
+        element = todo.pop()
+        outside = element.tag in ("article", "main") or bool(element.marked)
+        todo.extend(e for e in element.inside if isinstance(e, Element) and not e.dropped)
+    for element in maybe:
+        kinds = holds.get(id(element), set())
+        wraps = "main" in kinds
+        if element.maybe not in _AFTER_TEXT:
+            most = 2 * sizes.get(id(element), 0) > sizes[id(root)]
+            wraps |= "headed" in kinds or (most and (element.maybe == "form" or "h1" in kinds or ("article" in kinds and not outside)))
+        if wraps:
+            element.dropped = False
 
 
 def parse(source: str) -> Element:
     """The element tree of a page, with the usual repairs: implied ends, stray ends skipped, open ends closed."""
     root = Element("#root")
     stack, at = [root], 0
+    maybe: list[Element] = []
     while at < len(source):
         token = _TOKEN.search(source, at)
         if token is None:
@@ -148,8 +237,10 @@ def parse(source: str) -> Element:
                 if stack[depth].tag in closes:
                     del stack[depth:]
                 depth -= 1
-        element = _judged(tag, token[0])
+        element = _judged(tag, token[0], stack)
         stack[-1].inside.append(element)
+        if element.maybe:
+            maybe.append(element)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b", re.IGNORECASE).search(source, at)
             at = end.start() if end else len(source)
@@ -157,6 +248,8 @@ def parse(source: str) -> Element:
                 at = source.find(">", at) + 1 or len(source)
         elif tag not in VOID and not token[0].endswith("/>"):
             stack.append(element)
+    if maybe:
+        _keep_wrappers(root, maybe)
     return root
 
 

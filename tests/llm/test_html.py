@@ -43,6 +43,26 @@ def test_main_text(source, expected):
     assert text_of(source) == expected
 
 
+@pytest.mark.parametrize(
+    "source,expected",
+    [
+        ("<div class='content has-sidebar'><article><p>text</p></article></div><p>beside</p>", "text"),
+        ("<div id='no-nav'><p>text</p></div>", "text"),
+        ("<form id=aspnetForm><input><div><h2>T</h2><p>all of the text</p></div></form><div>top</div>", "T all of the text top"),
+        ("<div class='related'><article><h1>r</h1>" + "r" * 99 + "</article></div><article>t</article>", "t"),
+        ("<form><main><h1>T</h1>text<form>f</form></main></form>", "T text"),
+        ("<div class='sidebar-left'><article><h1>T</h1>text</article><div class=sidebar>s</div></div><p>more than half of it here</p>", "T text"),
+        ("<article><h2 id='related-work'>Related work</h2><section id='discussion'>d</section><h2 id=reviews>R</h2></article>", "Related work d R"),
+        ("<section id=comments><article>c</article></section><p>t</p>", "t"),
+        ("<div class='related-posts'><article>" + "r" * 99 + "</article></div><p>t</p>", "t"),
+        ("<div class='site-footer'>f</div><div class='ad-slot-3'>a</div><div id='mainNav'>n</div><p class='ad-free'>t</p>", "t"),
+        ("<p>t</p><aside><article><h1>a</h1>a</article></aside>", "t"),
+    ],
+)
+def test_names_drop_no_main_text(source, expected):
+    assert text_of(source) == expected
+
+
 def test_template_is_what_recurs_on_many_articles(spark):
     rows = []
     for i in range(12):
