@@ -287,19 +287,32 @@ def _length(element: Element) -> int:
 
 
 def main_element(root: Element) -> Element:
-    """The longest article; else the longest marked or ``main`` element; else the page."""
-    articles, mains, todo = [], [], [root]
+    """What holds the main text: the longest article, with what belongs to it; else the longest marked or ``main`` element; else the page.
+
+    If the article is in a ``main`` element, that is taken, with its other articles and the text beside
+    them. Else it is taken together with the articles next to it, in page order, in an element of their own.
+    """
+    articles, mains, todo = [], [], [(root, root, None)]
     while todo:
-        element = todo.pop()
+        element, parent, main = todo.pop()
         if element.tag == "article":
-            articles.append(element)
-        elif element.marked or element.tag == "main":
+            articles.append((element, parent, main))
+        elif element.tag == "main" or element.marked:
             mains.append(element)
-        todo.extend(e for e in reversed(element.inside) if isinstance(e, Element) and not e.dropped)
-    for found in (articles, mains):
-        if found:
-            return max(found, key=_length)
-    return root
+            if element.tag == "main" or element.marked == "main":
+                main = main or element
+        todo.extend((e, element, main) for e in reversed(element.inside) if isinstance(e, Element) and not e.dropped)
+    if articles:
+        article, parent, main = max(articles, key=lambda found: _length(found[0])) if len(articles) > 1 else articles[0]
+        if main is not None:
+            return main
+        siblings = [e for e in parent.inside if isinstance(e, Element) and e.tag == "article" and not e.dropped]
+        if len(siblings) == 1 or parent.tag == "article":
+            return article
+        joined = Element("#articles")
+        joined.inside = siblings
+        return joined
+    return max(mains, key=_length) if mains else root
 
 
 def main_text(root: Element, hashes: dict[int, int], template: frozenset[int]) -> str:

@@ -63,6 +63,19 @@ def test_names_drop_no_main_text(source, expected):
     assert text_of(source) == expected
 
 
+@pytest.mark.parametrize(
+    "source,expected",
+    [
+        ("<div><article>one</article><aside>s</aside><article>two long</article> beside <article>three</article></div><p>o</p>", "one two long three"),
+        ("<main><h1>Head</h1><p>lead</p><article>one</article><div><article>two</article></div><nav>n</nav>end</main>o", "Head lead one two end"),
+        ("<main><header><h1>Head</h1></header><article>a<article class=reply>r</article></article></main>", "Head a"),
+        ("<div role=main><h1>Head</h1><article>a</article></div><div>o</div>", "Head a"),
+    ],
+)
+def test_all_articles_of_the_main_element(source, expected):
+    assert text_of(source) == expected
+
+
 def test_template_is_what_recurs_on_many_articles(spark):
     rows = []
     for i in range(12):
