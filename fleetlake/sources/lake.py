@@ -243,17 +243,19 @@ def write_path_layout(df: DataFrame, root: str, message: str | None = None) -> i
 
     Replaces files of the same name. The rows are written by Spark into a folder of their own
     below ``root``, with one task per file, and each finished file is moved to its place; files are
-    listed and moved one by one, in time proportional to their number.
+    listed and moved one by one, in time proportional to their number. A log file that Spark
+    wrote in several parts is an error, raised before any file is replaced.
     """
     spark = df.sparkSession
     named = df.withColumn("message", F.lit(message)) if message else df
     keys = ["device", "message", "date", "file_name"]
     staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     ordered = named.repartition(*keys).sortWithinPartitions(*keys, *(c for c in ("t",) if c in df.columns))
-    ordered.write.partitionBy(*keys).parquet(staging)
+    # No bound of the session on rows may cut a log file in parts.
+    ordered.write.option("maxRecordsPerFile", 0).partitionBy(*keys).parquet(staging)
     folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    files, moved = fs.listFiles(folder, True), 0
+    files, moves = fs.listFiles(folder, True), {}
     while files.hasNext():
         source = files.next().getPath()
         parts = dict(p.split("=", 1) for p in source.getParent().toString().split("/")[-4:] if "=" in p)
@@ -261,14 +263,19 @@ def write_path_layout(df: DataFrame, root: str, message: str | None = None) -> i
             continue
         day = parts["date"].replace("-", "/")
         name = parts["file_name"]
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{parts['device']}/{parts['message']}/{day}/{name}")
+        target = f"{root.rstrip('/')}/{parts['device']}/{parts['message']}/{day}/{name}"
+        if target in moves:
+            fs.delete(folder, True)
+            raise RuntimeError(f"several part files for {target}")
+        moves[target] = source
+    for name, source in moves.items():
+        target = spark._jvm.org.apache.hadoop.fs.Path(name)
         fs.mkdirs(target.getParent())
         if fs.exists(target):
             fs.delete(target, False)
         fs.rename(source, target)
-        moved += 1
     fs.delete(folder, True)
-    return moved
+    return len(moves)
 
 
 def write_events(events: DataFrame, root: str) -> None:

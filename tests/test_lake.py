@@ -414,6 +414,18 @@ def test_events_see_every_signal_of_every_file(spark, tmp_path):
     assert sorted((r.Message, r.Signal, r.file_name) for r in found) == [("One", "Speed", "1.parquet"), ("Two", "Load", "2.parquet")]
 
 
+def test_path_layout_keeps_all_rows_under_a_bound_on_rows(spark, tmp_path):
+    rows = [("A", DAY, f"{n}.parquet", dt.datetime(2024, 3, 1, h), float(h)) for n in (1, 2) for h in range(9)]
+    df = spark.createDataFrame(rows, "device string, date date, file_name string, t timestamp, v double")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "2")
+    try:
+        assert write_path_layout(df, str(tmp_path), "M") == 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    found = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path)).collect()
+    assert sorted(r.v for r in found) == sorted(r[4] for r in rows)
+
+
 def test_fences_are_required_and_ids_may_be_text(spark):
     from fleetlake.functions.geo import with_fence
     from fleetlake.operators.custom import apply_custom
