@@ -1,16 +1,16 @@
-"""Removal of repeated passages by sparse distributed prefix doubling.
-
-Prefix doubling ranks positions by their first k bytes, drops those whose rank is unique, and ranks
-the rest by pairs of ranks at growing offsets until the length asked for is passed. Here the
-positions are sampled by content: every string of ``length`` bytes contains the least (hashed)
-``GRAM``-byte string among those it holds, so equal strings are sampled at the same place. Two ranks are
-enough then:
-
-1. ranks of ``GRAM`` bytes. Chunks of documents send hashes to buckets, which sort them and answer
-   with one bit each: shared with another document, or unique and dropped.
-2. ranks of ``length`` bytes around the positions that are left, for each offset of the position in the
-   string: hashes of 2, 4, 8 ... bytes are put together to the length (doubling) and sorted in
-   buckets. The earliest document of each equal run keeps it; the others learn the bytes to remove.
+"""Removal of repeated passages by minimizer sampling and a hash join, in place of prefix doubling.
+
+Prefix doubling ranks every position by its first k bytes and the rest by pairs of ranks at growing
+offsets. Here nothing is ranked and there are no rounds: positions are sampled by content. Every string
+of ``length`` bytes contains the least (hashed) ``GRAM``-byte string among those it holds, so equal
+strings are sampled at the same place, and meet by hash:
+
+1. by ``GRAM`` bytes, whose hashes are put together from those of 2, 4, 8 ... bytes. Chunks of documents
+   send them to buckets, which sort them and answer with one bit each: shared with another document, or
+   unique and dropped.
+2. by ``length`` bytes around the positions that are left, for each offset of the position in the
+   string, with one hash of the whole string. The earliest document of each equal run keeps it; the
+   others learn the bytes to remove.
 
 Texts are shuffled once, by chunk; all three passes over the chunks read that same exchange. Requests
 and answers are packed per (chunk, bucket), and a bucket is streamed twice through a spool file, so
