@@ -1,10 +1,15 @@
-"""What the operators share: words, row identity, decoding of packed columns."""
+"""What the operators share: words, row identity, merging of partial results."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 #: White space of all contracts: space, tab, line feed, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -38,3 +43,28 @@ def identified(docs: DataFrame) -> DataFrame:
 def id_digest(name: str = "doc_id") -> Column:
     """A uniform key of an id that any engine can compute; missing ids count as empty text."""
     return F.md5(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))
+
+
+def combined(parts: DataFrame, merge: Callable[[list[dict]], dict], fan_in: int = 16) -> dict | None:
+    """All rows of ``parts`` merged into one; None if there are none.
+
+    ``parts`` holds one bounded row per partition, numbered by ``slot`` (from ``spark_partition_id()``);
+    ``merge`` makes one row of several, which come in order of their slots. Rows are merged by
+    ``fan_in`` in tasks, level by level, so that neither a task nor the driver meets more at once.
+    """
+    schema, names = parts.schema, parts.columns
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda row: row["slot"])
+        one = rows[0] if len(rows) == 1 else merge(rows) | {"slot": rows[0]["slot"]}
+        return pa.Table.from_pylist([one | {"slot": one["slot"] // fan_in}], schema=table.select(names).schema)
+
+    parts = stored(parts, "parts")
+    slots = parts.agg(F.max("slot")).first()[0]
+    slots = 0 if slots is None else slots + 1
+    while slots > 1:
+        group = F.expr(f"slot div {fan_in}").alias("_group")
+        parts = parts.groupBy(group).applyInArrow(run, schema)
+        slots = -(-slots // fan_in)
+    row = parts.first()
+    return row.asDict() if row else None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, line_dedup, mixing, near_vectors, pieces, quality, repeats, setsketch, sharding, winnowing
+from . import html, line_dedup, mixing, near_vectors, pieces, quality, repeats, setsketch, sharding, whitening, winnowing
 
 SQL_UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
 SQL_SPACES = "(chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
@@ -166,6 +166,10 @@ def op10_encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(_documents(spark, sf_dir))
 
 
+def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -177,6 +181,7 @@ QUERIES = {
     "op8_link_documents": op8_link_documents,
     "op9_extract_text": op9_extract_text,
     "op10_encode_documents": op10_encode_documents,
+    "op11_whiten_embeddings": op11_whiten_embeddings,
 }
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
