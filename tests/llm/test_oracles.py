@@ -16,7 +16,7 @@ def con() -> duckdb.DuckDBPyConnection:
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
