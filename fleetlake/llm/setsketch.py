@@ -43,7 +43,7 @@ BLOCK = 256
 #: Ids up to this many are broadcast to pick texts; beyond that Spark joins by id.
 BROADCAST_IDS = 1_000_000
 #: Bytes of text that are hashed at a time, and texts at most.
-BATCH_BYTES, BATCH_TEXTS = 1 << 20, 512
+BATCH_BYTES, BATCH_TEXTS = 1 << 19, 512
 
 _B, _C = 0xD1342543DE82EF95, 0xA0761D6478BD642F
 _WORD = (1 << 64) - 1
@@ -63,7 +63,7 @@ def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, seeds[:REGISTERS] | np.uint64(1), seeds[REGISTERS:]
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse."""
     out = []
@@ -91,7 +91,7 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     blank = _SPACE[lower]
     turns = np.flatnonzero(np.diff(np.r_[True, blank]))
     starts, ends = turns[::2], turns[1::2]  # the last byte is blank, so each word ends
-    size = 1 << max(16, int(len(joined)).bit_length())
+    size = 1 << max(20, int(len(joined)).bit_length())  # of one size but for very long texts
     up, down = _powers(size)
     sums = np.r_[np.uint64(0), np.cumsum(_constants()[0][lower] * up[: len(lower)], dtype=np.uint64)]
     hashes = (sums[ends] - sums[starts]) * down[starts]
@@ -434,13 +434,31 @@ def _as_pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).where("a <> b").distinct()
 
 
+def _vertices(rows: DataFrame) -> DataFrame:
+    """``rows`` (whole, doc_id, text) with ``vertex``: what names a text among all.
+
+    It is the doc_id. Where one doc_id comes with several texts, only the one of the least hash keeps it;
+    the others get numbers from 2^62 on, drawn from their text, so that none is taken for another.
+    """
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    firsts = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("hash").alias("first"), F.max("hash").alias("last"))
+    repeated = stored(firsts.where("first <> last").select("doc_id", "first"), "repeated-ids")
+    other = F.lit(1 << 62) + F.col("hash").bitwiseAND(F.lit((1 << 61) - 1))
+    vertex = F.when(F.col("first").isNull() | (F.col("hash") == F.col("first")), F.col("doc_id")).otherwise(other)
+    return rows.join(repeated, "doc_id", "left").withColumn("vertex", vertex)
+
+
 def stage(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, the one of the least doc_id, with all columns; repeated rows of it once.
 
-    Rows without doc_id stay.
+    A doc_id that comes with several texts names several documents, each kept or dropped for its own
+    text. Rows without doc_id stay.
     """
-    kept = link_documents(docs, words, percent).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = carried(docs).select("whole", F.col("whole.doc_id").cast("long").alias("doc_id"))
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("whole.text")))
-    first = rows.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn("nth", nth).where("nth = 1")
-    return first.unionByName(rows.where("doc_id IS NULL").withColumn("nth", F.lit(1))).select("whole.*")
+    texts = carried(docs).select("whole", F.col("whole.doc_id").cast("long").alias("doc_id"), whole_text("whole.text").alias("text"))
+    rows = _vertices(texts)
+    kept = link_documents(rows.select(F.col("vertex").alias("doc_id"), "text"), words, percent)
+    kept = kept.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("vertex")).distinct()
+    nth = F.row_number().over(Window.partitionBy("vertex").orderBy("hash"))
+    rows = rows.select("whole", "vertex", "hash")
+    first = rows.where("vertex IS NOT NULL").join(kept, "vertex", "left_semi").withColumn("nth", nth).where("nth = 1")
+    return first.unionByName(rows.where("vertex IS NULL").withColumn("nth", F.lit(1))).select("whole.*")

@@ -71,11 +71,20 @@ def test_rows_without_id_repeated_rows_and_none(docs, rows, no_docs):
     assert setsketch.link_documents(no_docs).collect() == []
     after = setsketch.stage(docs)
     assert after.dtypes == docs.dtypes
-    ids = [r.doc_id for r in after.collect() if r.doc_id is not None]
-    assert len(ids) == len(set(ids)) and set(ids) == {r.doc_id for r in got if r.kept and r.doc_id is not None}
+    texts = [(r.doc_id, r.text) for r in after.collect() if r.doc_id is not None]
+    assert len(texts) == len(set(texts)) and {i for i, _ in texts} >= {r.doc_id for r in got if r.kept and r.doc_id is not None}
     assert setsketch.stage(no_docs).collect() == []
 
 
+def test_a_repeated_id_names_several_texts(spark):
+    """A unique text stays under an id whose other text is a copy, and the copy goes."""
+    rnd = random.Random(9)
+    first, unique, third = (prose(rnd, 40) for _ in range(3))
+    rows = [(1, first), (2, first), (2, unique), (3, third), (3, unique + " x"), (3, third), (4, None), (4, "")]
+    after = setsketch.stage(documents(spark, [(i, t, "", "", 0) for i, t in rows]))
+    assert sorted((r.doc_id, r.text or "") for r in after.collect()) == sorted([(1, first), (2, unique), (3, third), (4, "")])
+
+
 def test_shingle_sets_tell_word_borders_apart():
     texts = [b"ab c d e", b"a bc d e", b"A\tB  c", b"a b c", b"", b" \n", b"a", b"A", b"aa", "É é".encode(), "é é".encode()]
     sets = setsketch.shingle_sets(texts, 4)
