@@ -32,8 +32,9 @@ from .common import whole_text
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Encoded parts that a worker remembers; beyond that it starts anew.
-REMEMBERED = 800_000
+#: Bytes of encoded parts that a worker remembers in each of two generations: a full one becomes the
+#: older one, and of that only what is met again is taken over.
+REMEMBERED = 32 << 20
 #: Longer parts are not remembered.
 LONGEST_REMEMBERED = 40
 
@@ -134,6 +135,8 @@ class Model:
     byte_fallback: bool
     normaliser: Normaliser
     memory: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    older: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    remembered: int = 0
 
     def __post_init__(self) -> None:
         if any(kind in (USER, UNUSED) for _, _, kind in self.pieces):
@@ -253,26 +256,37 @@ class Model:
     def _part(self, part: str) -> tuple[int, ...]:
         """Ids of a part, put together from what lies between the cuts inside it."""
         pairs, memory, n = self.pairs, self.memory, len(part)
+        known = self.older.get(part)
+        if known is not None:
+            self._remember(part, known)
+            return known
         cuts = [i for i in range(1, n) if part[i - 1 : i + 1] not in pairs]
         if cuts:
             ids: list[int] = []
             for a, b in zip([0, *cuts], [*cuts, n], strict=True):
                 piece = part[a:b]
-                known = memory.get(piece)
+                known = memory.get(piece) or self.older.get(piece)
                 if known is None:
                     known = tuple(self._path_ids(piece))
                     if b - a < LONGEST_REMEMBERED:
-                        memory[piece] = known
+                        self._remember(piece, known)
                 ids += known
             result = tuple(ids)
         else:
             result = tuple(self._path_ids(part))
         if n < LONGEST_REMEMBERED:
-            if len(memory) > REMEMBERED:
-                memory.clear()
-            memory[part] = result
+            self._remember(part, result)
         return result
 
+    def _remember(self, part: str, ids: tuple[int, ...]) -> None:
+        # A tuple of shared numbers, a text, and their place in the table.
+        self.remembered += 230 + 2 * len(part) + 8 * len(ids)
+        self.memory[part] = ids
+        if self.remembered > REMEMBERED:
+            self.older = dict(self.memory)
+            self.memory.clear()  # others hold on to it
+            self.remembered = 0
+
     def encode(self, text: str | None) -> np.ndarray:
         normal = self.normaliser(text or "")
         parts = self.parts.findall(normal) if self.parts else [normal] if normal else []

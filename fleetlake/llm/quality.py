@@ -168,9 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabell
     return fit(positive, x[kinds == 1], x[kinds == 0], marks[kinds == 0].astype(np.float64))
 
 
-def _scored(rows: DataFrame, text, model: Model | None) -> DataFrame:
-    """``rows`` with ``score`` and ``predicted``; ``text`` takes the texts from an Arrow batch."""
-    names = rows.columns
+def _scored(rows: DataFrame, names: list[str], text, model: Model | None) -> DataFrame:
+    """The first columns of ``rows``, those of ``names``, with ``score`` and ``predicted``; ``text`` takes
+    the texts from an Arrow batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -181,9 +181,9 @@ def _scored(rows: DataFrame, text, model: Model | None) -> DataFrame:
                 else:
                     scores = model.scores(np.array([features(t or "") for t in text(batch).to_pylist()]))
                 predicted = pa.array((scores >= THRESHOLD).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), predicted], [*names, "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(scores), predicted], [*names, "score", "predicted"])
 
-    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    schema = T.StructType([*rows.schema.fields[: len(names)], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -194,11 +194,11 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     score is 1. Equal texts get equal scores; an empty table gives an empty result.
     """
     rows = docs.select("doc_id", (fold() == 2).alias("held_out"), whole_text().alias("text"))
-    return _scored(rows, lambda batch: batch.column(2), model).drop("text")
+    return _scored(rows, ["doc_id", "held_out"], lambda batch: batch.column(2), model)
 
 
 def stage(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier doesn't reject, with all their columns."""
     at = docs.columns.index("text")
-    scored = _scored(carried(docs), lambda batch: batch.column(0).field(at), train(docs, labels))
+    scored = _scored(carried(docs), ["whole"], lambda batch: batch.column(0).field(at), train(docs, labels))
     return scored.where("predicted = 1").select("whole.*")

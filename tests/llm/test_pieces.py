@@ -44,7 +44,7 @@ def test_same_texts_as_the_library(model, library):
 
 def test_memory_is_bounded(model, library, monkeypatch):
     model = pieces.Model(model.pieces, model.kind, model.byte_fallback, model.normaliser)
-    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    monkeypatch.setattr(pieces, "REMEMBERED", 15_000)
     for text in texts(model)[:200]:
         assert model.encode(text).tolist() == library.encode(text)
     assert len(model.memory) <= 60
