@@ -51,12 +51,29 @@ def device_of(path: Column) -> Column:
     return F.when(known, F.get(parts, F.lit(0))).otherwise("")
 
 
+def plain_path(uri: Column) -> Column:
+    """The path that a URI such as ``_metadata.file_path`` stands for: blanks, ``#`` and others as they are."""
+    # Decoding takes a plus for a blank; in paths it is a plus.
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
+def stored_name(name: str) -> str:
+    """The name to store a file under: Hadoop's file systems have none with a colon."""
+    return name.replace("%", "%25").replace(":", "%3A") if ":" in name or "%3A" in name else name
+
+
+def named(stored: Column) -> Column:
+    """The name that ``stored_name`` was made of."""
+    colons = F.replace(F.replace(stored, F.lit("%3A"), F.lit(":")), F.lit("%25"), F.lit("%"))
+    return F.when(F.contains(stored, F.lit("%3A")), colons).otherwise(stored)
+
+
 def lake_parts(path: Column) -> dict[str, Column]:
     """``.../device/message/yyyy/mm/dd/file`` taken apart from the right."""
     parts = F.split(path, "/")
 
     def part(k: int) -> Column:
-        return F.try_element_at(parts, F.lit(-k))
+        return named(F.try_element_at(parts, F.lit(-k)))
 
     return {
         "device": part(6),

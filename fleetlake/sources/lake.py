@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
+from typing import Any
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.paths import lake_parts
+from ..functions.paths import lake_parts, plain_path, stored_name
 from ..schema import PATH_COLUMNS
 
 
@@ -84,7 +87,7 @@ def read_path_layout(
         if not _path_not_found(error):
             raise
         return spark.createDataFrame([], _PATH_ONLY)
-    parts = lake_parts(F.col("_metadata.file_path"))
+    parts = lake_parts(plain_path(F.col("_metadata.file_path")))
     return normalise(_only(rows, near).select("*", *(c.alias(n) for n, c in parts.items())), t)
 
 
@@ -238,13 +241,40 @@ def write_message(df: DataFrame, root: str, message: str | None = None) -> None:
     write_partitioned(named, root, ["device", "message", "date"])
 
 
+#: Files moved at once; a move is a request to the store and no work for the driver.
+MOVES_AT_ONCE = 16
+
+
+class MoveFailed(RuntimeError):
+    """Finished files that could not be moved to their places; they are still in the staging folder."""
+
+
+def _move_all(spark: SparkSession, fs: Any, moves: Mapping[str, Any]) -> list[str]:
+    """Move files to the places named; returns the places that were not reached."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+
+    def move(name: str) -> bool:
+        target = path(name)
+        try:
+            fs.mkdirs(target.getParent())
+            if fs.exists(target):
+                fs.delete(target, False)
+            return bool(fs.rename(moves[name], target))
+        except (Py4JJavaError, PySparkException):
+            return False
+
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        return [name for name, moved in zip(moves, pool.map(move, moves), strict=True) if not moved]
+
+
 def write_path_layout(df: DataFrame, root: str, message: str | None = None) -> int:
     """Store a message as ``device/message/yyyy/mm/dd/file``, one file per log file; returns their number.
 
-    Replaces files of the same name. The rows are written by Spark into a folder of their own
-    below ``root``, with one task per file, and each finished file is moved to its place; files are
-    listed and moved one by one, in time proportional to their number. A log file that Spark
-    wrote in several parts is an error, raised before any file is replaced.
+    Replaces files of the same name; names are kept as they are, but for colons (``stored_name``). The rows are written by Spark into a
+    folder of their own below ``root``, with one task per file, and each finished file is moved to its
+    place, several at once. A log file that Spark wrote in several parts is an error, raised before any
+    file is replaced. So is a file that can't be moved (``MoveFailed``): it stays in the staging folder,
+    which the error names.
     """
     spark = df.sparkSession
     named = df.withColumn("message", F.lit(message)) if message else df
@@ -258,22 +288,19 @@ def write_path_layout(df: DataFrame, root: str, message: str | None = None) -> i
     files, moves = fs.listFiles(folder, True), {}
     while files.hasNext():
         source = files.next().getPath()
-        parts = dict(p.split("=", 1) for p in source.getParent().toString().split("/")[-4:] if "=" in p)
+        # Folder names escape what can't be part of them.
+        parts = {k: stored_name(unquote(v)) for k, v in (p.split("=", 1) for p in source.getParent().toString().split("/")[-4:] if "=" in p)}
         if len(parts) < 4:
             continue
         day = parts["date"].replace("-", "/")
-        name = parts["file_name"]
-        target = f"{root.rstrip('/')}/{parts['device']}/{parts['message']}/{day}/{name}"
+        target = f"{root.rstrip('/')}/{parts['device']}/{parts['message']}/{day}/{parts['file_name']}"
         if target in moves:
             fs.delete(folder, True)
             raise RuntimeError(f"several part files for {target}")
         moves[target] = source
-    for name, source in moves.items():
-        target = spark._jvm.org.apache.hadoop.fs.Path(name)
-        fs.mkdirs(target.getParent())
-        if fs.exists(target):
-            fs.delete(target, False)
-        fs.rename(source, target)
+    left = _move_all(spark, fs, moves)
+    if left:
+        raise MoveFailed(f"{len(left)} of {len(moves)} files are still in {staging}, such as the one for {left[0]}")
     fs.delete(folder, True)
     return len(moves)
 

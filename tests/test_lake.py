@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import os
+import re
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -9,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlake.functions.paths import as_prefix, device_of, forward_slashes
+from fleetlake.functions.paths import as_prefix, device_of, forward_slashes, stored_name
 from fleetlake.operators.select import file_groups, select_messages
 from fleetlake.plans.custom_messages import custom_message, write_custom_messages
 from fleetlake.plans.event_table import event_table, first_notifications
@@ -17,6 +19,7 @@ from fleetlake.plans.trip_summary import days_processed, trip_summary
 from fleetlake.schema import EVENT_SCHEMA, TRIP_SUMMARY_SCHEMA
 from fleetlake.session import work_folder
 from fleetlake.sources import configs
+from fleetlake.sources import lake as lake_module
 from fleetlake.sources.lake import (
     Lake,
     PublishedNothing,
@@ -30,6 +33,7 @@ from fleetlake.sources.lake import (
 )
 from fleetlake.sources.objects import list_objects, log_files, with_lake_parts
 from fleetlake.sources.triggers import trigger_paths
+from fleetlake.streaming.incremental import Incremental, latest, run_whole_files
 
 DAY = dt.date(2024, 3, 1)
 
@@ -440,3 +444,53 @@ def test_fences_are_required_and_ids_may_be_text(spark):
     assert with_fence(df, far).first().GeofenceId == "0"
     with pytest.raises(ValueError):
         with_fence(df, [{**fence, "latitude": 91.0}])
+
+
+# --- names as they are ----------------------------------------------------------------------
+
+NAMES = ["b 1#x.parquet", "k=v.parquet", "a+b.parquet", "100%.parquet", "%20.parquet", "ü é.parquet", "q?.parquet", "2024-01-01T10:00.parquet", "a%3Ab:c%25.parquet"]
+
+
+def named_rows(spark):
+    rows = [("0000 A", "my Speed", DAY, name, at(60, DAY), float(i)) for i, name in enumerate(NAMES)]
+    return spark.createDataFrame(rows, "device string, message string, date date, file_name string, t timestamp, v double")
+
+
+def test_awkward_file_names_come_back(spark):
+    root = work_folder(spark, "names")
+    assert write_path_layout(named_rows(spark), root) == len(NAMES)
+    found = read_path_layout(spark, root).collect()
+    assert sorted((r.device, r.message, r.file_name, r.v) for r in found) == sorted(("0000 A", "my Speed", n, float(i)) for i, n in enumerate(NAMES))
+    assert sorted(f for _, _, files in os.walk(root) for f in files if not f.startswith((".", "_"))) == sorted(stored_name(n) for n in NAMES)
+
+
+def test_awkward_names_through_streams(spark):
+    root, out = work_folder(spark, "names"), work_folder(spark, "names-out")
+    rows = named_rows(spark).withColumn("Speed", F.col("v") + 50)
+    low = rows.withColumn("t", F.col("t") - F.expr("interval 1 minute")).withColumn("Speed", F.lit(0.0))
+    write_path_layout(rows.unionByName(low).withColumn("message", F.lit("click")), root)
+    rule = {"event_name": "Up", "messages_match_type": "equals", "messages_filtered_list": [["click"]], "trigger_signals": ["Speed"]}
+    rule |= {"lower_threshold": 1, "upper_threshold": 40, "rising_as_start": True, "exact_match": False, "raster": ""}
+    general, events = configs.events_config({"general": {"include_gps_data": False}, "events": [rule]})
+    run_whole_files(spark, root, Incremental((), general, events, None, f"{out}/events"), f"{out}/checkpoint")
+    assert sorted(r.file_name for r in latest(spark, f"{out}/events").collect()) == sorted(NAMES)
+
+
+def test_a_failed_move_keeps_the_file(spark, monkeypatch):
+    """A rename that says no is an error, and the finished file is still there."""
+    root = work_folder(spark, "blocked")
+    write_path_layout(named_rows(spark).where("v = 0"), root)
+    real = lake_module._move_all
+
+    def refuse(spark, fs, moves):
+        class Refusing:
+            def __getattr__(self, name):
+                return (lambda *_: False) if name == "rename" else getattr(fs, name)
+
+        return real(spark, Refusing(), moves)
+
+    monkeypatch.setattr(lake_module, "_move_all", refuse)
+    with pytest.raises(lake_module.MoveFailed) as error:
+        write_path_layout(named_rows(spark).where("v = 1"), root)
+    staging = re.search(r"still in (\S+),", str(error.value))[1]
+    assert spark.read.parquet(staging).count() == 1
