@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.paths import lake_parts
+from ..functions.paths import lake_parts, plain_path
 from ..operators.chunks import DEFAULT_CHUNK
 from ..operators.custom import CustomContext
 from ..plans.custom_messages import custom_messages
@@ -19,8 +19,10 @@ from ..plans.event_table import event_table, first_notifications
 from ..schema import SERIES_KEYS
 from ..sources.configs import EVENT_DEFAULTS
 from ..sources.lake import Lake, Near, normalise, write_partitioned
+from .notices import NoticeLedger
+from .results import BATCH, compact, latest, write_note
 
-BATCH = "batch_id"
+__all__ = ["BATCH", "Incremental", "drain", "latest", "run_incremental", "run_whole_files", "stream_files", "stream_lake", "stream_names", "with_derived"]
 
 Deliver = Callable[[Sequence[Row]], None]
 
@@ -54,7 +56,7 @@ def stream_lake(
         .option("recursiveFileLookup", True)
         .parquet(root)
     )
-    parts = lake_parts(F.col("_metadata.file_path"))
+    parts = lake_parts(plain_path(F.col("_metadata.file_path")))
     return normalise(rows.select("*", *(c.alias(n) for n, c in parts.items())))
 
 
@@ -90,6 +92,8 @@ class Incremental:
     width: int | str = DEFAULT_CHUNK
     final: Callable[[DataFrame], DataFrame] | None = None
     deliver: Deliver | None = None
+    #: After so many batches, ``run_whole_files`` folds older results into base files; 0 for never.
+    compact_every: int = 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         """Process a batch of rows on its own: for rules that need no rows of other batches."""
@@ -137,8 +141,8 @@ class Incremental:
         stored = self._store(found, self.events_root, ["date"], batch_id)
         if self.deliver:
             body = (self.general or {}).get("static_body_content", "")
-            # One notice per configured event name.
-            self.deliver(first_notifications(stored, body).collect())
+            ledger = NoticeLedger(f"{self.events_root.rstrip('/')}/_notices")
+            ledger.deliver_new(first_notifications(stored, body), batch_id, self.deliver)
 
 
 def with_derived(lake: Lake, derived: Mapping[str, DataFrame]) -> Lake:
@@ -165,10 +169,6 @@ def run_incremental(stream: DataFrame, job: Incremental, checkpoint: str) -> Str
     return drain(stream, job, checkpoint)
 
 
-#: Which log files a batch has touched; below the root of the results.
-TOUCHED = "_touched"
-
-
 def stream_names(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
     """The path parts of new files of a path-layout lake; contents are not read."""
     paths = (
@@ -194,7 +194,8 @@ def run_whole_files(
     load alone: after the last one the results are those of one run over the whole lake.
     """
     everything = Lake.of_path_layout(spark, root)
-    notes = [r for r in (job.messages_root, job.events_root) if r]
+    units = {job.messages_root: ["device", "message", "date"], job.events_root: ["date"]}
+    units.pop(None, None)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # No more rows than files per batch.
@@ -202,6 +203,10 @@ def run_whole_files(
         rows = touched.collect()
         if not rows:
             return
+        if job.compact_every and batch_id % job.compact_every == 0:
+            # All batches before this one have ended.
+            for place, unit in units.items():
+                compact(spark, place, unit, batch_id - 1)
         near_by = Lake.of_path_layout(spark, root, sorted({r.device for r in rows}), sorted({r.date for r in rows}))
 
         def of_touched(names: Sequence[str], near: Near | None) -> DataFrame | None:
@@ -209,30 +214,7 @@ def run_whole_files(
             return None if found is None else found.join(F.broadcast(touched), list(SERIES_KEYS), "left_semi")
 
         job.process(spark, Lake(of_touched, everything.names), batch_id)
-        for place in notes:
-            note = touched.withColumn(BATCH, F.lit(batch_id))
-            note.coalesce(1).write.mode("overwrite").parquet(f"{place.rstrip('/')}/{TOUCHED}/{batch_id}")
+        for place in units:
+            write_note(touched, place, batch_id)
 
     return drain(stream_names(spark, root, files_per_batch), handle, checkpoint)
-
-
-def latest(spark: SparkSession, root: str, message: str | None = None) -> DataFrame | None:
-    """The newest results of each log file below a root that ``run_whole_files`` wrote to.
-
-    ``message`` picks a derived message; None if there are no rows at all.
-    """
-    newest = spark.read.parquet(f"{root.rstrip('/')}/{TOUCHED}/*").groupBy(*SERIES_KEYS).agg(F.max(BATCH).alias(BATCH))
-    glob = "date=*" if message is None else f"device=*/message={message}/date=*"
-    try:
-        # The newest schema has all columns; folder values that look like numbers are text.
-        found = spark.read.options(basePath=root, mergeSchema=True).parquet(f"{root.rstrip('/')}/{glob}").schema
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
-    kinds = {"device": T.StringType(), "message": T.StringType(), "date": T.DateType(), BATCH: T.IntegerType()}
-    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
-    rows = spark.read.schema(schema).options(basePath=root).parquet(f"{root.rstrip('/')}/{glob}")
-    device = "device" if "device" in rows.columns else "DeviceID"
-    of = newest.withColumnRenamed("device", device)
-    return rows.join(of, [device, "date", "file_name", BATCH], "left_semi").drop(BATCH)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,15 +12,20 @@ from ..operators.custom import CustomContext
 from ..plans.custom_messages import write_custom_messages
 from ..plans.event_table import event_table
 from ..session import use_utc, work_folder
-from ..sources.configs import events_config
+from ..sources.configs import events_config, trip_config
 from ..sources.lake import Lake, write_path_layout
 from ..streaming.detector import EdgeDetector
 from ..streaming.incremental import Incremental, latest, run_incremental, run_whole_files, stream_files
+from ..streaming.keyed import stream_edges, use_rocksdb
+from ..streaming.notices import NoticeLedger
+from ..streaming.summaries import read_summary, run_trip_summary
 from ..streaming.trips import stream_trips
 from .base import as_signals, table, with_signals
 from .events import edge_ctes
 from .grid import FENCES, fence_hits_sql
 from .grid import ORACLES as GRID_ORACLES
+from .trips import CONFIG, DIGITS
+from .trips import ORACLES as TRIP_ORACLES
 
 
 #: Devices where a query writes a lake: few, so that the test tables do not turn into tiny files.
@@ -156,6 +163,79 @@ def _continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return EdgeDetector(folder, "Load", 20, 60, width="6 hours").run(rows, f"{folder}/checkpoint")
 
 
+def _fed(spark: SparkSession, sf_dir: str, order: Sequence[int], run: Callable[[DataFrame], object]) -> None:
+    """The events handed out by six days at a time, in this order; the stream is started anew for each."""
+    folder = work_folder(spark, "fed")
+    events = table(spark, sf_dir, "events")
+    for part in order:
+        events.where(F.floor((F.dayofmonth("ts") - 1) / 6) == part).write.mode("append").parquet(folder)
+        run(as_signals(stream_files(spark, folder, events.schema)))
+
+
+def _keyed_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of endless series from keyed state, of files that come in the wrong order."""
+    folder = work_folder(spark, "keyed")
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    use_rocksdb(spark)
+
+    def run(rows: DataFrame) -> None:
+        edges = stream_edges(rows.select("device", "message", "t", "event_id", "Load"), "Load", 20, 60, late="12 days")
+        writer = edges.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+        writer.option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/checkpoint").start().awaitTermination()
+
+    try:
+        _fed(spark, sf_dir, (1, 0, 3, 2, 4), run)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.parquet(f"{folder}/rows")
+
+
+def _notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The notices of a stream that was stopped and started again: one per event name."""
+    folder = work_folder(spark, "notices")
+    general, events = events_config(EVENTS)
+
+    def run(rows: DataFrame) -> None:
+        job = Incremental(
+            CUSTOM, general, events, None, f"{folder}/events", CustomContext(fences=FENCES), "6 hours", deliver=lambda new: None
+        )
+        run_incremental(rows, job, f"{folder}/checkpoint")
+
+    _fed(spark, sf_dir, range(5), run)
+    return NoticeLedger(f"{folder}/events/_notices").sent(spark).drop("batch_id")
+
+
+#: Device-days whose trip message comes late.
+LATE = [("00000001", "2024-01-10"), ("00000008", "2024-01-10"), ("00000003", "2024-01-20")]
+
+
+def _late_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip summary kept up to date: late files make their own device-days be computed again."""
+    root, folder = work_folder(spark, "late-lake"), work_folder(spark, "late-summary")
+    rows = as_signals(table(spark, sf_dir, "events")).withColumn("file_name", F.lit("day.parquet"))
+    rows = rows.select("device", "message", "date", "file_name", "t", "Speed", "Load", "Latitude", "Longitude", "DistanceTrip")
+    days = [(F.col("device") == device) & (F.col("date") == F.lit(day).cast("date")) for device, day in LATE]
+    late = (F.col("message") == "view") & (days[0] | days[1] | days[2])
+    for part in (~late, late):
+        write_path_layout(rows.where(part & (F.col("message") != "signup")), root)
+        run_trip_summary(spark, root, f"{folder}/out", trip_config(CONFIG), f"{folder}/checkpoint", 100_000)
+    return read_summary(spark, f"{folder}/out").withColumns(
+        {"SignalValue": F.round("SignalValue", DIGITS), "Duration": F.round("Duration", 6)}
+    )
+
+
+def _merged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of many batches, folded into base files on the way."""
+    folder = work_folder(spark, "merged-files")
+    general, events = events_config(EVENTS)
+    job = Incremental(
+        CUSTOM, general, events, f"{folder}/lake", f"{folder}/events", CustomContext(fences=FENCES), "6 hours", compact_every=2
+    )
+    run_whole_files(spark, _path_lake(spark, sf_dir), job, f"{folder}/checkpoint", files_per_batch=300)
+    return latest(spark, f"{folder}/events").select(*_EVENT_COLUMNS)
+
+
 QUERIES = {
     "stream_ingest": _ingest,
     "stream_geofence": _geofence,
@@ -164,22 +244,30 @@ QUERIES = {
     "stream_whole_files": _whole_files,
     "derived_then_events": _derived_then_events,
     "stream_edges": _continuous,
+    "stream_edges_state": _keyed_edges,
+    "stream_notices": _notices,
+    "trip_summary_late": _late_summary,
+    "stream_merged_files": _merged_files,
 }
 
-_FENCE_EVENTS = with_signals(
-    fence_hits_sql("s.Latitude", FENCES).strip()
-    + """,
+def _fence_events(devices: int) -> str:
+    return with_signals(
+        fence_hits_sql("s.Latitude", FENCES).strip()
+        + """,
 placed AS (
   SELECT s.*, coalesce(h.id, 0) AS GeofenceId FROM signals s LEFT JOIN hits h ON s.event_id = h.event_id WHERE message = 'view'
 ),"""
-    + edge_ctes("placed", "device, date, file_name", "GeofenceId = 0", "GeofenceId = 7")
-    + """
+        + edge_ctes("placed", "device, date, file_name", "GeofenceId = 0", "GeofenceId = 7")
+        + """
 SELECT t, 'AtDepot' AS EventName, device AS DeviceID, 'AtDepot_' || device || '_' || strftime(t, '%Y%m%dT%H%M%S') AS EventId,
        'Fences' AS Message, 'GeofenceId' AS Signal, e AS EventType, CAST(ev AS BIGINT) AS EventValue,
        CAST(GeofenceId AS DOUBLE) AS SignalValue, date, file_name
 FROM (SELECT *, 'Start' AS e, 1 AS ev FROM rising UNION ALL SELECT *, 'Stop', 0 FROM falling)""",
-    _FEW,
-)
+        devices,
+    )
+
+
+_FENCE_EVENTS = _fence_events(_FEW)
 
 ORACLES = {
     "stream_ingest": with_signals("SELECT device, message, date, t, event_id, Speed, Load FROM signals"),
@@ -202,6 +290,32 @@ HAVING max(t) - min(t) >= INTERVAL 1 MINUTE
     "stream_events": _FENCE_EVENTS,
     "stream_whole_files": _FENCE_EVENTS,
     "derived_then_events": _FENCE_EVENTS,
+    "stream_merged_files": _FENCE_EVENTS,
+    "trip_summary_late": TRIP_ORACLES["trip_summary"],
+    "stream_notices": f"""
+WITH firsts AS (
+  SELECT *, CASE WHEN epoch_us(t) % 1000000 = 0 THEN strftime(t, '%Y-%m-%d %H:%M:%S')
+                 ELSE strftime(t, '%Y-%m-%d %H:%M:%S.%f') END AS shown
+  FROM ({_fence_events(16)}) WHERE EventType = 'Start'
+  QUALIFY row_number() OVER (PARTITION BY EventName ORDER BY t, DeviceID, Message, Signal, file_name) = 1
+)
+SELECT EventName, DeviceID, t, '- EVENT: ' || EventName || ' | ' || DeviceID || ' | ' || shown AS subject,
+       EventName || ' was triggered. ' || chr(10) || chr(10) || 'Details:' || chr(10) || '- device: ' || DeviceID
+         || chr(10) || '- message(s): [' || chr(39) || Message || chr(39) || ']' || chr(10) || '- file: ' || file_name
+         || chr(10) || '- time: ' || shown AS body,
+       replace(replace('- EVENT: ' || EventName || ' | ' || DeviceID || ' | ' || shown, ' ', '_'), '|', '') AS dedupe_id
+FROM firsts""",
+    # Rows after the watermark are still held when the stream ends.
+    "stream_edges_state": with_signals(
+        edge_ctes("signals", "device, message", "Load <= 20", "Load >= 60").strip()
+        + """,
+passed AS (
+  SELECT date_trunc('millisecond', max(t)) - INTERVAL 12 DAY AS upto FROM signals WHERE Load <= 20 OR Load >= 60
+)
+SELECT device, message, t, event_id, Load, 'Start' AS EventType, CAST(1 AS BIGINT) AS EventValue FROM rising, passed WHERE t <= upto
+UNION ALL
+SELECT device, message, t, event_id, Load, 'Stop', 0 FROM falling, passed WHERE t <= upto"""
+    ),
     "stream_edges": with_signals(
         edge_ctes("signals", "device, message", "Load <= 20", "Load >= 60").strip()
         + """
