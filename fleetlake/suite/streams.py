@@ -12,7 +12,7 @@ from ..operators.custom import CustomContext
 from ..plans.custom_messages import write_custom_messages
 from ..plans.event_table import event_table
 from ..session import use_utc, work_folder
-from ..sources.configs import events_config, trip_config
+from ..sources.configs import EVENT_DEFAULTS, events_config, trip_config
 from ..sources.lake import Lake, write_path_layout
 from ..streaming.detector import EdgeDetector
 from ..streaming.incremental import Incremental, latest, run_incremental, run_whole_files, stream_files
@@ -300,7 +300,7 @@ WITH firsts AS (
   QUALIFY row_number() OVER (PARTITION BY EventName ORDER BY t, DeviceID, Message, Signal, file_name) = 1
 )
 SELECT EventName, DeviceID, t, '- EVENT: ' || EventName || ' | ' || DeviceID || ' | ' || shown AS subject,
-       EventName || ' was triggered. ' || chr(10) || chr(10) || 'Details:' || chr(10) || '- device: ' || DeviceID
+       EventName || ' was triggered. {EVENT_DEFAULTS["static_body_content"]}' || chr(10) || chr(10) || 'Details:' || chr(10) || '- device: ' || DeviceID
          || chr(10) || '- message(s): [' || chr(39) || Message || chr(39) || ']' || chr(10) || '- file: ' || file_name
          || chr(10) || '- time: ' || shown AS body,
        replace(replace('- EVENT: ' || EventName || ' | ' || DeviceID || ' | ' || shown, ' ', '_'), '|', '') AS dedupe_id
