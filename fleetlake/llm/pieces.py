@@ -34,7 +34,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Bytes of encoded parts that a worker remembers in each of two generations: a full one becomes the
 #: older one, and of that only what is met again is taken over.
-REMEMBERED = 32 << 20
+REMEMBERED = 64 << 20
 #: Longer parts are not remembered.
 LONGEST_REMEMBERED = 40
 
