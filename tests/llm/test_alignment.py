@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import defaultdict
 
 import pytest
@@ -101,6 +102,20 @@ def test_identity_map():
     assert all(model.a.bytes[i] == model.b.bytes[j] for i, j in known)
 
 
+def test_encoding_by_ranks_equals_encoding_by_merges():
+    """On words, on random letters and on bytes of the vocabulary itself."""
+    from tokenizers import Tokenizer
+
+    model, rnd = load(TOKENIZER_A, TOKENIZER_B), random.Random(4)
+    one = Tokenizer.from_file(TOKENIZER_A)
+    one.encode_special_tokens = True
+    entries = [e.decode("utf-8", "ignore") for e in model.a.bytes]
+    texts = [e for e in entries if e] + MORE
+    texts += ["".join(rnd.choice(entries) for _ in range(rnd.randint(1, 12))) for _ in range(3000)]
+    texts += ["".join(rnd.choice("aeinrst' .1\n\u00a0\u0085é") for _ in range(rnd.randint(1, 200))) for _ in range(1500)]
+    assert model.encode_a(texts) == [e.ids for e in one.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_empty_table(spark, no_docs):
     docs, pairs = align_tokens(no_docs)
     assert docs.collect() == [] and pairs.collect() == []
