@@ -87,6 +87,11 @@ DROPPED_NAMES = frozenset(
 #: An element so named is no wrapper of the article, however much of the page it holds.
 _AFTER_TEXT = frozenset("comment comments commentlist disqus discussion reply replies review reviews related recommended recommendations trending".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+_TITLE = frozenset(["h1"])
+#: What running text is written in.
+_PARAGRAPHS = frozenset("p blockquote pre".split())
+#: A header of the main element with one of these belongs to the text.
+_LEAD = _HEADINGS | _PARAGRAPHS
 #: Kept whatever their class says; of articles go only those that these words mark.
 _KEPT_TAGS = frozenset(["html", "body", "main"])
 DROPPED_ARTICLES = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies related recommended".split())
@@ -286,11 +291,38 @@ def _length(element: Element) -> int:
     return total
 
 
+def _holds(element: Element, tags: frozenset[str]) -> bool:
+    todo = [element]
+    while todo:
+        for e in todo.pop().inside:
+            if isinstance(e, Element) and not e.dropped:
+                if e.tag in tags:
+                    return True
+                todo.append(e)
+    return False
+
+
+def _is_teaser(chosen: Element, articles: list[Element], root: Element) -> bool:
+    """The articles have no ``h1``, and paragraphs outside all articles hold more than twice the text of the chosen ones."""
+    if any(_holds(article, _TITLE) for article in articles):
+        return False
+    outside, todo = 0, [root]
+    while todo:
+        for e in todo.pop().inside:
+            if isinstance(e, Element) and not e.dropped and e.tag != "article":
+                if e.tag in _PARAGRAPHS:
+                    outside += _length(e)
+                else:
+                    todo.append(e)
+    return outside > 2 * _length(chosen)
+
+
 def main_element(root: Element) -> Element:
     """What holds the main text: the longest article, with what belongs to it; else the longest marked or ``main`` element; else the page.
 
     If the article is in a ``main`` element, that is taken, with its other articles and the text beside
     them. Else it is taken together with the articles next to it, in page order, in an element of their own.
+    Articles that only tease, beside a longer story in paragraphs, are no reason to leave the story out.
     """
     articles, mains, todo = [], [], [(root, root, None)]
     while todo:
@@ -307,18 +339,20 @@ def main_element(root: Element) -> Element:
         if main is not None:
             return main
         siblings = [e for e in parent.inside if isinstance(e, Element) and e.tag == "article" and not e.dropped]
-        if len(siblings) == 1 or parent.tag == "article":
-            return article
-        joined = Element("#articles")
-        joined.inside = siblings
-        return joined
+        chosen = article
+        if len(siblings) > 1 and parent.tag != "article":
+            chosen = Element("#articles")
+            chosen.inside = siblings
+        if not _is_teaser(chosen, [found[0] for found in articles], root):
+            return chosen
     return max(mains, key=_length) if mains else root
 
 
 def main_text(root: Element, hashes: dict[int, int], template: frozenset[int]) -> str:
     """The main element's blocks without dropped and template subtrees, one space between words and blocks.
 
-    ``header`` counts as a page's header unless it is inside the main element and holds a heading.
+    ``header`` counts as a page's header unless it is inside the main element and holds a heading or a
+    paragraph. Character references are decoded text by text, so tags within one end it.
     """
     main = main_element(root)
     parts: list[str] = []
@@ -326,18 +360,18 @@ def main_text(root: Element, hashes: dict[int, int], template: frozenset[int]) -
     while todo:
         item = todo.pop()
         if isinstance(item, str):
-            parts.append(item)
+            # After parsing, so that what references stand for is never taken for markup.
+            parts.append(html.unescape(item))
             continue
         if item.dropped or (item is not main and hashes.get(id(item)) in template):
             continue
-        if item.tag == "header" and (main is root or not any(isinstance(e, Element) and re.fullmatch("h[1-6]|hgroup", e.tag) for e in item.inside)):
+        if item.tag == "header" and (main is root or not _holds(item, _LEAD)):
             continue
         if item.tag not in INLINE:
             parts.append(" ")
             todo.append(" ")
         todo.extend(reversed(item.inside))
-    # References are decoded last, so that what they stand for is never taken for markup.
-    return " ".join(html.unescape("".join(parts)).split())
+    return " ".join("".join(parts).split())
 
 
 def word_sequences(text: str) -> list[int]:

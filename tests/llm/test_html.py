@@ -76,6 +76,28 @@ def test_all_articles_of_the_main_element(source, expected):
     assert text_of(source) == expected
 
 
+STORY = "".join(f"<p>Paragraph {i} of the story.</p>" for i in range(20))
+STORY_TEXT = " ".join(f"Paragraph {i} of the story." for i in range(20))
+
+
+@pytest.mark.parametrize(
+    "source,expected",
+    [
+        ("<article>Short teaser</article><div class='story'><h1>T</h1>" + STORY + "</div>", "Short teaser T " + STORY_TEXT),
+        ("<article>one</article><article>two</article>" + STORY + "<nav>n</nav>", "one two " + STORY_TEXT),
+        ("<article><p>Other</p></article><div itemprop=articleBody>" + STORY + "</div>", STORY_TEXT),
+        ("<article>" + STORY + "</article><p>Beside it.</p><div>" + "long menu " * 99 + "</div>", STORY_TEXT),
+        ("<article><h1>T</h1>short</article>" + STORY, "T short"),
+        ("<article><header><div><h2>Head</h2></div></header>t</article>", "Head t"),
+        ("<article><header><p>Lead.</p></header>t</article>", "Lead. t"),
+        ("<article><header>By line</header>t</article>", "t"),
+        ("<p>AT&<b>copy</b> &am<i>p;</i> &lt<b>b</b>", "AT&copy &amp; <b"),
+    ],
+)
+def test_teasers_headers_and_split_references(source, expected):
+    assert text_of(source) == expected
+
+
 def test_template_is_what_recurs_on_many_articles(spark):
     rows = []
     for i in range(12):
