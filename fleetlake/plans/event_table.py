@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -16,6 +17,8 @@ from ..schema import EVENT_SCHEMA, SERIES_KEYS
 from ..sources.configs import EVENT_DEFAULTS
 from ..sources.lake import Lake
 
+log = logging.getLogger(__name__)
+
 EVENT_COLUMNS = [f.name for f in EVENT_SCHEMA]
 
 
@@ -77,8 +80,12 @@ def detect_event(
     near = None if raster else _near(event["trigger_signals"], lower, upper, exact)
     rows = lake.messages(event_messages(lake, event), near)
     if rows is None:
+        log.warning("event %s is skipped: none of its messages is in the lake", event["event_name"])
         return None
     triggers = [s for s in event["trigger_signals"] if s in rows.columns]
+    absent = [s for s in event["trigger_signals"] if s not in triggers]
+    if absent:
+        log.warning("event %s: no file has its trigger signals %s", event["event_name"], ", ".join(absent))
     if not triggers:
         return None
     keys = [*SERIES_KEYS, "message"]

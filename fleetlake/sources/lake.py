@@ -319,15 +319,20 @@ class PublishedNothing(RuntimeError):
     """A run that was to publish rows had none."""
 
 
-def publish(df: DataFrame, root: str, partition: Sequence[str]) -> int:
-    """Write and return the number of rows, counted while writing; none is an error."""
+def write_counted(df: DataFrame, root: str, partition: Sequence[str]) -> int:
+    """``write_partitioned``, returning the number of rows, which are counted while they are written."""
     seen = Observation()
     write_partitioned(df.observe(seen, F.count(F.lit(1)).alias("rows")), root, partition)
     try:
-        rows = seen.get["rows"]
+        return seen.get["rows"]
     except Py4JJavaError:
         # Rows that Spark knows to be none without looking are not observed at all.
-        rows = 0
+        return 0
+
+
+def publish(df: DataFrame, root: str, partition: Sequence[str]) -> int:
+    """Write and return the number of rows, counted while writing; none is an error."""
+    rows = write_counted(df, root, partition)
     if not rows:
         raise PublishedNothing(f"no rows to publish to {root}")
     return rows

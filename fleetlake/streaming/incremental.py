@@ -18,8 +18,9 @@ from ..plans.custom_messages import custom_messages
 from ..plans.event_table import event_table, first_notifications
 from ..schema import SERIES_KEYS
 from ..sources.configs import EVENT_DEFAULTS
-from ..sources.lake import Lake, Near, normalise, write_partitioned
+from ..sources.lake import Lake, Near, _union, normalise, write_partitioned
 from .notices import NoticeLedger
+from .publishing import DECODED, DERIVED, EVENTS, Publication
 from .results import BATCH, compact, latest, write_note
 
 __all__ = ["BATCH", "Incremental", "drain", "latest", "run_incremental", "run_whole_files", "stream_files", "stream_lake", "stream_names", "with_derived"]
@@ -80,7 +81,8 @@ class Incremental:
     """What one run derives from each batch of files, and where it goes.
 
     Writes are keyed by the batch number and replace what a failed attempt of the same batch
-    left behind, so that a repeated batch changes nothing.
+    left behind, so that a repeated batch changes nothing. With a ``publication``, the batch's own rows,
+    derived messages and events all go there in one step, in place of the two roots.
     """
 
     custom: Sequence[Mapping] = ()
@@ -94,6 +96,7 @@ class Incremental:
     deliver: Deliver | None = None
     #: After so many batches, ``run_whole_files`` folds older results into base files; 0 for never.
     compact_every: int = 0
+    publication: Publication | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         """Process a batch of rows on its own: for rules that need no rows of other batches."""
@@ -123,6 +126,9 @@ class Incremental:
         derived = custom_messages(lake, self.custom, self.context)
         if self.final:
             derived = {name: self.final(df) for name, df in derived.items()}
+        if self.publication:
+            self._publish(spark, lake, derived, batch_id)
+            return
         if self.messages_root:
             for name, df in derived.items():
                 stored = self._store(
@@ -138,11 +144,33 @@ class Incremental:
         found = event_table(
             spark, with_derived(lake, derived), self.general or EVENT_DEFAULTS, self.events, self.width
         )
-        stored = self._store(found, self.events_root, ["date"], batch_id)
+        self._notify(self._store(found, self.events_root, ["date"], batch_id), self.events_root, batch_id)
+
+    def _notify(self, events: DataFrame, root: str, batch_id: int) -> None:
         if self.deliver:
             body = (self.general or {}).get("static_body_content", "")
-            ledger = NoticeLedger(f"{self.events_root.rstrip('/')}/_notices")
-            ledger.deliver_new(first_notifications(stored, body), batch_id, self.deliver)
+            ledger = NoticeLedger(f"{root.rstrip('/')}/_notices")
+            ledger.deliver_new(first_notifications(events, body), batch_id, self.deliver)
+
+    def _publish(self, spark: SparkSession, lake: Lake, derived: Mapping[str, DataFrame], batch_id: int) -> None:
+        """Everything of the batch in one step; notices go out once it is published."""
+        # Both written and looked at for events.
+        derived = {name: df.persist() for name, df in derived.items()}
+        try:
+            parts = {DECODED: lake.messages(lake.names())}
+            if derived:
+                parts[DERIVED] = _union([df.withColumn("message", F.lit(name)) for name, df in derived.items()])
+            if self.events:
+                parts[EVENTS] = event_table(
+                    spark, with_derived(lake, derived), self.general or EVENT_DEFAULTS, self.events, self.width
+                )
+            self.publication.publish({kind: df for kind, df in parts.items() if df is not None}, batch_id)
+        finally:
+            for df in derived.values():
+                df.unpersist()
+        found = self.publication.rows(spark, EVENTS, batch_id) if self.deliver else None
+        if found is not None:
+            self._notify(found.drop(BATCH), self.publication.root, batch_id)
 
 
 def with_derived(lake: Lake, derived: Mapping[str, DataFrame]) -> Lake:
@@ -191,8 +219,11 @@ def run_whole_files(
     which log files it touches; each of these is processed again as the lake has it now, with all its
     messages. Results are kept per batch with a note of the log files it touched, and
     ``latest`` reads each log file's newest result. What a batch holds is therefore a matter of
-    load alone: after the last one the results are those of one run over the whole lake.
+    load alone: after the last one the results are those of one run over the whole lake. As a log file may
+    be processed several times, its rows can't be published by batch.
     """
+    if job.publication:
+        raise ValueError("log files that are processed again can't be published by batch")
     everything = Lake.of_path_layout(spark, root)
     units = {job.messages_root: ["device", "message", "date"], job.events_root: ["date"]}
     units.pop(None, None)

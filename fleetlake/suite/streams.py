@@ -18,6 +18,7 @@ from ..streaming.detector import EdgeDetector
 from ..streaming.incremental import Incremental, latest, run_incremental, run_whole_files, stream_files
 from ..streaming.keyed import stream_edges, use_rocksdb
 from ..streaming.notices import NoticeLedger
+from ..streaming.publishing import DECODED, DERIVED, EVENTS as EVENT_ROWS, Publication
 from ..streaming.summaries import read_summary, run_trip_summary
 from ..streaming.trips import stream_trips
 from .base import as_signals, table, with_signals
@@ -225,6 +226,37 @@ def _late_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _last_say(kind: str, rows: DataFrame) -> DataFrame:
+    """What is published of each kind of rows: no sign-ups, and derived rows only inside of a fence."""
+    if kind == DECODED:
+        return rows.where(F.col("message") != "signup")
+    return rows.where(F.col("GeofenceId") > 0) if kind == DERIVED else rows
+
+
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, derived messages and events of a stream, each batch published in one step."""
+    folder = work_folder(spark, "publication")
+    general, events = events_config(EVENTS)
+    publication = Publication(f"{folder}/out", _last_say)
+
+    def run(rows: DataFrame) -> None:
+        job = Incremental(
+            CUSTOM, general, events, context=CustomContext(fences=FENCES), width="6 hours", publication=publication, deliver=lambda new: None
+        )
+        run_incremental(rows, job, f"{folder}/checkpoint")
+
+    _fed(spark, sf_dir, range(5), run)
+    shown = {
+        DECODED: ["device", "message", "date", "file_name", "t", F.col("Speed").alias("value")],
+        DERIVED: ["device", "message", "date", "file_name", "t", F.col("GeofenceId").cast("double").alias("value")],
+        EVENT_ROWS: [
+            F.col("DeviceID").alias("device"), F.col("Message").alias("message"), "date", "file_name", "t", F.col("EventValue").cast("double").alias("value"),
+        ],
+    }
+    kinds = [publication.rows(spark, kind).select(F.lit(kind).alias("kind"), *columns) for kind, columns in shown.items()]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+
+
 def _merged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results of many batches, folded into base files on the way."""
     folder = work_folder(spark, "merged-files")
@@ -248,15 +280,19 @@ QUERIES = {
     "stream_notices": _notices,
     "trip_summary_late": _late_summary,
     "stream_merged_files": _merged_files,
+    "publish_batch": _published,
 }
 
+_PLACED = """,
+placed AS (
+  SELECT s.*, coalesce(h.id, 0) AS GeofenceId FROM signals s LEFT JOIN hits h ON s.event_id = h.event_id WHERE message = 'view'
+)"""
+
+
 def _fence_events(devices: int) -> str:
     return with_signals(
         fence_hits_sql("s.Latitude", FENCES).strip()
-        + """,
-placed AS (
-  SELECT s.*, coalesce(h.id, 0) AS GeofenceId FROM signals s LEFT JOIN hits h ON s.event_id = h.event_id WHERE message = 'view'
-),"""
+        + f"{_PLACED},"
         + edge_ctes("placed", "device, date, file_name", "GeofenceId = 0", "GeofenceId = 7")
         + """
 SELECT t, 'AtDepot' AS EventName, device AS DeviceID, 'AtDepot_' || device || '_' || strftime(t, '%Y%m%dT%H%M%S') AS EventId,
@@ -291,6 +327,15 @@ HAVING max(t) - min(t) >= INTERVAL 1 MINUTE
     "stream_whole_files": _FENCE_EVENTS,
     "derived_then_events": _FENCE_EVENTS,
     "stream_merged_files": _FENCE_EVENTS,
+    "publish_batch": with_signals(
+        fence_hits_sql("s.Latitude", FENCES).strip()
+        + f"""{_PLACED}
+SELECT 'decoded' AS kind, device, message, date, file_name, t, Speed AS value FROM signals WHERE message <> 'signup'
+UNION ALL
+SELECT 'derived', device, 'Fences', date, file_name, t, CAST(GeofenceId AS DOUBLE) FROM placed WHERE GeofenceId > 0
+UNION ALL
+SELECT 'events', DeviceID, Message, date, file_name, t, CAST(EventValue AS DOUBLE) FROM ({_fence_events(16)})"""
+    ),
     "trip_summary_late": TRIP_ORACLES["trip_summary"],
     "stream_notices": f"""
 WITH firsts AS (
