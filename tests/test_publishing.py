@@ -63,13 +63,19 @@ def test_a_failed_batch_shows_nothing_and_is_replaced(spark, rows):
     with pytest.raises(OSError):
         job(Publication(root, fails))(part(rows, 1), 1)
     # Its rows are there, but don't count.
-    assert _folders(spark, f"{root}/decoded/*/*/*/batch_id=1")
+    assert _folders(spark, f"{root}/decoded/batch_id=1")
     publication = Publication(root)
     assert publication.rows(spark, DECODED).count() == part(rows, 0).count()
-    assert publication.rows(spark, DECODED, 1).count() == 0
+    assert publication.rows(spark, DECODED, 1) is None
     # The next attempt has other rows, and nothing of the first one is left.
     job(publication)(part(rows, 2), 1)
     assert publication.rows(spark, DECODED).count() == part(rows, 0).count() + part(rows, 2).count()
+    # Columns that come later are null before.
+    job(Publication(root, lambda kind, df: df.withColumn("Late", F.lit(1))))(part(rows, 1), 2)
+    late = publication.rows(spark, DECODED)
+    assert late.where("Late IS NULL").count() == part(rows, 0).count() + part(rows, 2).count()
+    assert late.where("Late = 1 AND batch_id = 2").count() == part(rows, 1).count()
+    assert dict(late.dtypes)["device"] == "string"
     # A batch that was published is not written again.
     before = sorted(map(str, publication.rows(spark, DECODED).collect()))
     job(publication)(part(rows, 1), 1)
@@ -87,6 +93,8 @@ def test_nothing_to_publish_is_an_error(spark, rows):
     job(some)(rows, 0)
     assert some.rows(spark, DECODED).count() == rows.count()
     assert {r.kind: r.rows > 0 for r in some.counts(spark).collect()} == {DECODED: True, DERIVED: False, EVENTS: False}
+    with pytest.raises(PublishedNothing):
+        some.publish({}, 1)
     with pytest.raises(ValueError, match="unknown"):
         some.publish({"other": rows}, 1)
     with pytest.raises(ValueError):
