@@ -158,14 +158,18 @@ def _layout() -> Column:
 
 def _with_words(frames: DataFrame) -> DataFrame:
     """The first eight bytes as one number, in both byte orders: once per frame."""
-    digits = F.rpad(F.hex(F.substring("payload", 1, 8)), 16, "0")
-    turned = F.concat(*(F.substring(digits, i, 2) for i in range(15, 0, -2)))
-    return frames.select(
+    words = frames.select(
         "*",
         F.octet_length("payload").alias("_size"),
-        F.conv(digits, 16, -10).cast("long").alias("_be"),
-        F.conv(turned, 16, -10).cast("long").alias("_le"),
-    )
+        F.conv(F.rpad(F.hex(F.substring("payload", 1, 8)), 16, "0"), 16, -10).cast("long").alias("_be"),
+    ).withColumn("_le", F.col("_be"))
+    # Neighbouring bytes change places, then pairs of bytes, then halves.
+    for bits in (8, 16, 32):
+        x = F.col("_le")
+        lower = F.lit(sum(((1 << bits) - 1) << at for at in range(0, 64, 2 * bits))).cast("long")
+        down = F.call_function("shiftrightunsigned", x, F.lit(bits)).bitwiseAND(lower)
+        words = words.withColumn("_le", down.bitwiseOR(F.call_function("shiftleft", x.bitwiseAND(lower), F.lit(bits))))
+    return words
 
 
 def _long_field(field: Column) -> Column:
@@ -215,51 +219,54 @@ def _selected(selectors: Column) -> Column:
         value = _raw(selector["field"])
         return F.coalesce(F.exists(selector["ranges"], lambda r: value.between(r["lo"], r["hi"])), F.lit(False))
 
-    return F.forall(selectors, fits)
+    return (F.size(selectors) == 0) | F.forall(selectors, fits)
+
+
+def _with_selectors(fields: Column) -> Column:
+    """Each field of a frame with the layouts and ranges of its selectors up to the top, and in ``above`` the
+    selector that is still open when as many levels are passed as the frame has selectors."""
+    levels = F.size(F.array_distinct(F.filter(fields["above"], lambda name: name.isNotNull())))
+
+    def selector(field: Column, ranges: Column) -> Column:
+        return F.struct(field.alias("field"), ranges.alias("ranges"))
+
+    def state(above: Column, ranges: Column, selectors: Column) -> Column:
+        return F.struct(above.alias("above"), ranges.alias("ranges"), selectors.alias("selectors"))
+
+    def climb(passed: Column, _: Column) -> Column:
+        over = F.get(F.filter(fields, lambda f: f["signal"] == passed["above"]), F.lit(0))
+        longer = F.concat(passed["selectors"], F.array(selector(over["layout"], passed["ranges"])))
+        return F.when(passed["above"].isNull(), passed).otherwise(state(over["above"], over["ranges"], longer))
+
+    def resolved(f: Column) -> Column:
+        none = F.filter(F.array(selector(f["layout"], f["ranges"])), lambda _: F.lit(False))
+        top = F.aggregate(F.sequence(F.lit(0), levels), state(f["above"], f["ranges"], none), climb)
+        kept = ("message", "signal", "unit", "signed", "factor", "offset", "length", "layout")
+        return F.struct(*(f[c].alias(c) for c in kept), top["selectors"].alias("selectors"), top["above"].alias("above"))
+
+    return F.transform(fields, resolved)
 
 
 def field_layouts(catalog: DataFrame) -> DataFrame:
-    """Everything decoding needs to know per signal, stored once.
+    """``bus, file, frame_id, fields``: all that decoding needs to know of a frame's signals, stored once.
 
-    A selector may itself be multiplexed, to any depth: each signal carries the layouts of all
-    its selectors up to the top, gathered level by level. The table is as small as the catalog;
-    stored, Spark knows so and broadcasts it by its own size check, where an estimate over
-    these joins would be far off.
+    A selector may itself be multiplexed, to any depth: each signal carries the layouts of all its selectors
+    up to the top. The table has one row per frame id of a catalog file, made by one aggregate, and is as small as the
+    catalog; stored, Spark knows so and broadcasts it by its own size check.
     """
-    wide = catalog.where(~F.col("length").between(1, 64)).select("file", "signal", "length").take(1)
-    if wide:
-        raise ValueError(f"signal {wide[0].signal} of {wide[0].file} has {wide[0].length} bits; 1 to 64 can be decoded")
-    key = ["file", "frame_id"]
-    fields = stored(
-        catalog.select(
-            *key, "bus", "message", "signal", "signed", "factor", "offset", "unit", "length",
-            _layout().alias("_field"), F.col("mux_signal").alias("_above"), F.col("mux_ranges").alias("_ranges"),
-        ),
-        "fields",
+    field = F.struct(
+        "message", "signal", "unit", "signed", "factor", "offset", "length",
+        _layout().alias("layout"), F.col("mux_signal").alias("above"), F.col("mux_ranges").alias("ranges"),
     )
-    above = fields.select(
-        *key,
-        F.col("signal").alias("_above"),
-        F.col("_field").alias("_a_field"),
-        F.col("_above").alias("_a_above"),
-        F.col("_ranges").alias("_a_ranges"),
-    )
-    selector = F.struct(F.col("_a_field").alias("field"), F.col("_ranges").alias("ranges"))
-    none = F.filter(F.array(F.struct(F.col("_field").alias("field"), F.col("_ranges").alias("ranges"))), lambda _: F.lit(False))
-    layouts = fields.withColumn("_selectors", none)
-    deepest = fields.select(*key, "_above").where("_above IS NOT NULL").distinct().count()
-    for _ in range(deepest + 1):
-        if layouts.where("_above IS NOT NULL").isEmpty():
-            return layouts.drop("_above", "_ranges")
-        grown = F.when(F.col("_above").isNull(), F.col("_selectors")).otherwise(F.concat("_selectors", F.array(selector)))
-        kept = [c for c in layouts.columns if c not in ("_selectors", "_above", "_ranges")]
-        layouts = stored(
-            layouts.join(above, [*key, "_above"], "left").select(
-                *kept, grown.alias("_selectors"), F.col("_a_above").alias("_above"), F.col("_a_ranges").alias("_ranges")
-            ),
-            "field-layouts",
-        )
-    raise ValueError("selectors of a catalog select each other")
+    frames = catalog.groupBy("bus", "file", "frame_id").agg(F.collect_list(field).alias("fields"))
+    layouts = stored(frames.withColumn("fields", _with_selectors(F.col("fields"))), "field-layouts")
+    wrong = layouts.select("file", F.explode("fields").alias("f")).select("file", "f.signal", "f.length", "f.above")
+    wide = ~F.col("length").between(1, 64)
+    for row in wrong.where(wide | F.col("above").isNotNull()).orderBy(~wide).take(1):
+        if not 1 <= row.length <= 64:
+            raise ValueError(f"signal {row.signal} of {row.file} has {row.length} bits; 1 to 64 can be decoded")
+        raise ValueError("selectors of a catalog select each other")
+    return layouts
 
 
 def decode_frames(
@@ -268,8 +275,8 @@ def decode_frames(
     """Long physical values ``..., message, signal, value, unit`` from frames.
 
     Frames have ``frame_id`` and a binary ``payload``, and optionally the ``bus`` they were
-    seen on; ``layouts`` come from ``field_layouts``. A multiplexed signal appears only in
-    frames that carry its selector value. Fields that reach beyond the payload are left out.
+    seen on; ``layouts`` come from ``field_layouts`` and meet each frame once, with all of its signals. A multiplexed
+    signal appears only in frames that carry its selector value. Fields that reach beyond the payload are left out.
     Layouts too large to broadcast are joined by shuffle, with AQE splitting hot frame ids.
 
     ``groups`` (see ``sources.configs.catalog_groups``) limits each listed ``device`` to its
@@ -282,16 +289,20 @@ def decode_frames(
     if groups is not None:
         words = words.join(stored(groups.select("device", F.col("files").alias("_files")), "groups"), "device", "left")
         allowed = F.col("_files").isNull() | F.array_contains("_files", F.col("file"))
+    field = F.col("_f")
+    kept = [c for c in frames.columns if c != "payload"]
     return (
-        words.join(wanted, on)
-        .where(allowed & _selected(F.col("_selectors")))
-        .withColumn("_value", _raw(F.col("_field")))
+        words.join(wanted.select(*on, "file", F.col("fields").alias("_fields")), on)
+        .where(allowed)
+        .select(*kept, "payload", "_size", "_be", "_le", F.explode("_fields").alias("_f"))
+        .where(_selected(field["selectors"]))
+        .withColumn("_value", _raw(field["layout"]))
         .where(F.col("_value").isNotNull())
         .select(
-            *(c for c in frames.columns if c != "payload"),
-            "message",
-            "signal",
-            (_number(F.col("_value"), F.col("length"), F.col("signed")) * F.col("factor") + F.col("offset")).alias("value"),
-            "unit",
+            *kept,
+            "_f.message",
+            "_f.signal",
+            (_number(F.col("_value"), field["length"], field["signed"]) * field["factor"] + field["offset"]).alias("value"),
+            "_f.unit",
         )
     )
