@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -172,6 +173,32 @@ def test_median_of_awkward_values(spark):
     assert got == {k: pytest.approx(float(np.median(v)), rel=1e-15) for k, v in groups.items()}
 
 
+def test_median_of_a_crowd_beside_an_outlier(spark):
+    """A million different values within 1e-9: no step may put them in order, and all of them count."""
+    n = 1_000_000
+    crowd = spark.range(n).select(F.lit("crowd").alias("k"), (F.lit(1.0) + F.col("id") * 1e-15).alias("value"))
+    df = crowd.unionAll(spark.createDataFrame([("crowd", 1e18), ("tiny", 5e-324), ("tiny", 1e-323), ("tiny", -1.0)], "k string, value double"))
+    got = {r.k: r.median for r in exact_median(df, ["k"]).collect()}
+    values = np.sort(np.append(1.0 + np.arange(n) * 1e-15, 1e18))
+    assert got == {"crowd": values[n // 2], "tiny": 5e-324}
+
+
+def test_median_orders_counts_only(spark):
+    """Every window runs over cells of a grid, none over values."""
+    df = spark.createDataFrame([("a", 1.0)], "k string, value double")
+    plan = exact_median(df, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    ordered = re.findall(r"windowspecdefinition\([^)]*?, (\w+)#\w+ ASC", plan)
+    assert ordered and set(ordered) == {"_cell"}
+
+
+def test_median_with_nan_and_no_rows(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", nan), ("a", 1.0), ("a", 2.0), ("b", nan)], "k string, value double")
+    got = {r.k: r.median for r in exact_median(df, ["k"]).collect()}
+    assert got["a"] == 2.0 and math.isnan(got["b"])
+    assert exact_median(df.limit(0), ["k"]).collect() == []
+
+
 @pytest.mark.parametrize("width", ["1 s", "100 s", "1 day"])
 def test_previous_row_and_runs_do_not_depend_on_chunks(spark, width):
     pdf = random_rows(11)
