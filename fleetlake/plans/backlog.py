@@ -66,52 +66,42 @@ def expand_backlog(
     that asks for the session; ``file_pos`` is -1 for files found by a prefix and the entry
     position for files named by themselves only.
 
-    A manifest of known length (``entry_count``) up to ``BROADCAST_ENTRIES`` is broadcast; else
-    Spark decides, and splits hot devices where it joins by shuffle.
+    What is asked for is worked out session by session, from the sessions that the listing has and those that entries
+    name; files then meet this table once. A manifest of known length (``entry_count``) up to
+    ``BROADCAST_ENTRIES`` is broadcast to the sessions; else Spark decides, and splits hot devices where it joins by shuffle.
     """
-    known = classify_backlog(entries)
-    named = known.where(F.col("kind") == "file").select(
-        "device", "session", "path", F.col("pos").alias("file_pos")
-    )
-    devices = (
-        known.where(F.col("kind") == "device")
-        .groupBy("device")
-        .agg(F.min("pos").alias("_device_pos"))
-    )
-    sessions = (
-        known.where(F.col("kind") == "session")
-        .groupBy("device", "session")
-        .agg(F.min("pos").alias("_pos"))
-    )
-    first_named = named.groupBy("device", "session").agg(F.min("file_pos").alias("_named_pos"))
-    if entry_count is not None and entry_count <= BROADCAST_ENTRIES:
-        devices, sessions, first_named = F.broadcast(devices), F.broadcast(sessions), F.broadcast(first_named)
     keys = ["device", "session"]
-    listed = _listed(listing)
-
-    def asked(rows: DataFrame) -> DataFrame:
-        """With the positions of the entries that ask for the row's session."""
-        joined = rows.join(devices, "device", "left").join(sessions, keys, "left").join(first_named, keys, "left")
-        return joined.withColumn("_prefix_pos", F.least("_device_pos", "_pos"))
-
-    found = asked(listed).where(F.col("_prefix_pos").isNotNull()).select(
+    known = classify_backlog(entries)
+    kind = F.col("kind")
+    devices = known.where(kind == "device").groupBy("device").agg(F.min("pos").alias("_device_pos"))
+    listed = _listed(listing).withColumn("file_pos", F.lit(None).cast("long"))
+    named = known.where(kind == "file").select(*keys, "path", F.col("pos").alias("file_pos"))
+    # Sessions of the listing (without a position), of session entries, and of file entries.
+    wishes = known.where(kind.isin("session", "file")).select(
         *keys,
-        "path",
-        F.least("_prefix_pos", "_named_pos").alias("session_pos"),
-        F.lit(-1).cast("long").alias("file_pos"),
+        F.when(kind == "session", F.col("pos")).alias("_session_pos"),
+        F.when(kind == "file", F.col("pos")).alias("_named_pos"),
+        F.lit(False).alias("_there"),
     )
+    none = F.lit(None).cast("long")
+    there = listed.select(*keys, none.alias("_session_pos"), none.alias("_named_pos"), F.lit(True).alias("_there"))
+    few = entry_count is not None and entry_count <= BROADCAST_ENTRIES
     # Prefixes ask for a session only if the listing has any of its files.
-    there = listed.join(first_named, keys, "left_semi").select(*keys).distinct().withColumn("_there", F.lit(True))
-    by_name = asked(named).join(there, keys, "left").select(
-        *keys,
-        "path",
-        F.least("_named_pos", F.when(F.col("_there"), F.col("_prefix_pos"))).alias("session_pos"),
-        "file_pos",
+    by_prefix = F.when(F.col("_there"), F.least("_device_pos", "_session_pos"))
+    asked = (
+        there.unionByName(wishes)
+        .groupBy(*keys)
+        .agg(F.min("_session_pos").alias("_session_pos"), F.min("_named_pos").alias("_named_pos"), F.max("_there").alias("_there"))
+        .join(F.broadcast(devices) if few else devices, "device", "left")
+        .select(*keys, by_prefix.alias("_prefix_pos"), F.least(by_prefix, "_named_pos").alias("session_pos"))
+        .where(F.col("session_pos").isNotNull())
     )
     return (
-        found.unionByName(by_name)
+        listed.unionByName(named)
+        .join(asked, keys)
+        .where(F.col("file_pos").isNotNull() | F.col("_prefix_pos").isNotNull())
         .groupBy(*keys, "path")
-        .agg(F.min("session_pos").alias("session_pos"), F.min("file_pos").alias("file_pos"))
+        .agg(F.min("session_pos").alias("session_pos"), F.min(F.coalesce("file_pos", F.lit(-1))).alias("file_pos"))
     )
 
 
