@@ -1,7 +1,8 @@
 """The JSON documents that steer the jobs, as tables and as checked settings.
 
 Documents are a few kilobytes; ``read_document`` brings one to the driver. ``parse_documents``
-with a schema of ``DOCUMENTS`` keeps many of them in DataFrames.
+with a schema of ``DOCUMENTS`` keeps many of them in DataFrames, and ``aggregation_rules``, ``event_rules`` and
+``custom_rules`` turn the documents of a whole fleet of configurations into tables of rules.
 """
 
 from __future__ import annotations
@@ -234,6 +235,58 @@ def catalog_groups(documents: DataFrame, column: str = "document") -> DataFrame:
     )
 
 
+def aggregation_rules(documents: DataFrame, column: str = "document") -> DataFrame:
+    """The trip-summary rules of many aggregation documents, one row per device, signal and aggregation.
+
+    The other columns of ``documents``, then ``gap_us, min_length_us, cluster, trip_message, device, message, signal,
+    aggregation``. As in ``trip_config``, a cluster takes the first detail block that lists it, and one without a block
+    or a trip message has no rules. Unreadable documents have none either.
+    """
+    others = [c for c in documents.columns if c != column]
+    doc = F.from_json(column, AGGREGATIONS_DOC)
+    minute = 60_000_000
+    trip = F.col("d.config.trip")
+    clusters = documents.select(*others, doc.alias("d")).select(
+        *others,
+        F.round(trip["trip_gap_min"] * minute).cast("long").alias("gap_us"),
+        F.round(trip["trip_min_length_min"] * minute).cast("long").alias("min_length_us"),
+        F.col("d.cluster_details").alias("_all"),
+        F.explode("d.device_clusters").alias("c"),
+    )
+    first = F.get(F.filter("_all", lambda detail: F.array_contains(detail["clusters"], F.col("c.cluster"))), F.lit(0))
+    head = [*others, "gap_us", "min_length_us", "cluster", "trip_message"]
+    return (
+        clusters.withColumn("cluster", F.col("c.cluster"))
+        .withColumn("_details", first["details"])
+        .withColumn("trip_message", F.col("_details.trip_identifier.message"))
+        .where(F.col("trip_message") != "")
+        .select(*head, F.explode("c.devices").alias("device"), F.col("_details.aggregations").alias("_specs"))
+        .select(*head, "device", F.explode("_specs").alias("s"))
+        .where(F.col("s.message") != "")
+        .select(*head, "device", "s.message", F.explode("s.signal").alias("signal"), "s.aggregation")
+        .withColumn("aggregation", F.explode("aggregation"))
+    )
+
+
+def event_rules(documents: DataFrame, column: str = "document") -> DataFrame:
+    """The events of many event documents: their other columns, ``pos``, the general settings, the event's fields.
+
+    Settings that a document leaves out have their defaults. Message lists stay JSON text, for they nest as they like.
+    """
+    others = [c for c in documents.columns if c != column]
+    parsed = documents.select(*others, F.from_json(column, EVENTS_DOC).alias("d"))
+    general = [F.coalesce(F.col(f"d.general.{name}"), F.lit(value)).alias(name) for name, value in EVENT_DEFAULTS.items()]
+    return parsed.select(*others, *general, F.posexplode("d.events").alias("pos", "e")).select(
+        *others, "pos", *EVENT_DEFAULTS, "e.*"
+    )
+
+
+def custom_rules(documents: DataFrame, column: str = "document") -> DataFrame:
+    """The derived messages of many custom-message documents: their other columns, ``pos`` and the message's fields."""
+    others = [c for c in documents.columns if c != column]
+    return documents.select(*others, F.posexplode(F.from_json(column, CUSTOM_DOC)).alias("pos", "m")).select(*others, "pos", "m.*")
+
+
 def parse_documents(documents: DataFrame, schema: str, column: str = "document") -> DataFrame:
     """JSON texts parsed by one of the document schemas; unreadable ones are left out."""
     parsed: Column = F.from_json(column, schema)

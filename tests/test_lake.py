@@ -494,3 +494,38 @@ def test_a_failed_move_keeps_the_file(spark, monkeypatch):
         write_path_layout(named_rows(spark).where("v = 1"), root)
     staging = re.search(r"still in (\S+),", str(error.value))[1]
     assert spark.read.parquet(staging).count() == 1
+
+
+def test_rules_of_many_documents_are_those_of_each(spark):
+    """Rules read as a table equal the settings that the checked readers give for each document."""
+    block = {"clusters": ["a", "b"], "details": {"trip_identifier": {"message": "T"}, "aggregations": [
+        {"message": "M", "signal": ["x", "y"], "aggregation": ["avg", "sum"]}, {"message": "", "signal": ["z"], "aggregation": ["max"]}]}}
+    mute = {"clusters": ["c", "a"], "details": {"trip_identifier": {"message": ""}, "aggregations": []}}
+    period = {"mode": "specific_period", "start_date": "2024-01-01", "end_date": "2024-01-02"}
+    trips = {
+        "config": {"date": period, "trip": {"trip_gap_min": 1.5, "trip_min_length_min": 0}},
+        "device_clusters": [{"devices": ["D1", "D2"], "cluster": "a"}, {"devices": ["D3"], "cluster": "c"}, {"devices": ["D4"], "cluster": "d"}],
+        "cluster_details": [block, mute],
+    }
+    other = {**trips, "cluster_details": [mute, block]}
+    texts = [("one", json.dumps(trips)), ("two", json.dumps(other)), ("broken", "{"), ("none", None), ("empty", "{}")]
+    docs = spark.createDataFrame(texts, "name string, document string")
+    rules = configs.aggregation_rules(docs)
+    for name, document in (("one", trips), ("two", other)):
+        config = configs.trip_config(document)
+        plan = configs.cluster_plan(spark, config)
+        mine = rules.where(F.col("name") == name)
+        assert sorted(mine.select(plan.columns).collect()) == sorted(plan.collect())
+        assert {(r.gap_us, r.min_length_us) for r in mine.collect()} <= {(config.gap_us, config.min_length_us)}
+    assert {r.name for r in rules.collect()} == {"one"}
+
+    events = {"general": {"include_gps_data": False}, "events": [{"event_name": "e", "lower_threshold": 1, "messages_filtered_list": [["A"]]}]}
+    got = configs.event_rules(spark.createDataFrame([("one", json.dumps(events)), ("broken", "[")], "name string, document string")).collect()
+    general, (event,) = configs.events_config(events)
+    assert [(r.name, r.pos, r.event_name, r.lower_threshold, json.loads(r.messages_filtered_list)) for r in got] == [
+        ("one", 0, event["event_name"], event["lower_threshold"], event["messages_filtered_list"])
+    ]
+    assert {k: got[0][k] for k in general} == general
+    custom = [{"custom_message_name": "m", "prefix": True}, {"function": "f"}]
+    got = configs.custom_rules(spark.createDataFrame([(json.dumps(custom),), ("",)], "document string")).collect()
+    assert [(r.pos, r.custom_message_name, r.prefix, r.function) for r in got] == [(0, "m", True, None), (1, None, None, "f")]
