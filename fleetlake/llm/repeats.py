@@ -37,6 +37,8 @@ from .winnowing import gram_hashes, window_minima
 GRAM = 16
 #: Bytes of text in a chunk, about; and positions that are sampled at a time.
 CHUNK_BYTES, PIECE = 2 << 20, 1 << 19
+#: Bytes of text whose requests share a bucket, about, where that gives more buckets than the shuffle has tasks.
+BUCKET_BYTES = 256 << 20
 _LOW = np.uint64((1 << 20) - 1)
 _REQUEST = np.dtype([("low", "<u4"), ("high", "u1")])
 
@@ -377,7 +379,8 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     text = whole_text().cast("binary")
     total = docs.agg(F.sum(F.octet_length(text))).collect()[0][0] or 0
     chunks = max(1, -(-total // CHUNK_BYTES))
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A task holds the requests of one bucket at a time, so buckets grow in number, not in size.
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
     place: Column = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), text))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.pmod(place, F.lit(chunks)).alias("chunk"))
     base = base.repartition("chunk")

@@ -114,8 +114,9 @@ def fingerprint_documents(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, hashes array<long>, positions array<long>")
 
 
-#: Rows of a bucket, and most buckets: their bounds are numbers that the driver hands out.
-BUCKET_ROWS, MOST_BUCKETS = 1000, 4096
+#: A bucket has few rows while there are less than ``MANY_BUCKETS``, then up to ``FULL_BUCKET`` rows. The bounds are
+#: numbers that the driver hands out, so a table of 20 billion rows gets a million of them.
+BUCKET_ROWS, MANY_BUCKETS, FULL_BUCKET = 1000, 4096, 20_000
 
 
 def in_order(docs: DataFrame) -> DataFrame:
@@ -128,9 +129,9 @@ def in_order(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     ids = rows.select("doc_id")
     count = ids.count()
-    parts = max(1, min(MOST_BUCKETS, count // BUCKET_ROWS))
+    parts = max(1, min(MANY_BUCKETS, count // BUCKET_ROWS), count // FULL_BUCKET)
     shares = [i / parts for i in range(1, parts)]
-    bounds = ids.agg(F.percentile_approx("doc_id", shares or [0.5], 20 * MOST_BUCKETS)).collect()[0][0] or []
+    bounds = ids.agg(F.percentile_approx("doc_id", shares or [0.5], max(20 * MANY_BUCKETS, 4 * parts))).collect()[0][0] or []
     bounds = np.unique(np.array(bounds if shares else [], np.int64))
 
     @F.pandas_udf(T.IntegerType())

@@ -53,6 +53,9 @@ def test_pasted_passages_of_all_lengths(spark, monkeypatch):
         rows.append((200 - i, "".join(parts), "en", "s", 0))
     assert any(spans for _, _, spans, _ in brute(rows))
     assert found(documents(spark, rows)) == brute(rows)
+    # More buckets than tasks.
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 200)
+    assert found(documents(spark, rows)) == brute(rows)
 
 
 def test_periodic_text_and_other_lengths(spark):

@@ -75,6 +75,21 @@ def test_many_buckets(spark, monkeypatch):
     assert sorted(map(tuple, winnowing.compare_with_next(documents(spark, rows)).collect()), key=repr) == brute(rows)
 
 
+def test_buckets_beyond_many(spark, monkeypatch):
+    """Past ``MANY_BUCKETS`` the number of buckets goes on growing with the rows."""
+    monkeypatch.setattr(winnowing, "MANY_BUCKETS", 2)
+    monkeypatch.setattr(winnowing, "FULL_BUCKET", 9)
+    rows = [(i, prose(random.Random(i), 20), "", "", 0) for i in range(100)]
+    docs = documents(spark, rows)
+    assert winnowing.in_order(docs).select("bucket").distinct().count() > 8
+    got = {r.doc_id: r.edited_sha256 for r in winnowing.compare_with_next(docs).collect()}
+    for i, (doc_id, text, *_) in enumerate(rows):
+        after, changed = rows[i - 1][1], len(text) // 3
+        edited = text[: len(text) - changed] + after[:changed]
+        assert got[doc_id] == hashlib.sha256(edited.encode()).hexdigest()
+
+
+
 def test_one_row_and_none(spark, no_docs):
     assert winnowing.compare_with_next(no_docs).collect() == []
     row = winnowing.compare_with_next(documents(spark, [(4, "abc", "", "", 0)])).collect()[0]
