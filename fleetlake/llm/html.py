@@ -95,7 +95,8 @@ _LEAD = _HEADINGS | _PARAGRAPHS
 #: Kept whatever their class says; of articles go only those that these words mark.
 _KEPT_TAGS = frozenset(["html", "body", "main"])
 DROPPED_ARTICLES = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies related recommended".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|</?[a-zA-Z][^<>]*>?", re.DOTALL)
+#: Possessive within tags: no state is kept for each character of a long one.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?:>|\Z)|</?[a-zA-Z][^<>]*>?", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _WORDS = re.compile(r"[a-z]+|\d+")
@@ -430,13 +431,15 @@ def site_templates(pages: DataFrame, many: int = MANY, share: float = SHARE, ins
         _subtrees, "host long, article long, sequences array<long>, subtrees array<long>"
     )
     found = stored(found, "subtrees")
-    weights = stored(_weights(found.select("host", "article", "sequences").distinct()), "weights")
+    # What follows is smaller than the subtrees: no more files than theirs, however many partitions a shuffle has.
+    files = max(1, len(found.inputFiles()))
+    weights = stored(_weights(found.select("host", "article", "sequences").distinct()).coalesce(files), "weights")
     articles = weights.groupBy("host").agg(F.sum("weight").alias("articles"))
     each = found.select("host", "article", F.explode("subtrees").alias("subtree")).distinct().join(weights, ["host", "article"])
     counted = each.groupBy("host", "subtree").agg(F.sum("weight").alias("n")).where(F.round(F.col("n") / _ONE, 3) >= many)
     recurring = counted.join(articles, "host").where(F.col("n") >= share * F.col("articles"))
     most = F.when(F.col("n") > inside * F.col("articles"), F.col("subtree"))
-    return recurring.groupBy("host").agg(F.collect_list("subtree").alias("template"), F.collect_list(most).alias("most"))
+    return recurring.groupBy("host").agg(F.collect_list("subtree").alias("template"), F.collect_list(most).alias("most")).coalesce(files)
 
 
 def extract_text(pages: DataFrame, many: int = MANY, share: float = SHARE, inside: float = INSIDE) -> DataFrame:

@@ -1,6 +1,7 @@
 import html as lib
 import random
 import re
+import tracemalloc
 
 import pytest
 
@@ -160,6 +161,41 @@ def test_joined_by_host_beyond_the_broadcast_bound(spark, monkeypatch):
     assert sorted(map(tuple, html.extract_text(df).collect())) == small
 
 
+@pytest.mark.parametrize("tag,expected", [("<p title={}>", "t"), ("<p {}\">", "t"), ("<p title='{}'>", "t")])
+def test_long_tags_take_no_memory_by_character(tag, expected):
+    source = tag.format("a" * 2_000_000) + "t"
+    tracemalloc.start()
+    try:
+        assert text_of(source) == expected
+        assert tracemalloc.get_traced_memory()[1] < 20 * len(source)
+    finally:
+        tracemalloc.stop()
+
+
+def test_few_files_however_many_partitions_a_shuffle_has(spark, monkeypatch):
+    rows = [(100 * h + i, f"http://h{h}.example.com/{i}", page(f"<div>Site {h}</div><p>Text {h} of {i}.</p>")) for h in range(12) for i in range(8)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    files, store = {}, html.stored
+
+    def counted(df, label):
+        kept = store(df, label)
+        files[label] = len(kept.inputFiles())
+        return kept
+
+    monkeypatch.setattr(html, "stored", counted)
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        got = {r.page_id: r.text for r in html.extract_text(df).collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == {100 * h + i: f"Text {h} of {i}." for h in range(12) for i in range(8)}
+    assert max(files["weights"], files["templates"]) <= files["subtrees"] <= 2
+
+
 def test_pages_of_the_table(spark):
     """The table's pages have one flat article each: its tags cut out by a regular expression."""
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
