@@ -3,8 +3,12 @@
 Unit vectors of cosine c or more lie within epsilon = sqrt(2 - 2c) of each other. Turned to the principal
 directions of all vectors, they are sorted by grid cells of width epsilon on the leading directions.
 The sorted sequence is cut into intervals, each with its bounding box. Pairs of intervals meet where
-their cells are neighbours and their boxes within epsilon, and are joined recursively: halves whose boxes
-are too far apart are skipped, small ones are compared by matrix products in double precision.
+their cells are neighbours and their boxes within epsilon, and are joined recursively: both are halved
+at a plane, and across it only those are kept whose squared distances to all planes crossed so far can still add up to
+epsilon squared. Small parts are compared by matrix products over the leading directions and the length
+of the rest, which is never below the cosine; what passes is decided in double precision.
+
+An interval is shipped to another one through no shuffle: unless few pairs meet, tasks read both from the shared folder.
 
 Equal vectors are one vector with a weight, and two intervals that are provably within epsilon as a
 whole are linked by their weights alone. Each pair of intervals returns counts and a spanning set of
@@ -24,31 +28,39 @@ from pyspark.sql import functions as F
 from ..session import stored
 from .components import components
 
-#: Vectors of an interval, and of a part that is compared without further halving.
-INTERVAL, LEAF = 2048, 256
-#: Leading directions that order the vectors.
-LEADING = 6
-#: Rounding of products and boxes; what is within it is decided by plain products.
-SLACK = 1e-9
+#: Vectors of an interval at least (of large tables: as many as make ``INTERVALS``, but not more bytes
+#: than ``INTERVAL_BYTES``), and a quarter of the vectors of a part that is compared without further halving.
+INTERVAL, LEAF = 2048, 384
+INTERVALS, INTERVAL_BYTES = 32, 16 << 20
+#: Leading directions that order the vectors, and that are halved and multiplied in single precision.
+LEADING, COMPARED = 12, 24
+LINKS = "id long, links long, label long"
+#: Rounding of products and boxes; what is within it is decided by plain products. The same in single precision.
+SLACK, SINGLE_SLACK = 1e-9, 2e-5
+#: Links that are kept until they are united, and pairs of intervals for each interval that are shipped by a join.
+PENDING, SHIPPED = 1 << 20, 0.5
 
 
 def _vectors(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Comparable vectors with a 128-bit key of their components, and the vec_ids of all others."""
     values = F.col("embedding").cast("array<double>")
-    finite = F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    good = F.coalesce(finite & F.exists(values, lambda v: v != 0), F.lit(False))
-    marked = rows.select("vec_id", values.alias("v"), good.alias("good"))
-    keys = [F.xxhash64(F.lit(i), "v").alias(f"k{i}") for i in (1, 2)]
+    least, largest = F.array_min(values), F.array_max(values)  # NaN is the largest of all
+    finite = F.forall(values, lambda v: v.isNotNull()) & (least > float("-inf")) & (largest < float("inf"))
+    good = F.coalesce(finite & ((least != 0) | (largest != 0)), F.lit(False))
+    # Single precision is kept as it is: half the bytes, and its doubles are exact.
+    plain = F.col("embedding") if dict(rows.dtypes)["embedding"] == "array<float>" else values
+    marked = rows.select("vec_id", plain.alias("v"), values.alias("values"), good.alias("good"))
+    keys = [F.xxhash64(F.lit(i), "values").alias(f"k{i}") for i in (1, 2)]
     return marked.where("good").select("vec_id", "v", *keys), marked.where("NOT good").select("vec_id")
 
 
 def _arrays(batch: pa.RecordBatch, column: int, width: int) -> np.ndarray:
-    """A column of lists as rows of ``width``; missing trailing components are 0."""
+    """A column of lists as rows of ``width`` in its own precision; missing trailing components are 0."""
     lists = batch.column(column)
     lengths = np.diff(lists.offsets.to_numpy())
     if len(lengths) and (lengths == width).all():
         return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-    out = np.zeros((batch.num_rows, width))
+    out = np.zeros((batch.num_rows, width), lists.type.value_type.to_pandas_dtype())
     for i, row in enumerate(lists.to_pylist()):
         out[i, : len(row)] = row
     return out
@@ -56,6 +68,7 @@ def _arrays(batch: pa.RecordBatch, column: int, width: int) -> np.ndarray:
 
 def _units(x: np.ndarray) -> np.ndarray:
     # Scaled first: squares of very large or small components leave the range of doubles.
+    x = x.astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
@@ -86,31 +99,49 @@ def principal_directions(classes: DataFrame, width: int) -> np.ndarray:
 def _intervals(rows: DataFrame, width: int, directions: np.ndarray, epsilon: float) -> DataFrame:
     """The sorted sequence in intervals: ``block`` (its least id), packed rows, and the bounding box."""
     leading = min(LEADING, width)
-    cells = ", ".join(f"c{i} long" for i in range(leading))
+    kind = rows.schema["v"].dataType.simpleString()
+    value_bytes = 4 if kind == "array<float>" else 8
+    count = rows.count()
+    size = min(max(INTERVAL, -(-count // INTERVALS)), max(LEAF, INTERVAL_BYTES // (width * value_bytes)))
+    most = size + size // 4  # ranges are cut by a sample
 
     def turned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            u = _units(_arrays(batch, 2, width))
-            grid = np.floor(u @ directions[:, :leading] / epsilon).astype(np.int64)
-            columns = [batch.column(0), batch.column(1), pa.array(u.tolist(), pa.list_(pa.float64())), *(pa.array(grid[:, i]) for i in range(leading))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "u", *(f"c{i}" for i in range(leading))])
-
-    placed = rows.select("id", "n", "v").mapInArrow(turned, f"id long, n long, u array<double>, {cells}")
-    order = [*(f"c{i}" for i in range(leading)), "id"]
-    sequence = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "n", "u")
+            grid = np.floor(_units(_arrays(batch, 2, width)) @ directions[:, :leading] / epsilon)
+            # Big-endian from 0 on: bytes are ordered as the cells are.
+            cells = (np.clip(grid, -(2.0**31), 2.0**31 - 1).astype(np.int64) + (1 << 31)).astype(">u4")
+            columns = [*(batch.column(i) for i in range(3)), pa.array([row.tobytes() for row in cells], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "v", "cell"])
+
+    placed = rows.select("id", "n", "v").mapInArrow(turned, f"id long, n long, v {kind}, cell binary")
+    order = ["cell", "id"]
+    sequence = placed.repartitionByRange(max(1, -(-count // size)), *order).sortWithinPartitions(*order).select("id", "n", "v")
+
+    def interval(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        ids, n, v = (np.concatenate(p) for p in zip(*parts, strict=True))
+        low, high = np.full(width, np.inf), np.full(width, -np.inf)
+        for start in range(0, len(v), INTERVAL):
+            y = _units(v[start : start + INTERVAL]) @ directions
+            low, high = np.minimum(low, y.min(0)), np.maximum(high, y.max(0))
+        values = [[int(ids.min())], [int(n.sum())], [ids.tobytes()], [n.tobytes()], [v.tobytes()], [(low - SLACK).tolist()], [(high + SLACK).tolist()]]
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["block", "weight", "ids", "n", "v", "low", "high"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for whole in batches:
-            for start in range(0, whole.num_rows, INTERVAL):
-                batch = whole.slice(start, INTERVAL)
+            start = 0
+            while start < whole.num_rows:
+                batch = whole.slice(start, most - held)
                 ids, n = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-                u = _arrays(batch, 2, width)
-                y = u @ directions
-                low, high = y.min(0) - SLACK, y.max(0) + SLACK
-                values = [[int(ids.min())], [int(n.sum())], [ids.tobytes()], [n.tobytes()], [u.tobytes()], [low.tolist()], [high.tolist()]]
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["block", "weight", "ids", "n", "u", "low", "high"])
+                parts.append((ids, n, _arrays(batch, 2, width)))
+                start, held = start + len(ids), held + len(ids)
+                if held == most:
+                    yield interval(parts)
+                    parts, held = [], 0
+        if parts:
+            yield interval(parts)
 
-    return sequence.mapInArrow(cut, "block long, weight long, ids binary, n binary, u binary, low array<double>, high array<double>")
+    return sequence.mapInArrow(cut, "block long, weight long, ids binary, n binary, v binary, low array<double>, high array<double>")
 
 
 def _box_distance(nearest: bool) -> Column:
@@ -133,79 +164,187 @@ def _interval_pairs(blocks: DataFrame, epsilon: float) -> DataFrame:
         F.col("block").alias("b"), F.col("low").alias("low2"), F.col("high").alias("high2"), F.explode(F.sequence(cell[0] - 1, cell[1] + 1)).alias("cell")
     )
     met = mine.join(near, "cell").where("a <= b").drop("cell").dropDuplicates(["a", "b"])
-    close = met.where(_box_distance(True) <= epsilon * epsilon * (1 + SLACK) + SLACK)
-    return close.select("a", "b", (_box_distance(False) <= epsilon * epsilon * (1 - 1e-6)).alias("all"))
+    return met.where(_close(epsilon)).select("a", "b", _whole(epsilon).alias("all"))
+
+
+def _close(epsilon: float) -> Column:
+    return _box_distance(True) <= epsilon * epsilon * (1 + SLACK) + SLACK
+
+
+def _whole(epsilon: float) -> Column:
+    return _box_distance(False) <= epsilon * epsilon * (1 - 1e-6)
+
+
+class _Side:
+    """An interval: ids, weights, vectors, and the leading coordinates with the length of the rest (a unit vector too)."""
+
+    def __init__(self, ids: np.ndarray, n: np.ndarray, v: np.ndarray, directions: np.ndarray):
+        self.ids, self.n, self.v = ids, n, v
+        leading = min(COMPARED, directions.shape[1])
+        self.w = np.empty((len(ids), leading + 1), np.float32)
+        for start in range(0, len(ids), 4096):
+            y = _units(v[start : start + 4096]) @ directions
+            part = self.w[start : start + 4096]
+            part[:, :leading] = y[:, :leading]
+            part[:, leading] = np.sqrt(np.einsum("ij,ij->i", y[:, leading:], y[:, leading:]))
+
+    def units(self, rows: np.ndarray) -> np.ndarray:
+        return _units(self.v[rows])
 
 
 class _Joined:
-    """Links between two intervals (or within one, if they are the same)."""
+    """Links between two intervals (or within one, if the other is None)."""
 
-    def __init__(self, a: tuple, b: tuple | None, directions: np.ndarray, cosine: float):
-        self.cosine, self.epsilon2 = cosine, (2 - 2 * cosine) * (1 + SLACK) + SLACK
+    def __init__(self, a: _Side, b: _Side | None, cosine: float):
+        self.cosine, self.epsilon2 = cosine, max(0.0, 2 - 2 * cosine) + SINGLE_SLACK
         self.same = b is None
         self.a, self.b = a, a if b is None else b
-        self.turned = [x[2] @ directions for x in (self.a, self.b)]
-        self.links = [np.zeros(len(x[0]), np.int64) for x in (self.a, self.b)]
-        self.label = [x[0].copy() for x in (self.a, self.b)]
+        # Places of b follow those of a.
+        self.shift = 0 if self.same else len(a.ids)
+        ids = a.ids if self.same else np.concatenate([a.ids, b.ids])
+        self.links = np.zeros(len(ids), np.int64)
+        self.root = np.arange(len(ids))
+        self.pending: list[tuple[np.ndarray, np.ndarray]] = []
+        self.out = np.empty(4 * LEAF * LEAF, np.float32)
+        everything = [np.arange(len(x.ids)) for x in (self.a, self.b)]
+        used = np.zeros(a.w.shape[1], bool)
         if self.same:
-            self.links[1], self.label[1] = self.links[0], self.label[0]
-        self.linked: list[tuple[np.ndarray, np.ndarray]] = []
-        self.join(0, len(self.a[0]), 0, len(self.b[0]))
-        while any([self.spread(*part) for part in self.linked]):
-            pass
-
-    def join(self, a0: int, a1: int, b0: int, b1: int) -> None:
-        if self.same and b1 <= a0:
-            return  # the mirror image of a part that is joined
-        ya, yb = self.turned[0][a0:a1], self.turned[1][b0:b1]
-        gap = np.maximum(0, np.maximum(ya.min(0) - yb.max(0), yb.min(0) - ya.max(0)))
-        if gap @ gap > self.epsilon2:
+            self.join_within(everything[0], used)
+        else:
+            self.join(*everything, *(np.zeros(len(i), np.float32) for i in everything), used)
+        self.unite()
+        least = np.full(len(ids), np.iinfo(np.int64).max)
+        np.minimum.at(least, self.root, ids)
+        self.ids, self.label = ids, least[self.root]
+
+    def plane(self, i: np.ndarray, j: np.ndarray, used: np.ndarray) -> tuple[int, float] | None:
+        """The unused direction of the widest spread, above all between both, and where to halve; None if that parts nothing."""
+        x, y = self.a.w[i[:: max(1, len(i) // 64)]], self.b.w[j[:: max(1, len(j) // 64)]]
+        means = x.mean(0), y.mean(0)
+        spread = np.where(used, -1.0, x.var(0) + y.var(0) + 2 * (means[0] - means[1]) ** 2)
+        d = int(spread.argmax())
+        return (d, float(means[0][d] + means[1][d]) / 2) if spread[d] * 8 > self.epsilon2 else None
+
+    def join(self, i: np.ndarray, j: np.ndarray, cost_i: np.ndarray, cost_j: np.ndarray, used: np.ndarray) -> None:
+        """Places ``i`` of a and ``j`` of b; the costs are squared distances to the planes that part them."""
+        if not (len(i) and len(j)):
             return
-        if a1 - a0 > LEAF or b1 - b0 > LEAF:
-            cut_a, cut_b = (a0 + a1) // 2, (b0 + b1) // 2
-            for p, q in ((a0, cut_a), (cut_a, a1)) if a1 - a0 > LEAF else ((a0, a1),):
-                for r, s in ((b0, cut_b), (cut_b, b1)) if b1 - b0 > LEAF else ((b0, b1),):
-                    self.join(p, q, r, s)
+        found = self.plane(i, j, used) if len(i) * len(j) > 16 * LEAF * LEAF else None
+        if found is None:
+            return self.compare(i, j, cost_i, cost_j)
+        d, t = found
+        x, y = self.a.w[i, d] - np.float32(t), self.b.w[j, d] - np.float32(t)
+        up, high, then = x >= 0, y >= 0, used.copy()
+        then[d] = True
+        self.join(i[up], j[high], cost_i[up], cost_j[high], then)
+        self.join(i[~up], j[~high], cost_i[~up], cost_j[~high], then)
+        self.across(i[up], j[~high], cost_i[up] + x[up] ** 2, cost_j[~high] + y[~high] ** 2, then)
+        self.across(i[~up], j[high], cost_i[~up] + x[~up] ** 2, cost_j[high] + y[high] ** 2, then)
+
+    def across(self, i: np.ndarray, j: np.ndarray, cost_i: np.ndarray, cost_j: np.ndarray, used: np.ndarray) -> None:
+        if len(i) and len(j):
+            near = cost_j <= self.epsilon2 - cost_i.min()
+            j, cost_j = j[near], cost_j[near]
+        if len(i) and len(j):
+            near = cost_i <= self.epsilon2 - cost_j.min()
+            self.join(i[near], j, cost_i[near], cost_j, used)
+
+    def join_within(self, i: np.ndarray, used: np.ndarray) -> None:
+        found = self.plane(i, i, used) if len(i) > 4 * LEAF else None
+        if found is None:
+            return self.compare_within(i)
+        d, t = found
+        x, then = self.a.w[i, d] - np.float32(t), used.copy()
+        up = x >= 0
+        then[d] = True
+        self.join_within(i[up], then)
+        self.join_within(i[~up], then)
+        self.across(i[up], i[~up], x[up] ** 2, x[~up] ** 2, then)
+
+    def compare(self, i: np.ndarray, j: np.ndarray, cost_i: np.ndarray, cost_j: np.ndarray) -> None:
+        """The pairs whose costs leave a chance, in order of these."""
+        order_i, order_j = cost_i.argsort(), cost_j.argsort()
+        i, j, cost_i, cost_j = i[order_i], j[order_j], cost_i[order_i], cost_j[order_j]
+        wa, wb = self.a.w[i], self.b.w[j]
+        for p in range(0, len(i), LEAF):
+            stop = int(np.searchsorted(cost_j, self.epsilon2 - cost_i[p], "right"))
+            for q in range(0, stop, 4 * LEAF):
+                till = min(stop, q + 4 * LEAF)
+                self.tile(i[p : p + LEAF], j[q:till], wa[p : p + LEAF], wb[q:till])
+
+    def compare_within(self, i: np.ndarray) -> None:
+        w = self.a.w[i]
+        for p in range(0, len(i), 2 * LEAF):
+            for q in range(p, len(i), 2 * LEAF):
+                self.tile(i[p : p + 2 * LEAF], i[q : q + 2 * LEAF], w[p : p + 2 * LEAF], w[q : q + 2 * LEAF], p == q)
+
+    def tile(self, i: np.ndarray, j: np.ndarray, left: np.ndarray, right: np.ndarray, itself: bool = False) -> None:
+        bound = np.dot(left, right.T, out=self.out[: len(i) * len(j)].reshape(len(i), len(j)))
+        if bound.max() >= self.cosine - SINGLE_SLACK:
+            self.decide(i, j, bound, itself)
+
+    def decide(self, i: np.ndarray, j: np.ndarray, bound: np.ndarray, itself: bool) -> None:
+        """Links among the pairs of a tile whose bounds allow them."""
+        hits = np.flatnonzero(bound >= self.cosine - SINGLE_SLACK)
+        if 16 * len(hits) > bound.size:
+            ua, ub = self.a.units(i), self.b.units(j)
+            cosines = ua @ ub.T
+            for p, q in np.argwhere(np.abs(cosines - self.cosine) < SLACK):
+                cosines[p, q] = _exact_cosine(ua[p], ub[q])
+            links = cosines >= self.cosine
+            if itself:
+                np.fill_diagonal(links, False)
+            self.links[i] += (links @ self.b.n[j].astype(np.float64)).astype(np.int64)
+            if not itself:
+                self.links[self.shift + j] += (self.a.n[i].astype(np.float64) @ links).astype(np.int64)
+            roots = self.root[i], self.root[self.shift + j]
+            if (roots[0] == roots[0][0]).all() and (roots[1] == roots[0][0]).all():
+                return
+            p, q = np.nonzero(links)
+        else:
+            p, q = np.divmod(hits, len(j))
+            if itself:
+                p, q = p[p < q], q[p < q]
+            ua, ub = self.a.units(i[p]), self.b.units(j[q])
+            cosines = np.einsum("ij,ij->i", ua, ub)
+            for k in np.flatnonzero(np.abs(cosines - self.cosine) < SLACK):
+                cosines[k] = _exact_cosine(ua[k], ub[k])
+            p, q = p[cosines >= self.cosine], q[cosines >= self.cosine]
+            np.add.at(self.links, i[p], self.b.n[j[q]])
+            np.add.at(self.links, self.shift + j[q], self.a.n[i[p]])
+        p, q = i[p], self.shift + j[q]
+        new = self.root[p] != self.root[q]
+        if new.any():
+            self.pending.append((p[new], q[new]))
+            if sum(len(p) for p, _ in self.pending) > PENDING:
+                self.unite()
+
+    def unite(self) -> None:
+        """Roots of linked places become the least of them."""
+        if not self.pending:
             return
-        ua, ub = self.a[2][a0:a1], self.b[2][b0:b1]
-        cosines = ua @ ub.T
-        for i, j in np.argwhere(np.abs(cosines - self.cosine) < SLACK):
-            cosines[i, j] = _exact_cosine(ua[i], ub[j])
-        links = cosines >= self.cosine
-        if self.same and a0 == b0:
-            np.fill_diagonal(links, False)
-        if not links.any():
-            return
-        self.links[0][a0:a1] += links @ self.b[1][b0:b1]
-        if not (self.same and a0 == b0):
-            self.links[1][b0:b1] += links.T @ self.a[1][a0:a1]
-        i, j = np.nonzero(links)
-        self.linked.append((a0 + i, b0 + j))
-
-    def spread(self, i: np.ndarray, j: np.ndarray) -> bool:
-        """Lower the labels of linked vectors to the least of the two; whether any changed."""
-        la, lb = self.label
-        least = np.minimum(la[i], lb[j])
-        changed = bool((la[i] != least).any() or (lb[j] != least).any())
-        if changed:
-            np.minimum.at(la, i, least)
-            np.minimum.at(lb, j, least)
-        return changed
-
-    def rows(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        for side in (0,) if self.same else (0, 1):
-            some = self.links[side] > 0
-            yield (self.a, self.b)[side][0][some], self.links[side][some], self.label[side][some]
+        p, q = (self.root[np.concatenate(x)] for x in zip(*self.pending, strict=True))
+        self.pending, label = [], np.arange(len(self.root))
+        while True:
+            least = np.minimum(label[p], label[q])
+            new = label.copy()
+            np.minimum.at(new, p, least)
+            np.minimum.at(new, q, least)
+            new = new[new]
+            if np.array_equal(new, label):
+                break
+            label = new
+        self.root = label[self.root]
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        some = self.links > 0
+        return self.ids[some], self.links[some], self.label[some]
 
 
 def _exact_cosine(a: np.ndarray, b: np.ndarray) -> float:
     return math.fsum(x * y for x, y in zip(a.tolist(), b.tolist(), strict=True))
 
 
-def _opened(ids: bytes, n: bytes, u: bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, np.int64), np.frombuffer(n, np.int64), np.frombuffer(u).reshape(-1, width)
-
-
 def link_vectors(rows: DataFrame, cosine: float = 0.95) -> DataFrame:
     """A row for each vector: ``vec_id``, ``n_links``, ``component_id`` and ``kept``.
 
@@ -227,21 +366,40 @@ def link_vectors(rows: DataFrame, cosine: float = 0.95) -> DataFrame:
         directions = principal_directions(classes, width)
         blocks = stored(_intervals(classes, width, directions, epsilon), "intervals")
         pairs = stored(_interval_pairs(blocks, epsilon), "interval-pairs")
-        packed = blocks.select("block", "ids", "n", "u")
-        first = packed.select(*[F.col(c).alias(f"{c}1") for c in packed.columns])
-        second = packed.select(*[F.col(c).alias(f"{c}2") for c in packed.columns])
-        met = pairs.where("not all").join(first, F.col("a") == F.col("block1")).join(second, F.col("b") == F.col("block2"))
+        numbers = np.float32 if dict(classes.dtypes)["v"] == "array<float>" else np.float64
+
+        def opened(ids: pa.Scalar, n: pa.Scalar, v: pa.Scalar) -> _Side:
+            values = np.frombuffer(v.as_buffer(), numbers).reshape(-1, width)
+            return _Side(np.frombuffer(ids.as_buffer(), np.int64), np.frombuffer(n.as_buffer(), np.int64), values, directions)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last = left = None
             for batch in batches:
                 for i in range(batch.num_rows):
-                    a, b, *blobs = (c[i].as_py() for c in batch.columns)
-                    left = _opened(*blobs[:3], width)
-                    right = None if a == b else _opened(*blobs[3:], width)
-                    for columns in _Joined(left, right, directions, cosine).rows():
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "links", "label"])
-
-        compared = met.select("a", "b", "ids1", "n1", "u1", "ids2", "n2", "u2").mapInArrow(run, "id long, links long, label long")
+                    block, *blobs = (c[i] for c in batch.columns)
+                    if block.as_py() != last:  # a block meets one after the other
+                        last, left = block.as_py(), opened(*blobs[:3])
+                    right = opened(*blobs[3:]) if blobs[3:] else None
+                    columns = _Joined(left, right, cosine).rows()
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "links", "label"])
+
+        packed = ["block", "ids", "n", "v"]
+        second = blocks.select(*[F.col(c).alias(f"{c}2") for c in packed], F.col("low").alias("low2"), F.col("high").alias("high2"))
+        first = blocks.select(*[F.col(c).alias(f"{c}1") for c in packed], "low", "high")
+        itself = blocks.withColumns({"low2": F.col("low"), "high2": F.col("high")}).where(~_whole(epsilon))
+        compared = itself.select(packed).mapInArrow(run, LINKS)
+        apart = pairs.where("a < b AND NOT all")
+        meeting = apart.count()
+        if meeting > SHIPPED * blocks.count():
+            # Tasks of two partitions each, which read them. By the last bit, either task of two gets some of the pairs.
+            in_turn = F.col("block1").bitwiseXOR(F.col("block2")).bitwiseAND(1) == (F.col("block1") < F.col("block2")).cast("long")
+            wanted = in_turn & (F.col("block1") != F.col("block2")) & _close(epsilon) & ~_whole(epsilon)
+            met = first.hint("shuffle_replicate_nl").join(second, wanted)
+        else:  # few pairs: they are broadcast, and each ships two intervals
+            met = first.join(F.broadcast(apart), F.col("a") == F.col("block1"))
+            met = met.join(second.join(F.broadcast(apart.select("b").distinct()), F.col("b") == F.col("block2"), "left_semi"), F.col("b") == F.col("block2"))
+        if meeting:
+            compared = compared.unionByName(met.select("block1", "ids1", "n1", "v1", "ids2", "n2", "v2").mapInArrow(run, LINKS))
 
         def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

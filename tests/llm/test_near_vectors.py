@@ -66,6 +66,55 @@ def test_clusters(spark, monkeypatch, width):
     assert found(spark, rows) == expected
 
 
+@pytest.mark.parametrize("shipped", [0.0, 1e9])
+def test_intervals_meet_without_a_shuffle_unless_few_do(spark, monkeypatch, tmp_path, shipped):
+    """Vectors in all directions, so that all intervals meet: read in pairs, or joined where few are said to meet."""
+    monkeypatch.setattr(near_vectors, "INTERVAL", 200)
+    monkeypatch.setattr(near_vectors, "LEAF", 16)
+    monkeypatch.setattr(near_vectors, "PENDING", 10)
+    monkeypatch.setattr(near_vectors, "SHIPPED", shipped)
+    rnd = np.random.default_rng(8)
+    x = rnd.normal(size=(3000, 40))
+    x[1000:1200] = x[:200] + 0.2 * rnd.normal(size=(200, 40))
+    x[2000:2150] = x[5] + 0.05 * rnd.normal(size=(150, 40))
+    x[2500:2600] = x[6] + 0.22 * rnd.normal(size=(100, 40))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.astype(np.float32).tolist())], "vec_id long, embedding array<float>").repartition(4)
+    df.write.parquet(str(tmp_path / "in"))
+    result = near_vectors.link_vectors(spark.read.parquet(str(tmp_path / "in")))
+    u = x.astype(np.float32).astype(np.float64)
+    u /= np.sqrt((u * u).sum(1))[:, None]
+    links = u @ u.T >= 0.95
+    np.fill_diagonal(links, False)
+    least = np.arange(len(u))
+    while (lower := np.array([min(least[i], least[row].min(initial=i)) for i, row in enumerate(links)])).tolist() != least.tolist():
+        least = lower
+    assert links.sum() > 20_000
+    assert {r.vec_id: (r.n_links, r.component_id) for r in result.collect()} == {i: (int(n), int(c)) for i, (n, c) in enumerate(zip(links.sum(1), least, strict=True))}
+
+
+def test_pairs_of_intervals_are_not_shuffled(spark, monkeypatch, tmp_path):
+    """Where all intervals meet, their packed vectors pass no exchange on the way to the comparison."""
+    plans, stored = {}, near_vectors.stored
+
+    def watched(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, label)
+
+    monkeypatch.setattr(near_vectors, "stored", watched)
+    monkeypatch.setattr(near_vectors, "INTERVAL", 100)
+    x = np.random.default_rng(4).normal(size=(1000, 64)).astype(np.float32)
+    spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        near_vectors.link_vectors(spark.read.parquet(str(tmp_path / "in")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Each partition is read with each other one, in place of joins on the numbers of the intervals.
+    pairs = next(part for part in plans["links"].split("MapInArrow") if "ids2" in part)
+    assert "CartesianProduct" in pairs and "Exchange" not in pairs.partition("CartesianProduct")[0]
+
+
 def test_bad_vectors_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(5, [1.0, 0.0]), (4, [2.0, 0.0]), (3, None), (2, []), (1, [0.0, 0.0]), (0, [nan, 1.0]), (-1, [inf, 1.0]), (-2, [None, 1.0])]
