@@ -57,10 +57,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Random codes of bytes, and multipliers and shifts of the registers."""
+    """Random codes of bytes, and multipliers and shifts of the registers, which take the upper half of a hash."""
     codes = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    seeds = _mixed(np.arange(1000, 1000 + 2 * REGISTERS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return codes, seeds[:REGISTERS] | np.uint64(1), seeds[REGISTERS:]
+    seeds = (_mixed(np.arange(1000, 1000 + 2 * REGISTERS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+    return codes, seeds[:REGISTERS] | np.uint32(1), seeds[REGISTERS:]
 
 
 @lru_cache(maxsize=1)
@@ -116,79 +116,139 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     return out
 
 
-def registers(hashes: np.ndarray) -> np.ndarray:
-    """The sketch of a non-empty set: 1 - log_b of the least exponential number, rounded down, truncated."""
+def registers_of(sets: list[np.ndarray]) -> np.ndarray:
+    """A sketch for each of several non-empty sets: 1 - log_b of the least exponential number, rounded down, truncated."""
+    if not sets:
+        return np.zeros((0, REGISTERS), np.uint16)
     _, factors, shifts = _constants()
-    least = np.full(REGISTERS, _WORD, np.uint64)
-    for start in range(0, len(hashes), 512):
-        part = hashes[start : start + 512, None] * factors + shifts
-        np.minimum(least, part.min(0), out=least)
-    uniform = (least.astype(np.float64) + 1.0) / 2.0**64
+    hashes = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
+    starts = np.cumsum([0, *(len(s) for s in sets[:-1])])
+    least, part = np.empty((REGISTERS, len(sets)), np.uint32), np.empty_like(hashes)
+    for i in range(REGISTERS):
+        np.multiply(hashes, factors[i], out=part)
+        part += shifts[i]
+        np.minimum.reduceat(part, starts, out=least[i])
+    uniform = (least.T.astype(np.float64) + 1.0) / 2.0**32
     exponential = -np.log1p(-np.minimum(uniform, 1 - 1e-16)) / RATE
     return np.clip(np.floor(1.0 - np.log(exponential) / np.log(BASE)), 0, LARGEST + 1).astype(np.uint16)
 
 
+def registers(hashes: np.ndarray) -> np.ndarray:
+    """The sketch of a non-empty set."""
+    return registers_of([hashes])[0]
+
+
 def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The sketch of the union of two sets."""
     return np.maximum(a, b)
 
 
 def bands(sketch: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each band of register values."""
-    parts = sketch.astype(np.uint64).reshape(-1, ROWS)
-    keys = np.arange(1, len(parts) + 1, dtype=np.uint64) * np.uint64(_C)
+    """One 64-bit key for each band of register values, of one sketch or of several."""
+    parts = sketch.astype(np.uint64).reshape(*sketch.shape[:-1], REGISTERS // ROWS, ROWS)
+    keys = np.arange(1, REGISTERS // ROWS + 1, dtype=np.uint64) * np.uint64(_C)
     for i in range(ROWS):
-        keys = _mixed(keys * np.uint64(_B) + parts[:, i])
+        keys = _mixed(keys * np.uint64(_B) + parts[..., i])
     return keys
 
 
-def log_likelihood(j: float, above: int, below: int, n_a: int, n_b: int) -> float:
+def log_likelihood(j: np.ndarray | float, above: np.ndarray | int, below: np.ndarray | int, n_a: np.ndarray | int, n_b: np.ndarray | int) -> np.ndarray:
     """Of ``above`` registers larger in sketch a, ``below`` larger in b, the others equal, at similarity j."""
     u = n_a / (n_a + n_b)
-    j = min(j, u / (1 - u), (1 - u) / u)
+    j = np.minimum(j, np.minimum(u / (1 - u), (1 - u) / u))
 
-    def larger(x: float) -> float:
-        return -np.log1p(-max(x, 0.0) * (BASE - 1) / BASE) / np.log(BASE)
+    def larger(x: np.ndarray) -> np.ndarray:
+        return -np.log1p(-np.maximum(x, 0.0) * (BASE - 1) / BASE) / np.log(BASE)
 
     p, q = larger(u - (1 - u) * j), larger((1 - u) - u * j)
     tiny = 1e-12
-    return above * np.log(max(p, tiny)) + below * np.log(max(q, tiny)) + (REGISTERS - above - below) * np.log(max(1 - p - q, tiny))
+    return above * np.log(np.maximum(p, tiny)) + below * np.log(np.maximum(q, tiny)) + (REGISTERS - above - below) * np.log(np.maximum(1 - p - q, tiny))
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> tuple[float, float]:
-    """The likeliest similarity of two sketched sets of known sizes, and its log likelihood."""
-    above, below = int((a > b).sum()), int((a < b).sum())
-    low, high = 0.0, min(n_a, n_b) / max(n_a, n_b)
+def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray | int, n_b: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """The likeliest similarity of two sketched sets of known sizes, and its log likelihood; or of many pairs, a row each."""
+    above, below = (a > b).sum(-1), (a < b).sum(-1)
+    high = np.minimum(n_a, n_b) / np.maximum(n_a, n_b)
+    low = np.zeros_like(high)
     for _ in range(40):  # the likelihood has one peak
         x, y = low + (high - low) * 0.382, low + (high - low) * 0.618
-        if log_likelihood(x, above, below, n_a, n_b) < log_likelihood(y, above, below, n_a, n_b):
-            low = x
-        else:
-            high = y
+        up = log_likelihood(x, above, below, n_a, n_b) < log_likelihood(y, above, below, n_a, n_b)
+        low, high = np.where(up, x, low), np.where(up, high, y)
     best = (low + high) / 2
     return best, log_likelihood(best, above, below, n_a, n_b)
 
 
-def similar(sets: tuple[np.ndarray, np.ndarray], sketches: tuple[np.ndarray, np.ndarray], percent: int) -> bool:
-    """Whether 100 * intersection >= percent * union; sketches that speak clearly against it decide alone."""
-    (a, b), (n_a, n_b) = sets, map(len, sets)
-    if 100 * min(n_a, n_b) < percent * max(n_a, n_b):
-        return False
-    above, below = int((sketches[0] > sketches[1]).sum()), int((sketches[0] < sketches[1]).sum())
+def _may_be_similar(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sketches, a row each, don't speak clearly against the threshold."""
+    may = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    above, below = (a > b).sum(1), (a < b).sum(1)
     # Few registers differ: no estimate can speak against the threshold.
-    if above + below > REGISTERS // 3:
-        best, likelihood = estimate(*sketches, n_a, n_b)
-        if best < percent / 100 and likelihood - log_likelihood(percent / 100, above, below, n_a, n_b) > AGAINST:
-            return False
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * common >= percent * (n_a + n_b - common)
+    some = np.flatnonzero(may & (above + below > REGISTERS // 3))
+    best, likelihood = estimate(a[some], b[some], n_a[some], n_b[some])
+    at = log_likelihood(percent / 100, above[some], below[some], n_a[some], n_b[some])
+    may[some] = (best >= percent / 100) | (likelihood - at <= AGAINST)
+    return may
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sets without repeats."""
+    both = np.concatenate([a, b])
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
-def _digests(values: np.ndarray) -> tuple[int, int]:
-    """128 bits that name a set."""
-    first = _mixed(values ^ np.uint64(_C)).sum(dtype=np.uint64)
-    second = _mixed(values + np.uint64(_B)).sum(dtype=np.uint64)
-    return int(first.astype(np.int64)), int(second.astype(np.int64))
+def similar(sets: tuple[np.ndarray, np.ndarray], sketches: tuple[np.ndarray, np.ndarray], percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union; sketches that speak clearly against it decide alone."""
+    return bool(similar_pairs([sets], sketches[0][None], sketches[1][None], percent)[0])
+
+
+def similar_pairs(pairs: list[tuple[np.ndarray, np.ndarray]], a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """The same for many pairs of sets, and their sketches row by row."""
+    n_a, n_b = (np.array([len(p[side]) for p in pairs], np.int64) for side in (0, 1))
+    keep = _may_be_similar(a, b, n_a, n_b, percent)
+    for k in np.flatnonzero(keep):
+        common = _common(*pairs[k])
+        keep[k] = 100 * common >= percent * (n_a[k] + n_b[k] - common)
+    return keep
+
+
+#: Shingles that two blocks of sets are counted over at a time.
+COUNTED = 4096
+
+
+def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of ``a`` with each of ``b``: products of the sets as rows of 0 and 1."""
+    counts = np.zeros((len(a), len(b)), np.int64)
+    hashes = [np.concatenate(x) for x in (a, b)]
+    shared = np.intersect1d(*hashes)
+    sides = []
+    for x, h in zip((a, b), hashes, strict=True):
+        place = np.searchsorted(shared, h)
+        there = np.flatnonzero(place < len(shared))
+        there = there[shared[place[there]] == h[there]]
+        there = there[np.argsort(place[there], kind="stable")]
+        sides.append((np.repeat(np.arange(len(x)), [len(y) for y in x])[there], place[there]))
+    for start in range(0, len(shared), COUNTED):
+        parts = []
+        for x, (owner, place) in zip((a, b), sides, strict=True):
+            first, last = np.searchsorted(place, (start, start + COUNTED))
+            part = np.zeros((len(x), min(COUNTED, len(shared) - start)), np.float32)
+            part[owner[first:last], place[first:last] - start] = 1
+            parts.append(part)
+        counts += (parts[0] @ parts[1].T).astype(np.int64)
+    return counts
+
+
+def _digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that name each set."""
+    lengths = np.array([len(s) for s in sets], np.int64)
+    some = lengths > 0
+    out = np.zeros((2, len(sets)), np.uint64)
+    if some.any():
+        values, starts = np.concatenate(sets), (np.cumsum(lengths) - lengths)[some]
+        out[0, some] = np.add.reduceat(_mixed(values ^ np.uint64(_C)), starts)
+        out[1, some] = np.add.reduceat(_mixed(values + np.uint64(_B)), starts)
+    return out[0].astype(np.int64), out[1].astype(np.int64)
 
 
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -214,12 +274,12 @@ def _sketched(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _text_batches(batches):
             sets = shingle_sets(texts, words)
-            names = [_digests(s) for s in sets]
-            keys = [bands(registers(s)).astype(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-            columns = [batch.column(0), [len(s) for s in sets], [n[0] for n in names], [n[1] for n in names], keys]
-            kinds = [None, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            arrays = [c if k is None else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "k1", "k2", "bands"])
+            lengths = np.array([len(s) for s in sets], np.int64)
+            keys = bands(registers_of([s for s in sets if len(s)])).astype(np.int64)
+            offsets = np.cumsum([0, *np.where(lengths > 0, REGISTERS // ROWS, 0)]).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
+            columns = [batch.column(0), pa.array(lengths), *map(pa.array, _digests(sets)), listed]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "k1", "k2", "bands"])
 
     return docs.mapInArrow(run, SKETCHED)
 
@@ -231,7 +291,8 @@ def _full_sets(docs: DataFrame, words: int) -> DataFrame:
         for batch, texts in _text_batches(batches):
             sets = shingle_sets(texts, words)
             columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
-            sketches = pa.array([registers(s).tobytes() if len(s) else b"" for s in sets], pa.binary())
+            made = iter(registers_of([s for s in sets if len(s)]))
+            sketches = pa.array([next(made).tobytes() if len(s) else b"" for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([*columns, sketches], ["id", "n", "hashes", "sketch"])
 
     return docs.mapInArrow(run, "id long, n long, hashes binary, sketch binary")
@@ -245,12 +306,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                x, y, s, t = (batch.column(k)[i].as_buffer() for k in range(2, 6))
-                sets_of = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                keep.append(similar(sets_of, (np.frombuffer(s, np.uint16), np.frombuffer(t, np.uint16)), percent))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            sets_of = [tuple(np.frombuffer(batch.column(k)[i].as_buffer(), np.uint64) for k in (2, 3)) for i in range(batch.num_rows)]
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS) for k in (4, 5))
+            yield batch.select(["a", "b"]).filter(pa.array(similar_pairs(sets_of, x, y, percent)))
 
     return met.mapInArrow(run, "a long, b long")
 
@@ -281,8 +339,10 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     named = linkable.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "k1", "k2", "bands")
     standing = stored(named.join(classes, ["k1", "k2", "id"], "left_semi").dropDuplicates(["id", "k1", "k2"]), "standing")
     banded = standing.select("id", "n", F.posexplode("bands").alias("band", "key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1")
-    members = stored(banded.join(shared.select("key", "leader"), "key"), "buckets")
+    # Each band row is shuffled once; most are alone in their bucket and end here.
+    bucket = Window.partitionBy("key")
+    held = banded.withColumns({"leader": F.min("id").over(bucket), "last": F.max("id").over(bucket)})
+    members = stored(held.where("leader <> last").drop("last"), "buckets")
 
     chosen = stored(members.select("id").distinct(), "candidates")
     few = chosen.count() <= BROADCAST_IDS
@@ -400,15 +460,10 @@ def _block_links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def compare(outside: pa.Table, inside: pa.Table) -> pa.Table:
         a, b = taken(outside, ""), taken(inside, "2")
-        n, common = np.array([len(h) for _, _, h in b], np.int64), np.array([c for _, c, _ in b], np.int64)
-        links = []
-        for i, own, hashes in a:
-            most = np.minimum(own, common)
-            for k in np.flatnonzero(100 * most >= percent * (len(hashes) + n - most)):
-                both = len(np.intersect1d(hashes, b[k][2], assume_unique=True))
-                if 100 * both >= percent * (len(hashes) + int(n[k]) - both):
-                    links.append((i, b[k][0]))
-                    break
+        n, m = (np.array([len(h) for _, _, h in x], np.int64) for x in (a, b))
+        both = common_counts([h for _, _, h in a], [h for _, _, h in b]) if a and b else np.zeros((len(a), len(b)), np.int64)
+        linked = 100 * both >= percent * (n[:, None] + m - both)
+        links = [(a[i][0], b[int(linked[i].argmax())][0]) for i in np.flatnonzero(linked.any(1))]
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     groups = left.groupBy("large", "block", "slice").cogroup(right.groupBy("large2", "block2", "slice2"))

@@ -112,3 +112,51 @@ def test_bands_find_pairs_at_the_threshold():
         values = setsketch._mixed(rnd.integers(0, 1 << 62, 120, dtype=np.uint64))
         a, b = values[:108], values[12:]  # 96 of 120: similarity 0.8
         assert set(setsketch.bands(setsketch.registers(a)).tolist()) & set(setsketch.bands(setsketch.registers(b)).tolist())
+
+
+def test_band_rows_are_shuffled_once(spark, docs, monkeypatch):
+    """Most band rows are alone in their bucket: they meet their keys' counts without going through a second exchange."""
+    plans, stored = {}, setsketch.stored
+
+    def watched(df, label):
+        plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(setsketch, "stored", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        setsketch.link_documents(docs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"Exchange hashpartitioning\(key", plans["buckets"])) == 1
+
+
+def test_many_pairs_are_estimated_at_once(monkeypatch):
+    """Pairs of all similarities: the same answers as from their sets, for a fixed number of steps of the likelihood."""
+    rnd = np.random.default_rng(6)
+    calls, likelihood = [], setsketch.log_likelihood
+    monkeypatch.setattr(setsketch, "log_likelihood", lambda *a: calls.append(1) or likelihood(*a))
+    pairs = []
+    for k in range(300):
+        values = np.unique(setsketch._mixed(rnd.integers(0, 1 << 62, 400 + k, dtype=np.uint64)))
+        cut = int(rnd.integers(0, len(values) // 2))
+        pairs.append((values[: len(values) - cut // 2], values[cut - cut // 2 :]))
+    x, y = (setsketch.registers_of([p[side] for p in pairs]) for side in (0, 1))
+    assert np.array_equal(x, np.stack([setsketch.registers(p[0]) for p in pairs]))
+    found = setsketch.similar_pairs(pairs, x, y, 80)
+    assert len(calls) < 100
+    both = [len(np.intersect1d(*p)) for p in pairs]
+    expected = [100 * c >= 80 * (len(a) + len(b) - c) for c, (a, b) in zip(both, pairs, strict=True)]
+    assert found.tolist() == expected and 50 < sum(expected) < 250
+    assert setsketch.similar_pairs([], x[:0], y[:0], 80).tolist() == []
+
+
+def test_blocks_of_sets_are_counted_by_products(monkeypatch):
+    monkeypatch.setattr(setsketch, "COUNTED", 50)
+    rnd = np.random.default_rng(7)
+    a, b = ([np.unique(rnd.integers(0, 700, rnd.integers(1, 300)).astype(np.uint64) << np.uint64(55)) for _ in range(n)] for n in (23, 31))
+    expected = [[len(np.intersect1d(x, y)) for y in b] for x in a]
+    assert setsketch.common_counts(a, b).tolist() == expected
+    apart = [np.array([1], np.uint64)], [np.array([2, 3], np.uint64)]
+    assert setsketch.common_counts(*apart).tolist() == [[0]]
